@@ -73,12 +73,12 @@ SELECT *, CASE WHEN output = '' THEN {sql.quote(C.REASON_EMPTY)}
   WHEN license NOT IN ({sql.names(C.ALLOWED_LICENSES)}) THEN {sql.quote(C.REASON_LICENSE)}
   WHEN {' OR '.join(_SAMPLE_FLAGS.values())} THEN {sql.quote(C.REASON_QUALITY)} END AS filter_reason
 FROM counted), content AS MATERIALIZED (
-SELECT *, list_filter([
+SELECT *, [e FOR e IN [
   CASE WHEN {sql.strip('instruction')} = '' THEN 'Instruction empty' END,
   CASE WHEN {sql.strip('output')} = '' THEN 'Output empty' END,
   CASE WHEN token_count > {C.MAX_TOKENS} THEN 'Too many tokens (' || token_count || ')' END,
-  CASE WHEN token_count < {C.MIN_TOKENS} THEN 'Too few tokens (' || token_count || ')' END],
-  e -> e IS NOT NULL) AS errors FROM judged), decided AS MATERIALIZED (
+  CASE WHEN token_count < {C.MIN_TOKENS} THEN 'Too few tokens (' || token_count || ')' END]
+  IF e IS NOT NULL] AS errors FROM judged), decided AS MATERIALIZED (
 SELECT *, CASE WHEN filter_reason IS NULL THEN errors ELSE [filter_reason] END AS reasons
 FROM content)"""
 
@@ -131,23 +131,23 @@ _SCHEMA_ERRORS = ", ".join(
        "THEN 'License should be specified if available' END",
        f"CASE WHEN {sql.strip('output')} = '' THEN 'Output cannot be empty' END"])
 _q("schema_validation", inputs.NAMED + f""", e AS (
-SELECT pos, list_filter([{_SCHEMA_ERRORS}], x -> x IS NOT NULL) AS errors FROM named)""",
+SELECT pos, [x FOR x IN [{_SCHEMA_ERRORS}] IF x IS NOT NULL] AS errors FROM named)""",
    "SELECT pos, array_to_string(errors, '; ') AS errors, len(errors) = 0 AS is_valid FROM e")
 
 _FIELD_ERRORS = ", ".join(
     f"CASE WHEN {sql.strip(f)} = '' THEN 'Field ''{f}'' is empty' END" for f in _REQUIRED)
 _VALIDATED = inputs.NAMED + f""", fields AS (
-SELECT *, list_filter([{_FIELD_ERRORS}], x -> x IS NOT NULL) AS field_errors FROM counted),
+SELECT *, [x FOR x IN [{_FIELD_ERRORS}] IF x IS NOT NULL] AS field_errors FROM counted),
 validated AS MATERIALIZED (
 SELECT pos, CASE WHEN len(field_errors) > 0 THEN field_errors
     WHEN token_count > {C.MAX_TOKENS}
     THEN ['Sample exceeds max tokens (' || token_count || ' > {C.MAX_TOKENS})'] ELSE [] END AS errors,
-  CASE WHEN len(field_errors) > 0 THEN [] ELSE list_filter([
+  CASE WHEN len(field_errors) > 0 THEN [] ELSE [x FOR x IN [
     CASE WHEN language NOT IN ({sql.names(C.SUPPORTED_LANGUAGES)}, 'unknown')
       THEN 'Language ''' || language || ''' not in supported list' END,
     CASE WHEN token_count < {C.MIN_TOKENS}
-      THEN 'Sample is very short (' || token_count || ' tokens, min {C.MIN_TOKENS})' END],
-    x -> x IS NOT NULL) END AS warnings FROM fields)"""
+      THEN 'Sample is very short (' || token_count || ' tokens, min {C.MIN_TOKENS})' END]
+    IF x IS NOT NULL] END AS warnings FROM fields)"""
 
 _q("detailed_validation", _VALIDATED, """
 SELECT pos, array_to_string(errors, '; ') AS errors, array_to_string(warnings, '; ') AS warnings,

@@ -85,13 +85,13 @@ def difficulty(x: str) -> str:
 def quality(x: str) -> dict:
     """The quality findings of a text column."""
     split = f"({lines(x)})"
-    kept = f"list_filter(list_transform({split}, l -> {strip('l')}), l -> l <> '')"
+    kept = f"[{strip('l')} FOR l IN {split} IF {strip('l')} <> '']"
     notice = " OR ".join(f"contains(lower({x}), {quote(p)})" for p in C.AUTOGENERATED_PHRASES)
     return {
         "autogenerated": f"({notice})",
         "suspicious": rf"regexp_matches({x}, '[\x00-\x08\x0B\x0C\x0E-\x1F]')",
         "minified": (f"((len({split}) <= 2 AND length({x}) > 2000) OR "
-                     f"coalesce(list_sum(list_transform({split}, l -> length(l))), 0) "
+                     f"coalesce(list_sum([length(l) FOR l IN {split}]), 0) "
                      f"/ greatest(len({split}), 1) > 400)"),
         "repetitive": (f"(len({kept}) >= 10 AND "
                        f"len(list_distinct({kept})) / len({kept}) < 0.30)"),
