@@ -14,12 +14,14 @@ Each round handles every undecided row once, aggregates before it shuffles, list
 no pairs, and ends in a table in shared storage.
 """
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftloom.functions.minhash import Banding, buckets
-from siftloom.operators.skew import SMALL_ROWS, semi_join_hot
-from siftloom.session import materialize
+from siftloom.operators.skew import SMALL_ROWS, attach
+from siftloom.session import materialize_counting
 
 
 def bucket_rows(df: DataFrame, text: str = "output", pos: str = "pos",
@@ -40,8 +42,7 @@ def _bucket_counts(rows: DataFrame) -> DataFrame:
 def contested(firsts: DataFrame, total: int, small_rows: int = SMALL_ROWS) -> DataFrame:
     """(pos, buckets) of samples that share a bucket, with only the shared buckets."""
     rows = firsts.select("pos", F.explode("buckets").alias("bucket"))
-    counts = _bucket_counts(rows).withColumn("wanted", F.col("n") > 1)
-    shared = semi_join_hot(rows, counts, "bucket", total, small_rows)
+    shared = attach(rows, _bucket_counts(rows).where("n > 1"), "bucket", total, small_rows)
     # at most one entry per band
     return shared.groupBy("pos").agg(F.collect_list("bucket").alias("buckets"))
 
@@ -53,35 +54,31 @@ def settle(waiting: DataFrame, total: int, small_rows: int = SMALL_ROWS) -> Data
     leads = rows.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min("pos").alias("lead"),
         F.min_by("held", "pos").alias("held"))
-    winners = (leads.groupBy("lead").agg(F.count("*").alias("led"), F.first("held").alias("held"))
-               .where(F.col("led") == F.col("held"))
-               .select("lead", F.lit(True).alias("wanted")))
-    closed = (leads.join(winners, "lead", "left")
-              .select("bucket", "n", F.coalesce("wanted", F.lit(False)).alias("wanted")))
-    decided = (semi_join_hot(rows.select("pos", "bucket"), closed, "bucket", total, small_rows)
-               .select("pos").distinct()
-               .join(winners.select(F.col("lead").alias("pos"), "wanted"), "pos", "left")
-               .select("pos", F.coalesce("wanted", F.lit(False)).alias("kept")))
-    return waiting.join(decided, "pos", "left")
+    # a sample leads at most one bucket per band, so these windows are tiny
+    led = F.count("*").over(Window.partitionBy("lead"))
+    buckets_now = leads.select("bucket", "n", F.when(led == F.col("held"), F.col("lead"))
+                               .alias("winner"))
+    seen = attach(rows.select("pos", "bucket"), buckets_now, "bucket", total, small_rows)
+    return seen.groupBy("pos").agg(F.collect_list("bucket").alias("buckets"),
+                                   F.bool_or(F.col("winner") == F.col("pos")).alias("kept"))
 
 
 def keep_first(rows: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
     """(pos, copies) of the samples the sequential rule keeps, given (pos, buckets)."""
-    firsts = materialize(first_of_copies(rows), "firsts")
-    bands = F.size("buckets")
-    total = firsts.agg(F.coalesce(F.sum(bands), F.lit(0))).first()[0]
-    waiting = materialize(contested(firsts, total, small_rows), "contested")
-    dropped = None
-    while True:
-        total = waiting.agg(F.coalesce(F.sum(bands), F.lit(0))).first()[0]
-        if not total:
-            break
-        done = materialize(settle(waiting, total, small_rows), "round")
-        losers = done.where("NOT kept").select("pos")
-        dropped = losers if dropped is None else dropped.unionByName(losers)
-        waiting = done.where("kept IS NULL").drop("kept")
+    held = F.size("buckets")
+    firsts, total = materialize_counting(first_of_copies(rows), "firsts", held)
+    waiting, total = materialize_counting(
+        contested(firsts, total, small_rows), "contested", held)
     kept = firsts.select("pos", "copies")
-    return kept if dropped is None else kept.join(dropped, "pos", "left_anti")
+    losers = []
+    while total:
+        done, total = materialize_counting(
+            settle(waiting, total, small_rows), "round", F.when(F.col("kept").isNull(), held))
+        losers.append(done.where("NOT kept").select("pos"))
+        waiting = done.where("kept IS NULL").drop("kept")
+    if not losers:
+        return kept
+    return kept.join(reduce(DataFrame.unionByName, losers), "pos", "left_anti")
 
 
 def near_dedup(df: DataFrame, text: str = "output", pos: str = "pos",
@@ -115,7 +112,7 @@ def matches(queries: DataFrame, index: DataFrame, total: int,
     ``total`` is the number of buckets of all query rows together.
     """
     rows = queries.select("pos", F.explode("buckets").alias("bucket"))
-    known = index.select("bucket", F.lit(True).alias("wanted"))
-    counts = (_bucket_counts(rows).join(known, "bucket", "left")
-              .select("bucket", "n", F.coalesce("wanted", F.lit(False)).alias("wanted")))
-    return semi_join_hot(rows, counts, "bucket", total, small_rows).select("pos").distinct()
+    known = index.select("bucket", F.lit(True).alias("known"))
+    counts = _bucket_counts(rows).join(known, "bucket", "left")
+    return (attach(rows, counts, "bucket", total, small_rows)
+            .where("known").select("pos").distinct())

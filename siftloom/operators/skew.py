@@ -1,4 +1,4 @@
-"""Semi-join on a key of which a few values may hold a large part of all rows."""
+"""Joining a value to rows by a key of which a few may hold a large part of all rows."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,21 +9,19 @@ SMALL_ROWS = 1_000_000
 HOT_SHARE = 1000
 
 
-def semi_join_hot(left: DataFrame, keys: DataFrame, key: str, total: int,
-                  small_rows: int = SMALL_ROWS, hot_share: int = HOT_SHARE) -> DataFrame:
-    """Rows of ``left`` whose key is wanted, given ``keys(key, n, wanted)``.
+def attach(rows: DataFrame, keys: DataFrame, key: str, total: int,
+           small_rows: int = SMALL_ROWS, hot_share: int = HOT_SHARE) -> DataFrame:
+    """Inner join of ``rows`` with ``keys``, which lists a key at most once.
 
-    ``keys`` lists every key of ``left`` once with its row count ``n``, and ``total``
-    is the number of rows of ``left``. The counts add up to ``total``, so fewer than
-    ``hot_share`` keys can exceed ``total / hot_share``: these are broadcast, whatever
-    the size of the data. The remaining keys are light enough to shuffle.
+    ``keys`` carries the number ``n`` of rows with each key, and ``total`` is the
+    number of all rows. The counts add up to at most ``total``, so fewer than
+    ``hot_share`` keys can exceed ``total / hot_share``: these are broadcast, however
+    large the data. The remaining keys are light enough to shuffle.
     """
     if total <= small_rows:
-        return left.join(keys.where("wanted").select(key), key, "left_semi")
+        return rows.join(keys.drop("n"), key)
     limit = total // hot_share
-    hot = keys.where(F.col("n") > limit)
-    light = keys.where((F.col("n") <= limit) & F.col("wanted")).select(key)
-    heavy_rows = left.join(F.broadcast(hot.where("wanted").select(key)), key, "left_semi")
-    other_rows = (left.join(F.broadcast(hot.select(key)), key, "left_anti")
-                  .join(light, key, "left_semi"))
-    return heavy_rows.unionByName(other_rows)
+    hot = F.broadcast(keys.where(F.col("n") > limit).drop("n"))
+    light = keys.where(F.col("n") <= limit).drop("n")
+    others = rows.join(hot.select(key), key, "left_anti")
+    return rows.join(hot, key).unionByName(others.join(light, key))

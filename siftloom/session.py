@@ -3,7 +3,8 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra) -> SparkSession:
@@ -55,3 +56,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counting(df: DataFrame, label: str, amount: Column) -> tuple[DataFrame, int]:
+    """``materialize``, with the sum of ``amount`` over all rows taken while writing."""
+    seen = Observation(label)
+    written = materialize(df.observe(seen, F.sum(amount).alias("total")), label)
+    return written, seen.get["total"] or 0
