@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from siftloom.functions.minhash import Banding, buckets
 from siftloom.operators.skew import SMALL_ROWS, attach
-from siftloom.session import materialize_counting
+from siftloom.session import materialize
 
 
 def bucket_rows(df: DataFrame, text: str = "output", pos: str = "pos",
@@ -41,7 +41,7 @@ def _bucket_counts(rows: DataFrame) -> DataFrame:
 
 def contested(firsts: DataFrame, total: int, small_rows: int = SMALL_ROWS) -> DataFrame:
     """(pos, buckets) of samples that share a bucket, with only the shared buckets."""
-    rows = firsts.select("pos", F.explode("buckets").alias("bucket"))
+    rows = firsts.select("pos", F.explode(F.array_distinct("buckets")).alias("bucket"))
     shared = attach(rows, _bucket_counts(rows).where("n > 1"), "bucket", total, small_rows)
     # at most one entry per band
     return shared.groupBy("pos").agg(F.collect_list("bucket").alias("buckets"))
@@ -63,17 +63,18 @@ def settle(waiting: DataFrame, total: int, small_rows: int = SMALL_ROWS) -> Data
                                    F.bool_or(F.col("winner") == F.col("pos")).alias("kept"))
 
 
-def keep_first(rows: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """(pos, copies) of the samples the sequential rule keeps, given (pos, buckets)."""
-    held = F.size("buckets")
-    firsts, total = materialize_counting(first_of_copies(rows), "firsts", held)
-    waiting, total = materialize_counting(
-        contested(firsts, total, small_rows), "contested", held)
+def keep_first(rows: DataFrame, bands: int = Banding().bands,
+               small_rows: int = SMALL_ROWS) -> DataFrame:
+    """(pos, copies) of the samples the sequential rule keeps, given (pos, buckets).
+
+    Counts come from the tables just written: a footer or one narrow column.
+    """
+    firsts = materialize(first_of_copies(rows), "firsts")
+    waiting = materialize(contested(firsts, firsts.count() * bands, small_rows), "contested")
     kept = firsts.select("pos", "copies")
     losers = []
-    while total:
-        done, total = materialize_counting(
-            settle(waiting, total, small_rows), "round", F.when(F.col("kept").isNull(), held))
+    while left := waiting.count():
+        done = materialize(settle(waiting, left * bands, small_rows), "round")
         losers.append(done.where("NOT kept").select("pos"))
         waiting = done.where("kept IS NULL").drop("kept")
     if not losers:
@@ -84,7 +85,7 @@ def keep_first(rows: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
 def near_dedup(df: DataFrame, text: str = "output", pos: str = "pos",
                banding: Banding = Banding()) -> DataFrame:
     """The samples that survive near-duplicate removal."""
-    kept = keep_first(bucket_rows(df, text, pos, banding))
+    kept = keep_first(bucket_rows(df, text, pos, banding), banding.bands)
     return df.join(kept.select(F.col("pos").alias(pos)), pos, "left_semi")
 
 

@@ -45,7 +45,7 @@ def dedup_batch(batch: DataFrame, batch_id: int, run_dir: str, text: str = "outp
         known = dedup.matches(rows, stored_index(spark, index, batch_id),
                               samples.count() * banding.bands)
         rows = rows.join(known, "pos", "left_anti")
-    kept = samples.join(dedup.keep_first(rows).select(F.col("pos").alias(pos)), pos, "left_semi")
+    kept = samples.join(dedup.keep_first(rows, banding.bands).select(F.col("pos").alias(pos)), pos, "left_semi")
     (kept.select(F.explode("_buckets").alias("bucket"))
      .write.mode("overwrite").parquet(_batch(index, batch_id)))
     kept.drop("_buckets").write.mode("overwrite").parquet(_batch(f"{run_dir}/out", batch_id))
