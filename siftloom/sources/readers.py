@@ -39,7 +39,7 @@ def find_files(spark: SparkSession, path: str, split: str, schema) -> tuple[str,
     for fmt, suffixes in by_format.items():
         files = [f for suffix in suffixes for f in _files(spark, path, suffix, fmt, schema)]
         if files:
-            root = path.rstrip("/").rsplit("/", 1)[-1] + "/"
+            root = re.sub(_SCHEME, "/", path).rstrip("/") + "/"
             below = {f: f.split(root, 1)[-1].lower() for f in files}
             return fmt, [f for f in files if split in below[f]] or files
     raise FileNotFoundError(f"no {'/'.join(READER_BY_SUFFIX)} files below {path}")

@@ -52,7 +52,7 @@ def test_first_failing_reason(spark):
         [], ["Empty Output"], ["Binary Content"], ["Language Filter"], ["Language Filter"],
         ["License Filter"], ["License Filter"], ["Quality Filter"],
         ["Instruction empty", "Too few tokens (1)"], ["Language Filter"]]
-    assert rows[0].token_count == 43 and rows[3].token_count is None
+    assert rows[0].token_count == 44 and rows[3].token_count is None
 
 
 def test_writes_normalized_names_back(spark):
