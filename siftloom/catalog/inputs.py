@@ -92,16 +92,20 @@ SELECT pos, CAST(pos AS VARCHAR) AS id, source AS dataset,
   {sql.pick(DIFFICULTIES, f"pos % {len(DIFFICULTIES)}")} AS difficulty
 FROM documents d JOIN raw_documents r ON d.doc_id = r.pos)"""
 
-# cleaned and normalized samples, with token counts
-NAMED = f"""{SAMPLES}, named AS MATERIALIZED (
-SELECT pos, id, dataset, {sql.filter_language("language")} AS language,
+def named(source: str) -> str:
+    """CTEs `named` and `counted`: cleaned and normalized samples, with token counts."""
+    return f"""named AS MATERIALIZED (
+SELECT * REPLACE ({sql.filter_language("language")} AS language,
   {sql.normalize_license("license")} AS license, {sql.clean("instruction")} AS instruction,
-  {sql.clean("input")} AS input, {sql.clean("output")} AS output, n_tests, difficulty
-FROM samples), counted AS MATERIALIZED (
+  {sql.clean("input")} AS input, {sql.clean("output")} AS output)
+FROM {source}), counted AS MATERIALIZED (
 SELECT *, {sql.tokens("instruction")} + {sql.tokens("input")} + {sql.tokens("output")} AS token_count
 FROM named)"""
 
 
+NAMED = f"{SAMPLES}, {named('samples')}"
+
+
 def coded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents with a line of code in front, a file name and a hint."""
     df, key = table(spark, sf_dir, "documents"), F.col("doc_id")

@@ -66,7 +66,7 @@ SELECT pos, {sql.normalize_license('license')} AS license FROM samples)""",
    f"SELECT pos, license, license IN ({sql.names(C.ALLOWED_LICENSES)}) AS allowed FROM n")
 
 _SAMPLE_FLAGS = sql.quality("output")
-_DECIDED = f"""{inputs.NAMED}, judged AS MATERIALIZED (
+_DECISION = f"""judged AS MATERIALIZED (
 SELECT *, CASE WHEN output = '' THEN {sql.quote(C.REASON_EMPTY)}
   WHEN contains(output, chr(0)) THEN {sql.quote(C.REASON_BINARY)}
   WHEN language NOT IN ({sql.names(C.SUPPORTED_LANGUAGES)}) THEN {sql.quote(C.REASON_LANGUAGE)}
@@ -81,6 +81,7 @@ SELECT *, [e FOR e IN [
   IF e IS NOT NULL] AS errors FROM judged), decided AS MATERIALIZED (
 SELECT *, CASE WHEN filter_reason IS NULL THEN errors ELSE [filter_reason] END AS reasons
 FROM content)"""
+_DECIDED = f"{inputs.NAMED}, {_DECISION}"
 
 _q("reject_reasons", _DECIDED, """
 SELECT pos, reasons[1] AS first_reject_reason, array_to_string(reasons, '; ') AS reasons,
@@ -302,20 +303,24 @@ SELECT u.conv_id, u.turn, u.text AS instruction, a.text AS output FROM conversat
 JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
 WHERE u.role = 'user' AND a.role = 'assistant')"""
 
-_q("union_sources", f"""{_SOURCE}, {_TURNS}, parts AS MATERIALIZED (
+_UNION = f"""{_SOURCE}, {_TURNS}, parts AS MATERIALIZED (
 SELECT 'mbpp' AS dataset, 0 AS dataset_ord, CAST(pos AS VARCHAR) AS id, 'cc-by-4.0' AS license,
   task AS instruction, {sql.strip('code')} AS code FROM tasks
-UNION ALL SELECT 'codealpaca', 1, conv_id || '-' || turn, 'cc-by-4.0',
+UNION ALL SELECT 'codealpaca', 1, CAST(conv_id * 1000 + turn AS VARCHAR), 'cc-by-4.0',
   {sql.strip('instruction')}, {sql.strip('output')} FROM turns
 UNION ALL SELECT 'evolcode', 2, CAST(item_id AS VARCHAR), 'cc-by-nc-sa-4.0', 'Continue.',
   {sql.strip('text')} FROM benchmark), keyed AS MATERIALIZED (
-SELECT row_number() OVER () AS pos, * FROM parts WHERE instruction <> '' AND code <> ''),
+SELECT dataset_ord * 72057594037927936 + CAST(id AS BIGINT) AS pos, * FROM parts WHERE instruction <> '' AND code <> ''),
 {sql.keyword_ctes("keyed", "pos", "code")}, found AS (
-SELECT k.*, {sql.detected('code')} AS found_language FROM keyed k JOIN best USING (pos))""", """
-SELECT dataset, dataset_ord, id, CASE dataset WHEN 'mbpp' THEN 'python'
+SELECT k.*, {sql.detected('code')} AS found_language FROM keyed k JOIN best USING (pos)),
+merged AS MATERIALIZED (
+SELECT pos, dataset, dataset_ord, id, CASE dataset WHEN 'mbpp' THEN 'python'
   WHEN 'evolcode' THEN CASE found_language WHEN 'unknown' THEN 'python' ELSE found_language END
-  ELSE found_language END AS language, license, md5(instruction) AS instruction_md5,
-  md5(code) AS output_md5 FROM found""")
+  ELSE found_language END AS language, license, instruction, '' AS input, code AS output
+FROM found)"""
+_q("union_sources", _UNION, """
+SELECT dataset, dataset_ord, id, language, license, md5(instruction) AS instruction_md5,
+  md5(output) AS output_md5 FROM merged""")
 
 _q("source_validity", "", """
 SELECT field, type, (SELECT count(*) FROM documents) AS n_rows FROM (VALUES
@@ -505,8 +510,14 @@ SELECT pos, text FROM f WHERE text <> '' AND NOT contains(text, chr(0))
 
 # --- whole jobs -------------------------------------------------------------
 
-_ACCEPTED = f"""{_DECIDED}, accepted AS MATERIALIZED (SELECT * FROM decided WHERE len(reasons) = 0),
+_KEPT_OF_ACCEPTED = f"""accepted AS MATERIALIZED (
+SELECT * FROM decided WHERE len(reasons) = 0),
 {_signatures("accepted", "pos", "output")}, {_rounds()}"""
-_q("deduplicated_corpus", _ACCEPTED, """
+_q("deduplicated_corpus", f"{_DECIDED}, {_KEPT_OF_ACCEPTED}", """
 SELECT pos, dataset, language, license, md5(output) AS output_md5, token_count
 FROM kept LEFT JOIN accepted USING (pos)""")
+
+_q("full_run", f"{_UNION}, {inputs.named('merged')}, {_DECISION}, {_KEPT_OF_ACCEPTED}", f"""
+SELECT {_split(C.VALIDATION_FRACTION, "dataset", "id")} AS split,
+  md5(instruction) AS instruction_md5, md5(output) AS output_md5
+FROM kept LEFT JOIN accepted USING (pos)""")

@@ -8,8 +8,6 @@ number of times (a look-behind stops them from re-scanning long blank runs).
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siftloom.functions.rows import settled
-
 # fixed values: the characters Python treats as whitespace, and as line ends
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
@@ -100,9 +98,8 @@ def lookup(c: Column, table: dict) -> Column:
 
 def clean_sample(df):
     """Clean the three text fields and fold language and license names."""
-    columns = {
+    return df.withColumns({
         **{name: clean_text(F.col(name)) for name in ("instruction", "input", "output")},
         "language": lower_strip(F.col("language")),
         "license": lower_strip(F.col("license")),
-    }
-    return settled(df.withColumns(columns), *columns)
+    })

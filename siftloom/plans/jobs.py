@@ -12,6 +12,7 @@ from siftloom.functions.text import clean_sample
 from siftloom.functions.tokens import count_tokens, sample_tokens
 from siftloom.operators import dedup, filters, statistics, validation
 from siftloom.operators.sampling import split_counts, with_split
+from siftloom.schema import TEXT_FIELDS
 from siftloom.session import materialize
 from siftloom.sinks.writers import write_split
 from siftloom.sources.adapters import ADAPTERS, backfill
@@ -42,7 +43,7 @@ def decided(df: DataFrame, counter=count_tokens, **toggles) -> DataFrame:
     A filter gives one reason; only samples that pass all filters are validated,
     and those may have several.
     """
-    cleaned = filters.normalize_names(clean_sample(df))
+    cleaned = settled(filters.normalize_names(clean_sample(df)), *TEXT_FIELDS)
     filtered = cleaned.withColumn("_filter", filters.filter_reason(**toggles))
     passed = F.col("_filter").isNull()
     counted = filtered.withColumn("token_count", F.when(passed, sample_tokens(counter)))
