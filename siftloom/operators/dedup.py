@@ -113,7 +113,9 @@ def matches(queries: DataFrame, index: DataFrame, total: int,
     ``total`` is the number of buckets of all query rows together.
     """
     rows = queries.select("pos", F.explode("buckets").alias("bucket"))
-    known = index.select("bucket", F.lit(True).alias("known"))
-    counts = _bucket_counts(rows).join(known, "bucket", "left")
-    return (attach(rows, counts, "bucket", total, small_rows)
+    counts = _bucket_counts(rows)
+    # the buckets of a small batch are broadcast to the scan of the index, by their size
+    known = (index.join(counts.select("bucket"), "bucket", "left_semi")
+             .select("bucket", F.lit(True).alias("known")))
+    return (attach(rows, counts.join(known, "bucket", "left"), "bucket", total, small_rows)
             .where("known").select("pos").distinct())

@@ -34,7 +34,7 @@ def unified(spark: SparkSession, sources) -> DataFrame:
 
 def not_yet_written(df: DataFrame, written: DataFrame) -> DataFrame:
     """Samples a previous run has not written, by dataset and id."""
-    return df.join(written.select("dataset", "id"), ["dataset", "id"], "left_anti")
+    return df.join(written.select("dataset", "id").distinct(), ["dataset", "id"], "left_anti")
 
 
 def decided(df: DataFrame, counter=count_tokens, **toggles) -> DataFrame:
@@ -80,10 +80,15 @@ def run(spark: SparkSession, sources, out: str, form: str = "instruction",
     """Unify, filter, deduplicate, write the train and validation sets, and report.
 
     The decision and the kept corpus are each written once to shared storage; the
-    reports and the two output sets are read from there.
+    reports and the two output sets are read from there. Of rejected samples only
+    the reasons are stored; ``prepared`` gives them in full.
     """
-    frame = materialize(decided(unified(spark, sources), counter), "decided")
-    accepted = frame.where(F.size("reasons") == 0).drop("reasons")
+    accepts = F.size("reasons") == 0
+    frame = decided(unified(spark, sources), counter)
+    frame = materialize(frame.withColumns({name: F.when(accepts, F.col(name))
+                                           for name in (*TEXT_FIELDS, "tests", "metadata")}),
+                        "decided")
+    accepted = frame.where(accepts).drop("reasons")
     corpus = materialize(with_split(dedup.near_dedup(accepted, banding=banding)), "corpus")
     write_split(corpus, out, form)
     return Outcome(
