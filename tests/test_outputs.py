@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -172,3 +173,17 @@ def test_stream_resumes_where_it_stopped(spark, tmp_path):
         assert spark.read.parquet(out).count() == expected
         if expected == 1:
             batches(spark, source, [[(2, "b")]])
+
+
+def test_stream_through_adapter_filters_and_dedup(spark, tmp_path):
+    sources = raw_tables(spark, str(tmp_path / "in"))
+    mbpp = replace(sources[0], path=f"{tmp_path}/in/mbpp/train", streaming=True,
+                   order_by="task_id")
+    frame = jobs.decided(jobs.unified(spark, [mbpp]))
+    assert frame.isStreaming
+    accepted = frame.where(F.size("reasons") == 0).drop("reasons")
+    incremental.dedup_stream(accepted, f"{tmp_path}/run").awaitTermination()
+    kept = incremental.deduplicated(spark, f"{tmp_path}/run", accepted.schema)
+    assert [(r.id, r.language) for r in kept.collect()] == [("1", "python")]
+    with pytest.raises(ValueError, match="order column"):
+        jobs.unified(spark, [replace(mbpp, order_by=None)])
