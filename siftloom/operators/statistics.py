@@ -80,17 +80,16 @@ def summary_record(df: DataFrame, duplicate_percentage: float = 0.0,
     the maps stay small.
     """
     counts = count_by(df, *DIMENSIONS)
-    maps = counts.groupBy().agg(*[
+    maps = counts.agg(*[
         F.map_from_entries(F.array_sort(F.collect_list(
             F.when(F.col("dimension") == d, F.struct("value", "n"))))).alias(name)
         for d, name in zip(DIMENSIONS, ("samples_per_dataset", "language_distribution",
                                         "license_distribution", "difficulty_distribution"))])
-    totals = corpus_statistics(df, tokens)
-    # both sides have exactly one row
-    both = totals.withColumn("one", F.lit(1)).join(maps.withColumn("one", F.lit(1)), "one")
-    return both.select(
-        "total_samples", "samples_per_dataset", "language_distribution", "license_distribution",
-        "difficulty_distribution", "average_tokens", "min_tokens", "max_tokens",
+    distributions = maps.select(F.struct("*")).scalar()
+    return corpus_statistics(df, tokens).withColumn("maps", distributions).select(
+        "total_samples", "maps.samples_per_dataset", "maps.language_distribution",
+        "maps.license_distribution", "maps.difficulty_distribution",
+        "average_tokens", "min_tokens", "max_tokens",
         "average_instruction_length", "average_output_length", "average_input_length",
         "samples_with_tests", F.lit(float(duplicate_percentage)).alias("duplicate_percentage"),
         F.create_map(F.lit("instruction"), F.col("empty_instruction"),

@@ -22,22 +22,22 @@ def reader_for(path: str) -> str | None:
     return READER_BY_SUFFIX.get(path.rsplit(".", 1)[-1].lower())
 
 
-def _files(spark: SparkSession, path: str, suffix: str, fmt: str, schema) -> list[str]:
-    """Data files below ``path`` with this suffix, from Spark's own file listing."""
-    reader = (spark.read.schema(schema).option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", f"*.{suffix}"))
-    return sorted(reader.format(fmt).load(path).inputFiles())
+def _below(reader, path: str, fmt: str) -> DataFrame:
+    """All data files of a format below a folder, as one table."""
+    suffixes = ",".join(s for s, f in READER_BY_SUFFIX.items() if f == fmt)
+    return (_with_options(reader, fmt).option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", f"*.{{{suffixes}}}").format(fmt).load(path))
 
 
 def find_files(spark: SparkSession, path: str, split: str, schema) -> tuple[str, list[str]]:
-    """(format, files): the preferred format present, pruned to the split if it is laid out so."""
+    """(format, files): the preferred format present, pruned to the split if it is laid out so.
+
+    The names come from the listing Spark makes for a scan anyway.
+    """
     if reader_for(path):
         return reader_for(path), [path]
-    by_format = {}
-    for suffix, fmt in READER_BY_SUFFIX.items():
-        by_format.setdefault(fmt, []).append(suffix)
-    for fmt, suffixes in by_format.items():
-        files = [f for suffix in suffixes for f in _files(spark, path, suffix, fmt, schema)]
+    for fmt in dict.fromkeys(READER_BY_SUFFIX.values()):
+        files = sorted(_below(spark.read.schema(schema), path, fmt).inputFiles())
         if files:
             root = re.sub(_SCHEME, "/", path).rstrip("/") + "/"
             below = {f: f.split(root, 1)[-1].lower() for f in files}
