@@ -26,6 +26,12 @@ def piece_model() -> bytes:
     return Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
 
 
+@query
+def op3_mixing(spark, sf_dir):
+    from siftloom.llm.mixing import mixed
+    return mixed(table(spark, sf_dir, "documents")).drop("_d", "_h")
+
+
 @query
 def op4_toxicity(spark, sf_dir):
     from siftloom.llm.toxicity import toxicity
@@ -43,6 +49,18 @@ def op6_sentencepiece_codec(spark, sf_dir):
         .alias("ids_sha256"), hex_sha256(whole("decoded")).alias("decoded_sha256"))
 
 
+@query
+def op8_quality_rules(spark, sf_dir):
+    from siftloom.llm.quality_rules import quality
+    return quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_kd_sharding(spark, sf_dir):
+    from siftloom.llm.kd_sharding import shard
+    return shard(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_minhash_near_dedup(spark, sf_dir):
     from siftloom.llm.minhash_near_dedup import near_classes

@@ -39,7 +39,10 @@ class Chain:
 
 
 def words(text: str) -> set:
-    return set(WORD.findall(text.lower()))
+    """The distinct words, and their beginnings of four and six letters as ``abcd~``."""
+    found = set(WORD.findall(text.lower()))
+    return found | {w[:4] + "~" for w in found if len(w) > 4} \
+        | {w[:6] + "~" for w in found if len(w) > 6}
 
 
 def chosen_words(bags: list, labels: np.ndarray, chain: Chain) -> list:
