@@ -31,7 +31,7 @@ class Rules:
     accuracy: float = 0.02
     reach: float = 4.0
     # distance that is kept even where a group hardly varies, per measure
-    slack: tuple = (3.0, 0.5, 0.3, 0.15)
+    slack: tuple = (3.0, 0.2, 0.35, 0.2)
     least_rows: int = 200
     least_words: int = 10
     repeat_percent: int = 20

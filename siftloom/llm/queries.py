@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftloom.llm.rows import hex_sha256, whole
+from siftloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,6 +27,12 @@ def piece_model() -> bytes:
     return Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
 
 
+@query
+def op2_weighted_fingerprints(spark, sf_dir):
+    from siftloom.llm.weighted_fingerprints import fingerprints
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_mixing(spark, sf_dir):
     from siftloom.llm.mixing import mixed
@@ -38,6 +45,28 @@ def op4_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_token_rollups(spark, sf_dir):
+    """Insert all documents, count them anew by a second tokenizer, delete some, move some to
+    another language, revise the texts of some; two of the batches come twice."""
+    from siftloom.llm.token_rollups import TokenRollups, documents_as_changes
+    docs = table(spark, sf_dir, "documents")
+    rollups = TokenRollups(spark, scratch_path(spark, "rollups"))
+    key = F.col("doc_id")
+    batches = {
+        "load": documents_as_changes(docs, "words-1", "insert", 1),
+        "tokenizer": documents_as_changes(docs, "lexical-1", "insert", 1),
+        "revisions": documents_as_changes(
+            docs.where(key % 7 == 3).withColumn("text", F.concat("text", F.lit(" "), "text")),
+            "words-1", "revise", 1)
+        .unionByName(documents_as_changes(docs.where(key % 11 == 5), "lexical-1", "delete", 2)),
+        "labels": documents_as_changes(docs.where(key % 13 == 4).withColumn("lang", F.lit("xx")),
+                                       "words-1", "revise", 1)}
+    for name in ("load", "tokenizer", "load", "revisions", "labels", "revisions"):
+        rollups.apply(name, batches[name])
+    return rollups.totals()
+
+
 @query
 def op6_sentencepiece_codec(spark, sf_dir):
     from siftloom.llm.sentencepiece_codec import encode_documents
@@ -67,4 +96,18 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return near_classes(table(spark, sf_dir, "documents"))
 
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_token_rollups": r"""
+WITH words AS (
+  SELECT doc_id, source, CASE WHEN doc_id % 13 = 4 THEN 'xx' ELSE lang END AS lang, 'words-1' AS tokenizer,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))
+      * CASE WHEN doc_id % 7 = 3 AND doc_id % 13 <> 4 THEN 2 ELSE 1 END AS tokens
+  FROM documents),
+lexical AS (
+  SELECT doc_id, source, lang, 'lexical-1' AS tokenizer,
+    len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\x20\x09-\x0D]')) AS tokens
+  FROM documents WHERE doc_id % 11 <> 5)
+SELECT source, lang, tokenizer, CAST(count(*) AS BIGINT) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens
+FROM (SELECT * FROM words UNION ALL SELECT * FROM lexical)
+GROUP BY source, lang, tokenizer""".replace("\\", "\"),
+}
