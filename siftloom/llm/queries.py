@@ -109,5 +109,5 @@ lexical AS (
   FROM documents WHERE doc_id % 11 <> 5)
 SELECT source, lang, tokenizer, CAST(count(*) AS BIGINT) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens
 FROM (SELECT * FROM words UNION ALL SELECT * FROM lexical)
-GROUP BY source, lang, tokenizer""".replace("\\", "\"),
+GROUP BY source, lang, tokenizer""",
 }
