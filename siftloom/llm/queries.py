@@ -6,6 +6,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from siftloom.llm.rows import hex_sha256, whole
 from siftloom.session import scratch_path
 
@@ -27,6 +28,14 @@ def piece_model() -> bytes:
     return Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    from siftloom.llm.substring_dedup import substring_dedup
+    cut = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed",
+                      F.sha2("kept", 256).alias("kept_sha256"), "n_spans")
+
+
 @query
 def op2_weighted_fingerprints(spark, sf_dir):
     from siftloom.llm.weighted_fingerprints import fingerprints
@@ -78,6 +87,14 @@ def op6_sentencepiece_codec(spark, sf_dir):
         .alias("ids_sha256"), hex_sha256(whole("decoded")).alias("decoded_sha256"))
 
 
+@query
+def op7_suffix_array_dedup(spark, sf_dir):
+    from siftloom.llm.suffix_array_dedup import suffix_dedup
+    cut = suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_quality_rules(spark, sf_dir):
     from siftloom.llm.quality_rules import quality
@@ -96,6 +113,11 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return near_classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 ORACLE: dict[str, str] = {
     "op5_token_rollups": r"""
 WITH words AS (

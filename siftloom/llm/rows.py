@@ -87,7 +87,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return v ^ (v >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
     if n:
         out[0] = 1
@@ -99,10 +99,9 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray,
                 base: int = BASE) -> np.ndarray:
     """A 64-bit hash of ``values[start:end]`` for every pair, by one pass over the values."""
     n = len(values)
-    powers = _powers(base, n)
-    inverse = _powers(pow(base, -1, 1 << 64), n + 1)
+    inverse = powers(pow(base, -1, 1 << 64), n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers, out=sums[1:])
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(base, n), out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * inverse[starts]
                  + (ends - starts).astype(np.uint64) * np.uint64(STEP))
 
