@@ -37,6 +37,7 @@ class Darts:
     bands: int = 48
     shingle: int = 5
     similarity: float = 0.8
+    block: int = 1000
 
 
 def shingles(data, offsets, width: int):
@@ -187,66 +188,105 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("_a").alias("_node"), F.col("_b").alias("_root"))
 
 
-def _pairs(members: DataFrame, round_no: int) -> DataFrame:
-    """(_a, _b): members of a bucket with this round's leaders, if in different classes.
+def similar_pairs(sets: list[np.ndarray], roots: np.ndarray, similarity: float) -> np.ndarray:
+    """(i, j) of all similar sets of different classes, by products of their incidence matrix."""
+    sizes = np.array([len(x) for x in sets], dtype=np.float32)
+    owner = np.repeat(np.arange(len(sets)), sizes.astype(np.int64))
+    values, element, held = np.unique(np.concatenate(sets), return_inverse=True,
+                                      return_counts=True)
+    shared = np.cumsum(held > 1) - 1
+    used = held[element] > 1
+    owner, element = owner[used], shared[element[used]]
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], element[order]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    edges = np.searchsorted(element, np.arange(0, int(element.max(initial=-1)) + 4097, 4096))
+    for low, high in zip(edges[:-1], edges[1:]):
+        if high > low:
+            block = np.zeros((len(sets), 4096), dtype=np.float32)
+            block[owner[low:high], element[low:high] % 4096] = 1.0
+            both += block @ block.T
+    near = (both >= similarity * (sizes[:, None] + sizes[None, :] - both) - 1e-3) & (both > 0)
+    near &= roots[:, None] != roots[None, :]
+    return np.argwhere(np.triu(near, 1))
+
+
+def _forest(darts: Darts):
+    """Links that join the classes of one block of a bucket; a chain of links is not repeated."""
+    def run(table: pa.Table) -> pa.Table:
+        ids = table.column("_d").to_numpy()
+        roots = table.column("_root").to_numpy()
+        sets = table.column("_set").combine_chunks()
+        offsets, flat = sets.offsets.to_numpy(), sets.values.to_numpy()
+        sets = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+        parent = {r: r for r in roots.tolist()}
+
+        def top(r):
+            while parent[r] != r:
+                parent[r] = parent[parent[r]]
+                r = parent[r]
+            return r
+        out = []
+        for i, j in similar_pairs(sets, roots, darts.similarity).tolist():
+            x, y = top(int(roots[i])), top(int(roots[j]))
+            if x != y:
+                parent[x] = y
+                out.append((int(ids[i]), int(ids[j])))
+        return pa.table([pa.array([o[0] for o in out], pa.int64()),
+                         pa.array([o[1] for o in out], pa.int64())], names=["_a", "_b"])
+    return run
 
-    The smallest member leads first. In round t about 2^t members lead, those whose hash lies
-    in the t-th slice; the slices of all rounds cover every member, so no pair of classes
-    stays untried, and a bucket of n members is done after log2 n rounds.
-    """
-    of = members.groupBy("_bucket").agg(F.count("*").alias("_n"), F.min("_d").alias("_least"),
-                                        F.min("_root").alias("_low"), F.max("_root").alias("_high"))
-    of = of.where("_low <> _high").drop("_low", "_high")
-    if round_no == 0:
-        leads = of.select("_bucket", F.col("_least").alias("_b"))
-        leads = leads.join(members.select("_bucket", F.col("_d").alias("_b"),
-                                          F.col("_root").alias("_to")), ["_bucket", "_b"])
-    else:
-        place = (F.shiftrightunsigned(F.xxhash64("_d"), 11).cast("double")
-                 * F.lit(2.0 ** -53) * F.col("_n"))
-        leads = (members.join(of, "_bucket")
-                 .where((place >= 2.0 ** (round_no - 1) - 1) & (place < 2.0 ** round_no - 1))
-                 .select("_bucket", F.col("_d").alias("_b"), F.col("_root").alias("_to")))
-    return (members.join(leads, "_bucket").where("_root <> _to")
-            .select(F.greatest("_d", "_b").alias("_a"), F.least("_d", "_b").alias("_b"))
-            .distinct())
+
+def _sets(darts: Darts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, data, offsets in slices(batch, "_text"):
+                document, element = shingles(data, offsets, darts.shingle)
+                edges = np.searchsorted(document, np.arange(piece.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("_d"), pa.ListArray.from_arrays(
+                        pa.array(edges), pa.array(element.view(np.int64)))], names=["_d", "_set"])
+    return run
 
 
 def links(texts: DataFrame, rows: DataFrame, darts: Darts = Darts()) -> DataFrame:
     """(_a, _b) pairs of similar texts, enough to join all that share a bucket and are similar.
 
-    ``texts`` has (_d, _text), ``rows`` (_d, _bands). Members of one class are not compared
-    again, as their link would change nothing: most buckets are done after one round.
+    ``texts`` has (_d, _text), ``rows`` (_d, _bands). First everyone is compared with the smallest
+    member of the bucket. Buckets whose members are one class by then need no more, whatever
+    their size. In the others, members of different classes are compared all with all,
+    as sets of shingles in blocks of about ``block`` members, and only links that join
+    classes come out. Pairs of documents are never rows.
     """
     members = rows.select("_d", F.explode("_bands").alias("_bucket"))
-    shared = members.groupBy("_bucket").agg(F.count("*").alias("_n")).where("_n > 1")
-    members = materialize(members.join(shared, "_bucket"), "members")
+    leads = members.groupBy("_bucket").agg(F.count("*").alias("_n"), F.min("_d").alias("_b"))
+    members = materialize(members.join(leads.where("_n > 1"), "_bucket"), "members")
     texts = materialize(texts.join(members.select("_d").distinct(), "_d", "left_semi"), "texts")
-    widest = members.agg(F.max("_n")).first()[0] or 0
-    members = members.drop("_n")
-    tried = texts.sparkSession.createDataFrame([], "_a bigint, _b bigint, _linked boolean")
-    open_members, round_no = members.withColumn("_root", F.col("_d")), 0
-    while round_no == 0 or 2 ** (round_no - 1) - 1 < widest:
-        pairs = _pairs(open_members, round_no).join(tried, ["_a", "_b"], "left_anti")
-        left = texts.select(F.col("_d").alias("_a"), "_text")
-        right = texts.select(F.col("_d").alias("_b"), F.col("_text").alias("_other"))
-        judged = materialize(pairs.join(left, "_a").join(right, "_b").select(
-            "_a", "_b", "_text", "_other").mapInArrow(
-                _similar(darts), "_a bigint, _b bigint, _linked boolean"), "judged")
-        tried = tried.unionByName(judged)
-        roots = components(tried.where("_linked").select("_a", "_b"))
-        labelled = members.join(roots, F.col("_d") == F.col("_node"), "left").select(
-            "_d", "_bucket", F.coalesce("_root", "_d").alias("_root"))
-        split = labelled.groupBy("_bucket").agg(
-            F.min("_root").alias("_low"), F.max("_root").alias("_high"),
-            F.count("*").alias("_n")).where("_low <> _high")
-        open_members = materialize(labelled.join(split.select("_bucket", "_n"), "_bucket"), "open")
-        widest = open_members.agg(F.max("_n")).first()[0]
-        if widest is None:
-            break
-        open_members = open_members.drop("_n")
-        round_no += 1
-    return tried.where("_linked").select("_a", "_b").distinct()
+    left = texts.select(F.col("_d").alias("_a"), "_text")
+    right = texts.select(F.col("_d").alias("_b"), F.col("_text").alias("_other"))
+    pairs = members.where("_d <> _b").select(F.col("_d").alias("_a"), "_b").distinct()
+    judged = pairs.join(left, "_a").join(right, "_b").select("_a", "_b", "_text", "_other")
+    first = materialize(judged.mapInArrow(
+        _similar(darts), "_a bigint, _b bigint, _linked boolean").where("_linked")
+        .select("_a", "_b"), "linked")
+
+    roots = components(first)
+    labelled = members.join(roots, F.col("_d") == F.col("_node"), "left").select(
+        "_d", "_bucket", "_n", F.coalesce("_root", "_d").alias("_root"))
+    split = labelled.groupBy("_bucket").agg(
+        F.min("_root").alias("_low"), F.max("_root").alias("_high")).where("_low <> _high")
+    waiting = materialize(labelled.join(split.select("_bucket"), "_bucket"), "open")
+    sets = materialize(texts.join(waiting.select("_d").distinct(), "_d", "left_semi").mapInArrow(
+        _sets(darts), "_d bigint, _set array<bigint>"), "sets")
+    blocks = F.floor(F.col("_n") / darts.block) + 1
+    own = F.pmod(F.xxhash64("_d"), blocks)
+    dealt = (waiting.withColumn("_own", own)
+             .withColumn("_with", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+             .select("_bucket", F.least("_own", "_with").alias("_i"),
+                     F.greatest("_own", "_with").alias("_j"), "_d", "_root"))
+    more = dealt.join(sets, "_d").groupBy("_bucket", "_i", "_j").applyInArrow(
+        _forest(darts), "_a bigint, _b bigint")
+    return first.unionByName(materialize(more, "more")).distinct()
 
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
