@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from siftloom.catalog import sql
 from siftloom.functions.rows import settled
 from siftloom.operators.unify import assert_tests
-from siftloom.sources.readers import spread
 
 LANGUAGES = ("Python3", " JS ", "golang", "klingon", "", "C++", "ruby", "N/A")
 LICENSES = ("MIT License", "Apache2", "gpl-3.0", " MIT ", "", "bsd3", "CC-BY-4.0")
@@ -20,6 +19,8 @@ PREFIXES = ("", "", " \t", "", "\r\n", "\u3000")
 SUFFIXES = ("", "  \r\n\r\n\r\nend\x1f", "\n// Code generated by a tool", "\x0b\n\x0c", "\x07bell",
             "\r", "", " \t \n \n\n\nlast \u00a0", "\n@Generated", "\u2028x\x85y", "", "\x00",
             "\n\nplain")
+# ids of rows added to the documents start here
+EXTRA = 1_000_000_000
 REPEATED = "same line" + "\n same line \nsame line" * 29 + "\n same line \n"
 SNIPPETS = ("def hello():\n    print(1)\n", "function f() { console.log('x'); }\n",
             "#!/usr/bin/env fish\n", "#!/usr/bin/python3\n",
@@ -32,7 +33,7 @@ HINTS = ("", "Perl", "klingon", " zig ")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(values, index: Column) -> Column:
@@ -41,32 +42,43 @@ def pick(values, index: Column) -> Column:
 
 def _variant(key: Column, text: Column) -> Column:
     body = (F.when(key % 13 == 5, F.replace(text, F.lit("\n"), F.lit(" ")))
-            .when(key % 29 == 7, F.lit(REPEATED)).when(key % 31 == 9, F.lit(" \n"))
-            .otherwise(text))
+            .when(key % 29 == 7, F.concat(text, F.lit("\n" + REPEATED))).otherwise(text))
     return F.concat(pick(PREFIXES, key % len(PREFIXES)), body,
                     pick(SUFFIXES, key % len(SUFFIXES)))
 
 
+def given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, and besides them rows without a text for the rules about empty ones."""
+    df = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    blank = df.where(F.col("doc_id") % 31 == 9).withColumns(
+        {"doc_id": F.col("doc_id") + EXTRA, "text": F.lit(" \n")})
+    return df.unionByName(blank)
+
+
+GIVEN = f"""given AS (
+SELECT doc_id, text, lang, source FROM documents UNION ALL
+SELECT doc_id + {EXTRA}, ' ' || chr(10), lang, source FROM documents WHERE doc_id % 31 = 9)"""
+
+
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents with uneven text: (pos, text)."""
-    df = table(spark, sf_dir, "documents")
+    df = given(spark, sf_dir)
     return settled(df.select(F.col("doc_id").alias("pos"),
                              _variant(F.col("doc_id"), F.col("text")).alias("text")), "text")
 
 
-RAW_DOCUMENTS = f"""raw_documents AS MATERIALIZED (
+RAW_DOCUMENTS = f"""{GIVEN}, raw_documents AS MATERIALIZED (
 SELECT doc_id AS pos,
   {sql.pick(PREFIXES, f"doc_id % {len(PREFIXES)}")} ||
   CASE WHEN doc_id % 13 = 5 THEN replace(text, chr(10), ' ')
-       WHEN doc_id % 29 = 7 THEN {sql.quote("same line")} || repeat(chr(10) || ' same line ' || chr(10) || 'same line', 29) || chr(10) || ' same line ' || chr(10)
-       WHEN doc_id % 31 = 9 THEN ' ' || chr(10) ELSE text END ||
+       WHEN doc_id % 29 = 7 THEN text || chr(10) || {sql.quote("same line")} || repeat(chr(10) || ' same line ' || chr(10) || 'same line', 29) || chr(10) || ' same line ' || chr(10) ELSE text END ||
   {sql.pick(SUFFIXES, f"doc_id % {len(SUFFIXES)}")} AS text
-FROM documents)"""
+FROM given)"""
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as uncleaned samples, with spellings and blanks for the rules to find."""
-    df, key = table(spark, sf_dir, "documents"), F.col("doc_id")
+    df, key = given(spark, sf_dir), F.col("doc_id")
     return df.select(
         key.alias("pos"), key.cast("string").alias("id"), F.col("source").alias("dataset"),
         pick(LANGUAGES, key % len(LANGUAGES)).alias("language"),
@@ -90,7 +102,7 @@ SELECT pos, CAST(pos AS VARCHAR) AS id, source AS dataset,
   CASE WHEN pos % 4 = 0 THEN ' Language: ' || lang ELSE '' END AS input,
   r.text AS output, CASE WHEN pos % 3 = 0 THEN 1 ELSE 0 END AS n_tests,
   {sql.pick(DIFFICULTIES, f"pos % {len(DIFFICULTIES)}")} AS difficulty
-FROM documents d JOIN raw_documents r ON d.doc_id = r.pos)"""
+FROM given d JOIN raw_documents r ON d.doc_id = r.pos)"""
 
 def named(source: str) -> str:
     """CTEs `named` and `counted`: cleaned and normalized samples, with token counts."""

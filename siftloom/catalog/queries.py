@@ -382,7 +382,8 @@ def _stage_sources(spark, sf_dir):
     documents = _coded_source(spark, sf_dir)
     mbpp = documents.select(F.col("pos").cast("int").alias("task_id"),
                             F.col("task").alias("text"), "code",
-                            F.array(F.lit("assert a")).alias("test_list"))
+                            F.when(F.col("pos") % 5 != 2, F.array(F.lit("assert a")))
+                            .alias("test_list"))
     mbpp.write.parquet(f"{root}/mbpp/train")
     mbpp.withColumn("code", F.lit("wrong split")).write.parquet(f"{root}/mbpp/test")
     talk = _turns(spark, sf_dir)
@@ -409,7 +410,7 @@ def union_sources(spark, sf_dir):
 def source_validity(spark, sf_dir):
     """Every declared column of a staged source: its type and how many rows fill it."""
     source, raw = next(readers.load_all(spark, _stage_sources(spark, sf_dir)))
-    filled = raw.agg(*[F.count(F.col(f.name).isNotNull()).alias(f.name) for f in RAW[source.id]])
+    filled = raw.agg(*[F.count(f.name).alias(f.name) for f in RAW[source.id]])
     counts = filled.unpivot([], filled.columns, "field", "n_rows")
     return readers.inspect_schema(raw).join(F.broadcast(counts), "field")
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftloom.functions.minhash import Banding, buckets
-from siftloom.operators.skew import SMALL_ROWS, attach
+from siftloom.operators.skew import attach
 from siftloom.session import materialize
 
 
@@ -39,15 +39,15 @@ def _bucket_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("bucket").agg(F.count("*").alias("n"))
 
 
-def contested(firsts: DataFrame, total: int, small_rows: int = SMALL_ROWS) -> DataFrame:
+def contested(firsts: DataFrame, total: int) -> DataFrame:
     """(pos, buckets) of samples that share a bucket, with only the shared buckets."""
     rows = firsts.select("pos", F.explode(F.array_distinct("buckets")).alias("bucket"))
-    shared = attach(rows, _bucket_counts(rows).where("n > 1"), "bucket", total, small_rows)
+    shared = attach(rows, _bucket_counts(rows).where("n > 1"), "bucket", total)
     # at most one entry per band
     return shared.groupBy("pos").agg(F.collect_list("bucket").alias("buckets"))
 
 
-def settle(waiting: DataFrame, total: int, small_rows: int = SMALL_ROWS) -> DataFrame:
+def settle(waiting: DataFrame, total: int) -> DataFrame:
     """One round over (pos, buckets): adds ``kept`` (true, false, or null for undecided)."""
     rows = waiting.select("pos", F.size("buckets").alias("held"),
                           F.explode("buckets").alias("bucket"))
@@ -58,23 +58,22 @@ def settle(waiting: DataFrame, total: int, small_rows: int = SMALL_ROWS) -> Data
     led = F.count("*").over(Window.partitionBy("lead"))
     buckets_now = leads.select("bucket", "n", F.when(led == F.col("held"), F.col("lead"))
                                .alias("winner"))
-    seen = attach(rows.select("pos", "bucket"), buckets_now, "bucket", total, small_rows)
+    seen = attach(rows.select("pos", "bucket"), buckets_now, "bucket", total)
     return seen.groupBy("pos").agg(F.collect_list("bucket").alias("buckets"),
                                    F.bool_or(F.col("winner") == F.col("pos")).alias("kept"))
 
 
-def keep_first(rows: DataFrame, bands: int = Banding().bands,
-               small_rows: int = SMALL_ROWS) -> DataFrame:
+def keep_first(rows: DataFrame, bands: int = Banding().bands) -> DataFrame:
     """(pos, copies) of the samples the sequential rule keeps, given (pos, buckets).
 
     Counts come from the tables just written: a footer or one narrow column.
     """
     firsts = materialize(first_of_copies(rows), "firsts")
-    waiting = materialize(contested(firsts, firsts.count() * bands, small_rows), "contested")
+    waiting = materialize(contested(firsts, firsts.count() * bands), "contested")
     kept = firsts.select("pos", "copies")
     losers = []
     while left := waiting.count():
-        done = materialize(settle(waiting, left * bands, small_rows), "round")
+        done = materialize(settle(waiting, left * bands), "round")
         losers.append(done.where("NOT kept").select("pos"))
         waiting = done.where("kept IS NULL").drop("kept")
     if not losers:
@@ -105,8 +104,7 @@ def duplicate_percentage(total, unique):
     return F.round(F.when(total > 0, (total - unique) * 100.0 / total).otherwise(0.0), 6)
 
 
-def matches(queries: DataFrame, index: DataFrame, total: int,
-            small_rows: int = SMALL_ROWS) -> DataFrame:
+def matches(queries: DataFrame, index: DataFrame, total: int) -> DataFrame:
     """``pos`` of the (pos, buckets) rows that share a bucket with ``index(bucket)``.
 
     The index holds each bucket at most once, because a bucket has one kept sample.
@@ -117,5 +115,5 @@ def matches(queries: DataFrame, index: DataFrame, total: int,
     # the buckets of a small batch are broadcast to the scan of the index, by their size
     known = (index.join(counts.select("bucket"), "bucket", "left_semi")
              .select("bucket", F.lit(True).alias("known")))
-    return (attach(rows, counts.join(known, "bucket", "left"), "bucket", total, small_rows)
+    return (attach(rows, counts.join(known, "bucket", "left"), "bucket", total)
             .where("known").select("pos").distinct())

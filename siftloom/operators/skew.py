@@ -3,14 +3,12 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# below this many rows any key fits one task, so the plain join is enough
-SMALL_ROWS = 1_000_000
 # a key with more than total/HOT_SHARE rows is hot; there are fewer than HOT_SHARE of them
 HOT_SHARE = 1000
 
 
 def attach(rows: DataFrame, keys: DataFrame, key: str, total: int,
-           small_rows: int = SMALL_ROWS, hot_share: int = HOT_SHARE) -> DataFrame:
+           hot_share: int = HOT_SHARE) -> DataFrame:
     """Inner join of ``rows`` with ``keys``, which lists a key at most once.
 
     ``keys`` carries the number ``n`` of rows with each key, and ``total`` is the
@@ -18,9 +16,7 @@ def attach(rows: DataFrame, keys: DataFrame, key: str, total: int,
     ``hot_share`` keys can exceed ``total / hot_share``: these are broadcast, however
     large the data. The remaining keys are light enough to shuffle.
     """
-    if total <= small_rows:
-        return rows.join(keys.drop("n"), key)
-    limit = total // hot_share
+    limit = max(1, total // hot_share)
     hot = F.broadcast(keys.where(F.col("n") > limit).drop("n"))
     light = keys.where(F.col("n") <= limit).drop("n")
     others = rows.join(hot.select(key), key, "left_anti")

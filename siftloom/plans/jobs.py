@@ -15,21 +15,21 @@ from siftloom.operators.sampling import split_counts, with_split
 from siftloom.schema import TEXT_FIELDS
 from siftloom.session import materialize
 from siftloom.sinks.writers import write_split
-from siftloom.sources.adapters import ADAPTERS, backfill
+from siftloom.sources.adapters import ADAPTERS, with_defaults
 from siftloom.sources.readers import load_all, with_position
-from siftloom.sources.registry import registry_frame
 
 
 def adapt(raw: DataFrame, source, dataset_ord: int) -> DataFrame:
-    """One source in unified form, with its place in the arrival order."""
-    return ADAPTERS[source.adapter or source.id](with_position(raw, source, dataset_ord))
+    """One source in unified form, with its defaults and its place in the arrival order."""
+    adapted = ADAPTERS[source.adapter or source.id](with_position(raw, source, dataset_ord))
+    return with_defaults(adapted, source)
 
 
 def unified(spark: SparkSession, sources) -> DataFrame:
     """All sources in registry order, with defaults filled in."""
     sources = list(sources)
     parts = [adapt(raw, source, i) for i, (source, raw) in enumerate(load_all(spark, sources))]
-    return backfill(reduce(DataFrame.unionByName, parts), registry_frame(spark, sources))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def not_yet_written(df: DataFrame, written: DataFrame) -> DataFrame:

@@ -42,3 +42,6 @@ RAW = {
 # columns a source may leave out; everything else in RAW is required
 OPTIONAL = {"codealpaca": {"id", "input"}, "evolcode": {"id"},
             "taco": {"problem_id", "test_list"}}
+
+# columns that come as JSON text or as typed values
+TYPED = {"solutions", "input_output"}

@@ -55,8 +55,11 @@ def _present(*names: str):
 
 def _solved(df: DataFrame) -> DataFrame:
     """Rows with a question and a usable solution, the latter as ``_solution``."""
-    found = df.where(_present("question")).withColumn(
-        "_solution", first_solution(F.col("solutions")))
+    solutions = F.col("solutions")
+    if df.schema["solutions"].dataType.typeName() != "string":
+        # typed lists, structs and maps read as the JSON text that holds the same
+        solutions = F.to_json(solutions)
+    found = df.where(_present("question")).withColumn("_solution", first_solution(solutions))
     return settled(found, "_solution").where(F.col("_solution").isNotNull())
 
 
@@ -141,21 +144,29 @@ def taco(df: DataFrame) -> DataFrame:
         meta=metadata(test_count=F.size("_tests")))
 
 
+def _filled(name: str, default):
+    """The column, or the default where it names nothing; an empty default fills nothing."""
+    given = F.lower(strip(F.coalesce(name, F.lit("none"))))
+    return F.when(given.isin(*C.UNKNOWN_METADATA_VALUES) & (default != ""),
+                  default).otherwise(F.col(name))
+
+
+def with_defaults(df: DataFrame, source) -> DataFrame:
+    """Fill in language and license by the entry the rows were read for."""
+    return df.withColumns({name: _filled(name, F.lit(default)) for name, default in (
+        ("language", source.language), ("license", source.license)) if default})
+
+
 def backfill(df: DataFrame, registry: DataFrame) -> DataFrame:
-    """Replace a language or license that is not given by the default of its source.
+    """Replace a language or license that is not given by the default of its dataset.
 
-    The registry has one row per configured source, so it is broadcast.
+    For tables that are merged already and know their entry by name only, so names must
+    be unique. The registry has one row per configured source, so it is broadcast.
     """
     defaults = F.broadcast(registry.select(
         F.col("id").alias("_id"), F.col("language").alias("_language"),
-        F.col("license").alias("_license")))
+        F.col("license").alias("_license")).dropDuplicates(["_id"]))
     joined = df.join(defaults, df["dataset"] == F.col("_id"), "left")
-
-    def filled(name):
-        given = F.lower(strip(F.coalesce(name, F.lit("none"))))
-        default = F.col(f"_{name}")
-        return F.when(given.isin(*C.UNKNOWN_METADATA_VALUES) & (default != ""),
-                      default).otherwise(F.col(name))
-
-    return (joined.withColumns({"language": filled("language"), "license": filled("license")})
+    return (joined.withColumns({name: _filled(name, F.col(f"_{name}"))
+                                for name in ("language", "license")})
             .drop("_id", "_language", "_license"))

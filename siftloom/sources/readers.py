@@ -7,13 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftloom.constants import READER_BY_SUFFIX
-from siftloom.schema import OPTIONAL, RAW
+from siftloom.schema import OPTIONAL, RAW, TYPED
 from siftloom.session import materialize
 from siftloom.sources.registry import Source
 
 ROW_BITS, FILE_BITS = 34, 22
-# file names are broadcast up to this many; beyond it the join decides by size
-BROADCAST_FILES = 100_000
 # the listing and the metadata column differ in the slashes after the scheme
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
 
@@ -22,11 +20,23 @@ def reader_for(path: str) -> str | None:
     return READER_BY_SUFFIX.get(path.rsplit(".", 1)[-1].lower())
 
 
+def _suffixes(fmt: str) -> str:
+    return ",".join(s for s, f in READER_BY_SUFFIX.items() if f == fmt)
+
+
 def _below(reader, path: str, fmt: str) -> DataFrame:
     """All data files of a format below a folder, as one table."""
-    suffixes = ",".join(s for s, f in READER_BY_SUFFIX.items() if f == fmt)
     return (_with_options(reader, fmt).option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", f"*.{{{suffixes}}}").format(fmt).load(path))
+            .option("pathGlobFilter", f"*.{{{_suffixes(fmt)}}}").format(fmt).load(path))
+
+
+def _root(path: str) -> str:
+    return re.sub(_SCHEME, "/", path).rstrip("/") + "/"
+
+
+def _of_split(files: list[str], path: str, split: str) -> list[str]:
+    """The files that name the split somewhere below the source's folder."""
+    return [f for f in files if split in f.split(_root(path), 1)[-1].lower()]
 
 
 def find_files(spark: SparkSession, path: str, split: str, schema) -> tuple[str, list[str]]:
@@ -39,36 +49,62 @@ def find_files(spark: SparkSession, path: str, split: str, schema) -> tuple[str,
     for fmt in dict.fromkeys(READER_BY_SUFFIX.values()):
         files = sorted(_below(spark.read.schema(schema), path, fmt).inputFiles())
         if files:
-            root = re.sub(_SCHEME, "/", path).rstrip("/") + "/"
-            below = {f: f.split(root, 1)[-1].lower() for f in files}
-            return fmt, [f for f in files if split in below[f]] or files
+            return fmt, _of_split(files, path, split) or files
     raise FileNotFoundError(f"no {'/'.join(READER_BY_SUFFIX)} files below {path}")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table too small for the scan to use every core, dealt out to all of them.
+def _with_options(reader, fmt: str, layout: str = "lines"):
+    """Text formats stop at the first record they cannot read instead of nulling it.
 
-    Splits fall short of the cores only below a few megabytes per core, so this
-    never shuffles a large table; those are used as they are scanned.
+    A quoted CSV field may hold line breaks, so such files are read whole; JSON files are only
+    if the source says that each is one array.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if fmt == "csv":
+        return (reader.option("header", "true").option("escape", '"').option("multiLine", "true")
+                .option("enforceSchema", "false").option("mode", "FAILFAST"))
+    if fmt == "json":
+        return (reader.option("multiLine", str(layout == "array").lower())
+                .option("mode", "FAILFAST"))
+    return reader
 
 
-def _with_options(reader, fmt: str):
-    return reader.option("header", "true").option("escape", '"').option("multiLine", "true") \
-        if fmt == "csv" else reader
+def file_schema(spark: SparkSession, fmt: str, files: list[str], source: Source) -> T.StructType:
+    """What the first file declares: footer, header, or the fields of its JSON records."""
+    reader = _with_options(spark.read, fmt, source.layout).format(fmt)
+    return reader.load(files[0]).schema
 
 
 def load(spark: SparkSession, source: Source, schema: T.StructType = None) -> DataFrame:
-    """The raw table of a source, lazily: a stream if the source says so."""
-    schema = schema or RAW[source.adapter or source.id]
+    """The raw table of a source, lazily: a stream if the source says so.
+
+    Columns are bound by name and keep the type of the file; JSON fields are read as the types
+    the adapter declares. Fields the adapter does not know are left out.
+    """
+    kind = source.adapter or source.id
+    schema = schema or RAW[kind]
     path = f"{source.path}/{source.config}" if source.config else source.path
-    if source.streaming:
-        fmt = reader_for(path) or "parquet"
-        return _with_options(spark.readStream.schema(schema), fmt).format(fmt).load(path)
     fmt, files = find_files(spark, path, source.split, schema)
-    return _with_options(spark.read.schema(schema), fmt).format(fmt).load(files)
+    found = file_schema(spark, fmt, files, source)
+    problems = problems_of(found, kind) if kind in RAW else []
+    if problems:
+        raise ValueError(f"{source.id}: " + "; ".join(problems))
+    names = [f.name for f in schema if f.name in found.names]
+    # a CSV file is read by its own header, so its columns may come in any order
+    declared = schema if fmt == "json" else found
+    if source.streaming:
+        reader = _with_options(spark.readStream.schema(declared), fmt, source.layout)
+        root = reader_for(path)
+        if not root:
+            reader = reader.option("recursiveFileLookup", "true").option(
+                "pathGlobFilter", f"*.{{{_suffixes(fmt)}}}")
+        raw = reader.format(fmt).load(path)
+        if not root and _of_split(files, path, source.split):
+            name = F.lower(F.substring_index(F.col("_metadata.file_path"),
+                                             _root(path), -1))
+            raw = raw.where(F.contains(name, F.lit(source.split)))
+        return raw.select(*names)
+    reader = _with_options(spark.read, fmt, source.layout).format(fmt)
+    return reader.schema(declared).load(files).select(*names)
 
 
 def load_all(spark: SparkSession, sources):
@@ -88,13 +124,18 @@ def inspect_schema(df: DataFrame) -> DataFrame:
 
 def schema_problems(df: DataFrame, kind: str) -> list[str]:
     """Differences from the declared raw schema: missing columns, other types."""
-    actual = {f.name: f.dataType for f in df.schema}
+    return problems_of(df.schema, kind)
+
+
+def problems_of(schema: T.StructType, kind: str) -> list[str]:
+    actual = {f.name: f.dataType for f in schema}
     problems = []
     for field in RAW[kind]:
         if field.name not in actual:
             if field.name not in OPTIONAL.get(kind, ()):
                 problems.append(f"missing column {field.name}")
-        elif isinstance(field.dataType, T.ArrayType) != isinstance(actual[field.name], T.ArrayType):
+        elif field.name not in TYPED and isinstance(field.dataType, T.ArrayType) != isinstance(
+                actual[field.name], T.ArrayType):
             problems.append(f"column {field.name} is {actual[field.name].simpleString()}, "
                             f"expected {field.dataType.simpleString()}")
     return problems
@@ -110,6 +151,12 @@ def check(df: DataFrame, kind: str) -> DataFrame:
     return df
 
 
+def _below_limit(place, bits: int):
+    """The place itself; an error, not a collision, if it needs more bits than it has."""
+    return F.when((place >= 0) & (place < (1 << bits)), place).otherwise(F.raise_error(
+        F.concat(F.lit(f"a position needs more than {bits} bits: "), place.cast("string"))))
+
+
 def with_file_position(df: DataFrame, dataset_ord: int = 0) -> DataFrame:
     """Add ``pos``: files in name order, rows in file order (Parquet sources).
 
@@ -118,15 +165,15 @@ def with_file_position(df: DataFrame, dataset_ord: int = 0) -> DataFrame:
     files = sorted(re.sub(_SCHEME, r"\1:/", f) for f in df.inputFiles())
     if len(files) >= 1 << FILE_BITS:
         raise ValueError("too many files for a packed position; give the source an order column")
+    # at most 2^22 short rows; the join goes by their size
     ordinals = df.sparkSession.createDataFrame(
         [(f, i) for i, f in enumerate(files)], "_file string, _ord bigint")
-    if len(files) <= BROADCAST_FILES:
-        ordinals = F.broadcast(ordinals)
     placed = df.withColumns({"_file": F.regexp_replace("_metadata.file_path", _SCHEME, "$1:/"),
                              "_row": F.col("_metadata.row_index")})
     base = F.lit(dataset_ord).cast("bigint") * (1 << (ROW_BITS + FILE_BITS))
     return (placed.join(ordinals, "_file")
-            .withColumn("pos", base + F.col("_ord") * (1 << ROW_BITS) + F.col("_row"))
+            .withColumn("pos", base + F.col("_ord") * (1 << ROW_BITS)
+                        + _below_limit(F.col("_row"), ROW_BITS))
             .drop("_file", "_row", "_ord"))
 
 
@@ -139,7 +186,8 @@ def with_position(df: DataFrame, source: Source, dataset_ord: int) -> DataFrame:
     """
     if source.order_by:
         base = F.lit(dataset_ord).cast("bigint") * (1 << (ROW_BITS + FILE_BITS))
-        placed = df.withColumn("pos", base + F.col(source.order_by).cast("bigint"))
+        placed = df.withColumn("pos", base + _below_limit(
+            F.col(source.order_by).cast("bigint"), ROW_BITS + FILE_BITS))
     elif df.isStreaming:
         raise ValueError(f"{source.id}: a stream needs an order column")
     else:

@@ -23,6 +23,8 @@ class Source:
     config: str | None = None
     path: str | None = None
     order_by: str | None = None
+    # of JSON files: a record per line, or one "array" per file
+    layout: str = "lines"
 
     @property
     def source_url(self) -> str:
@@ -75,7 +77,7 @@ def registry_frame(spark: SparkSession, sources: Iterable[Source] = DEFAULT_SOUR
         rows, "dataset_ord int, id string, name string, hf_name string, description string,"
               " split string, streaming boolean, adapter string, language string,"
               " license string, enabled boolean, config string, path string,"
-              " order_by string, source_url string")
+              " order_by string, layout string, source_url string")
 
 
 def source_summary(registry: DataFrame) -> DataFrame:

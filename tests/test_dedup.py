@@ -38,7 +38,7 @@ def test_equals_the_sequential_rule(spark, n, values, hot):
 
 def test_hot_buckets_take_the_broadcast_path(spark):
     rows = random_rows(300, 3000, 5, hot=0.2)
-    assert kept(spark, rows, small_rows=0) == sequential(rows)
+    assert kept(spark, rows) == sequential(rows)
 
 
 def test_chain_keeps_both_ends(spark):
@@ -114,7 +114,7 @@ def test_attach_splits_hot_keys(spark):
     keys = (rows.groupBy("k").agg(F.count("*").alias("n"))
             .withColumn("v", F.when(F.col("k") != "k4", F.concat(F.lit("v"), "k"))))
     plain = attach(rows, keys, "k", 1000)
-    split = attach(rows, keys, "k", 1000, small_rows=0, hot_share=10)
+    split = attach(rows, keys, "k", 1000, hot_share=10)
     assert sorted(plain.collect(), key=str) == sorted(split.collect(), key=str)
     assert plain.count() == 1000
     plan = split._jdf.queryExecution().executedPlan().toString()
@@ -125,6 +125,5 @@ def test_matches_against_an_index(spark):
     queries = spark.createDataFrame([(1, ["a", "b"]), (2, ["c", "d"]), (3, ["a", "z"])],
                                     "pos bigint, buckets array<string>")
     index = spark.createDataFrame([("a",), ("q",)], "bucket string")
-    for options in ({}, {"small_rows": 0}):
-        found = dedup.matches(queries, index, 6, **options)
-        assert sorted(r.pos for r in found.collect()) == [1, 3]
+    found = dedup.matches(queries, index, 6)
+    assert sorted(r.pos for r in found.collect()) == [1, 3]

@@ -108,6 +108,15 @@ def test_apps(spark):
     assert one(adapters.apps(typed))["tests"] == row["tests"]
 
 
+def test_typed_solutions(spark):
+    raw = spark.createDataFrame([("1", "Q", ["", "print(1)"], "EASY", None)],
+                                "problem_id string, question string, solutions array<string>,"
+                                " difficulty string, test_list array<string>")
+    assert one(adapters.taco(raw))["output"] == "print(1)"
+    struct = raw.withColumn("solutions", F.struct(F.lit("print(2)").alias("code")))
+    assert one(adapters.taco(struct))["output"] == "print(2)"
+
+
 def test_humaneval(spark):
     raw = spark.createDataFrame(
         [("HumanEval/0", "def foo():", "    return 1", "assert foo() == 1", "foo")],
@@ -164,6 +173,70 @@ def test_backfill(spark):
                     "other": ("", ""), "apps": ("go", "isc")}
 
 
+def test_defaults_follow_the_entry(spark, tmp_path):
+    raw = spark.createDataFrame([("1", "do it", "", "nothing to see")], RAW["codealpaca"])
+    raw.write.parquet(f"{tmp_path}/a")
+    base = BY_ID["codealpaca"]
+    entries = [base.at(f"{tmp_path}/a"),
+               base.at(f"{tmp_path}/a", id="mine", adapter="codealpaca", language="python")]
+    rows = jobs.unified(spark, entries).orderBy("dataset_ord").collect()
+    assert [r.language for r in rows] == ["unknown", "python"]
+
+
+def test_json_arrays_and_broken_lines(spark, tmp_path):
+    records = [{"id": str(i), "instruction": "do", "input": "", "output": f"x{i}"}
+               for i in range(5)]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "train.json").write_text(json.dumps(records, indent=4))
+    source = BY_ID["codealpaca"].at(f"{tmp_path}/a", layout="array")
+    assert sorted(r.output for r in readers.load(spark, source).collect()) == [
+        f"x{i}" for i in range(5)]
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "train.jsonl").write_text(json.dumps(records[0]) + '\n{"id": "1", broken\n')
+    with pytest.raises(Exception, match="[Mm]alformed|FAILFAST|MALFORMED|CANNOT"):
+        readers.load(spark, BY_ID["codealpaca"].at(f"{tmp_path}/b")).collect()
+
+
+def test_csv_is_bound_by_its_header(spark, tmp_path):
+    df = spark.createDataFrame([("add", "1 2", "print(3)\nprint(4)")],
+                               "instruction string, input string, output string")
+    df.select("output", "instruction", "input").write.option("header", "true").option(
+        "escape", '"').csv(f"{tmp_path}/c")
+    row = one(readers.load(spark, BY_ID["codealpaca"].at(f"{tmp_path}/c")))
+    assert row == {"instruction": "add", "input": "1 2", "output": "print(3)\nprint(4)"}
+
+
+def test_missing_columns_and_wider_types(spark, tmp_path):
+    wide = spark.createDataFrame([(5, "Q", ["print(1)"], None, "easy", None)],
+                                 "problem_id bigint, question string, solutions array<string>,"
+                                 " starter_code string, difficulty string, input_output string")
+    wide.write.parquet(f"{tmp_path}/w")
+    source = BY_ID["apps"].at(f"{tmp_path}/w")
+    assert readers.load(spark, source).schema["problem_id"].dataType.typeName() == "long"
+    wide.drop("question").write.parquet(f"{tmp_path}/m")
+    with pytest.raises(ValueError, match="missing column question"):
+        list(readers.load_all(spark, [BY_ID["apps"].at(f"{tmp_path}/m")]))
+
+
+def test_streams_read_their_split(spark, tmp_path):
+    df = spark.createDataFrame([("1", "do", "", "y")], RAW["codealpaca"])
+    df.write.parquet(f"{tmp_path}/s/train")
+    df.withColumn("output", F.lit("wrong")).write.parquet(f"{tmp_path}/s/test")
+    source = BY_ID["codealpaca"].at(f"{tmp_path}/s", streaming=True)
+    query = (readers.load(spark, source).writeStream.format("memory").queryName("split_rows")
+             .option("checkpointLocation", f"{tmp_path}/checkpoint")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert [r.output for r in spark.table("split_rows").collect()] == ["y"]
+
+
+def test_positions_beyond_their_bits_fail(spark, tmp_path):
+    df = spark.createDataFrame([(1 << 57,)], "n bigint")
+    source = Source("x", "X", "h/x", "d", order_by="n")
+    with pytest.raises(Exception, match="more than 56 bits"):
+        readers.with_position(df, source, 0).collect()
+
+
 def test_resume(spark):
     df = spark.createDataFrame([("d", "1"), ("d", "2"), ("e", "1")], "dataset string, id string")
     left = jobs.not_yet_written(df, df.where("id = '1' AND dataset = 'd'"))
