@@ -292,8 +292,8 @@ SELECT pos, {sql.pick([*_IDS, 'other'], f"pos % {len(_IDS) + 1}")} AS dataset, l
 FROM samples)""", f"SELECT pos, dataset, {_default('language')}, {_default('license')} FROM s")
 
 _CHOSEN = [s for s in DEFAULT_SOURCES if s.id in ("mbpp", "apps", "taco")]
-_q("source_selection", f"s AS (SELECT doc_id AS pos, "
-   f"{sql.pick(_IDS, f'doc_id % {len(_IDS)}')} AS id FROM documents)", f"""
+_q("source_selection", inputs.GIVEN + f", s AS (SELECT doc_id AS pos, "
+   f"{sql.pick(_IDS, f'doc_id % {len(_IDS)}')} AS id FROM given)", f"""
 SELECT pos, id, {sql.case_of('id', {s.id: s.hf_name for s in _CHOSEN}, 'NULL')} AS hf_name,
   'train' AS split, false AS streaming, id AS adapter
 FROM s WHERE id IN ({sql.names([s.id for s in _CHOSEN])})""")
@@ -471,8 +471,9 @@ def _split(fraction: float, dataset: str, key: str) -> str:
 
 
 _DOC_SPLIT = _split(C.VALIDATION_FRACTION, "source", "CAST(doc_id AS VARCHAR)")
-_q("train_val_split", "", f"SELECT doc_id AS pos, {_DOC_SPLIT} AS split FROM documents")
-_q("split_counts", "", f"SELECT {_DOC_SPLIT} AS split, count(*) AS n FROM documents GROUP BY 1")
+_q("train_val_split", inputs.GIVEN, f"SELECT doc_id AS pos, {_DOC_SPLIT} AS split FROM given")
+_q("split_counts", inputs.GIVEN,
+   f"SELECT {_DOC_SPLIT} AS split, count(*) AS n FROM given GROUP BY 1")
 
 _SHUFFLE_KEY = f"md5('{C.SEED}' || chr(31) || doc_id)"
 _q("shuffle_order", "", f"""
@@ -481,8 +482,8 @@ FROM documents""")
 _q("shuffled_corpus", "", f"""
 SELECT doc_id, md5(text) AS text_md5 FROM documents ORDER BY {_SHUFFLE_KEY}, doc_id""")
 _q("head_samples", inputs.SAMPLES, "SELECT pos, dataset, output FROM samples ORDER BY pos LIMIT 10")
-_q("resume_anti", "", f"""
-SELECT doc_id AS pos, source AS dataset, CAST(doc_id AS VARCHAR) AS id FROM documents
+_q("resume_anti", inputs.GIVEN, f"""
+SELECT doc_id AS pos, source AS dataset, CAST(doc_id AS VARCHAR) AS id FROM given
 WHERE {_split(0.5, "source", "CAST(doc_id AS VARCHAR)")} = 'validation'""")
 
 
@@ -496,9 +497,9 @@ for _name in ("roundtrip_jsonl", "roundtrip_jsonl_gzip_append", "roundtrip_parqu
 _PAIR_SPLIT = _split(C.VALIDATION_FRACTION, "'conversations'", "id")
 _q("split_output", _PAIRS, f"""
 SELECT {_PAIR_SPLIT} AS split, md5({_USER}) AS user_md5, md5(output) AS assistant_md5 FROM pairs""")
-_q("export_info", "", """
+_q("export_info", inputs.GIVEN, """
 SELECT 'parquet' AS format, count(*) AS samples, 'snappy' AS compression, true AS has_files
-FROM documents""")
+FROM given""")
 
 
 # --- streaming --------------------------------------------------------------
