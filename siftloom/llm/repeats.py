@@ -41,7 +41,7 @@ class Search:
     first_stays: bool
     index: Callable
     salted_beyond: int = 4000
-    shard_bytes: int = 4 << 20
+    shard_bytes: int = 2 << 20
 
 
 def units(data: np.ndarray, offsets: np.ndarray, by_words: bool):
@@ -164,6 +164,25 @@ def window_hashes(content: bytes, search: Search) -> np.ndarray:
     return gram_hashes(values, search.window)
 
 
+def _windows(opened: list, search: Search) -> list[np.ndarray]:
+    """The distinct windows of a shard's spread anchors, from (hashes, flags, id, row, start).
+
+    Of equal windows the first is reported, and with it those that have the same id.
+    """
+    sizes = np.array([len(o[0]) for o in opened])
+    values, flags = (np.concatenate([o[i] for o in opened]) for i in (0, 1))
+    number, row, start = (np.repeat(np.array([o[i] for o in opened], dtype=np.int64), sizes)
+                          for i in (2, 3, 4))
+    low = start + np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    _, first, group = np.unique(values, return_index=True, return_inverse=True)
+    if search.first_stays:
+        shown = np.flatnonzero(number == number[first[group]])
+    else:
+        shown = first
+    return [values[shown], np.ones(len(shown), dtype=bool), number[shown], row[shown],
+            low[shown], low[shown] + search.window, flags[shown]]
+
+
 def _searched(search: Search):
     """Spans to remove, and the distinct windows of spread anchors, of one shard."""
     width = search.window
@@ -179,37 +198,27 @@ def _searched(search: Search):
                         for key, places in merged.items()), key=lambda f: f[:3])
         contents = [f[1] for f in found]
         flags = search.index(contents, [f[0] for f in found], search)
-        parts, opened, owners, numbers, lows, highs, done = [], [], [], [], [], [], []
-
-        def add(part, is_open, place, low, high, is_done):
-            parts.append(part), opened.append(is_open), numbers.append(place[0])
-            owners.append(place[1]), lows.append(place[2] + low), highs.append(place[2] + high)
-            done.append(is_done)
-
-        reported: dict = {}
+        spans, opened = [], []
         for (least, content, salted, places), flag in zip(found, flags):
             if not search.first_stays and len(places) > 1:
                 flag = np.ones(len(flag), dtype=bool)
-            spans = [(int(a), int(b) + width - 1) for a, b in zip(*_runs(flag))]
-            for place in places:
-                later = search.first_stays and place[0] > least
-                for low, high in [(0, len(flag) + width - 1)] if later else spans:
-                    add(place[1], False, place, low, high, True)
+            runs = [(int(a), int(b) + width - 1) for a, b in zip(*_runs(flag))]
+            whole_segment = [(0, len(flag) + width - 1)]
+            for number, row, start in places:
+                later = search.first_stays and number > least
+                spans += [(row, start + low, start + high)
+                          for low, high in (whole_segment if later else runs)]
             if salted:
-                for low, value in enumerate(window_hashes(content, search).view(np.int64).tolist()):
-                    if search.first_stays:
-                        # of equal windows the first segment's, and all places of that id
-                        if reported.setdefault(value, least) == least:
-                            for place in places:
-                                if place[0] == least:
-                                    add(value, True, place, low, low + width, False)
-                    elif value not in reported:
-                        reported[value] = True
-                        add(value, True, places[0], low, low + width, bool(flag[low]))
-        return pa.table([pa.array(parts, pa.int64()), pa.array(opened, pa.bool_()),
-                         pa.array(numbers, pa.int64()), pa.array(owners, pa.int64()),
-                         pa.array(lows, pa.int64()), pa.array(highs, pa.int64()),
-                         pa.array(done, pa.bool_())],
+                # of equal segments, those of the smallest id stand for the others
+                own = [p for p in places if p[0] == least] if search.first_stays else places[:1]
+                hashes = window_hashes(content, search).view(np.int64)
+                opened += [(hashes, flag, *p) for p in own]
+        rows, lows, highs = (np.array([x[i] for x in spans], dtype=np.int64) for i in range(3))
+        none = np.zeros(len(rows), dtype=np.int64)
+        out = [rows, none.astype(bool), none, rows, lows, highs, none.astype(bool)]
+        if opened:
+            out = [np.concatenate(pair) for pair in zip(out, _windows(opened, search))]
+        return pa.table([pa.array(column) for column in out],
                         names=["_part", "_open", "_d", "_row", "_low", "_high", "_done"])
     return run
 

@@ -24,10 +24,10 @@ def smaller_types(s: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the one behind it; the last symbol is the least."""
     n = len(s)
     step = np.zeros(n, dtype=np.int8)
-    step[:-1] = np.sign(s[1:].astype(np.int64) - s[:-1])
+    step[:-1] = (s[1:] > s[:-1]).astype(np.int8) - (s[1:] < s[:-1])
     step[-1] = 1
     # equal symbols take the type of the next different one
-    decides = np.where(step != 0, np.arange(n), n)
+    decides = np.where(step != 0, np.arange(n, dtype=np.int32), np.int32(n))
     decides = np.minimum.accumulate(decides[::-1])[::-1]
     return step[decides] > 0
 
@@ -171,13 +171,13 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     is_mark[marks] = True
     inorder = array[is_mark[array]]
     ends = np.append(marks[1:] + 1, len(s))
-    end_of = np.zeros(len(s), dtype=np.int64)
+    end_of = np.zeros(len(s), dtype=np.int32)
     end_of[marks] = ends
     shape = span_hashes(s, inorder.astype(np.int64), end_of[inorder])
     fresh = np.ones(len(inorder), dtype=np.int64)
     fresh[1:] = (shape[1:] != shape[:-1]) | (
         end_of[inorder[1:]] - inorder[1:] != end_of[inorder[:-1]] - inorder[:-1])
-    name_at = np.zeros(len(s), dtype=np.int64)
+    name_at = np.zeros(len(s), dtype=np.int32)
     name_at[inorder] = np.cumsum(fresh) - 1
     sorted_marks = inorder
     if fresh.sum() < len(marks):
@@ -192,12 +192,12 @@ def common_prefixes(s: np.ndarray, array: np.ndarray, limit: np.ndarray, most: i
     Prefixes end with the text, ``limit`` symbols on; lengths beyond ``most`` are not told apart.
     Halving steps compare whole stretches by their hashes.
     """
-    best = np.zeros(len(s), dtype=np.int64)
-    a, b = array[:-1].astype(np.int64), array[1:].astype(np.int64)
+    best = np.zeros(len(s), dtype=np.int32)
+    a, b = array[:-1], array[1:]
     room = np.minimum(np.minimum(limit[a], limit[b]), most)
     live = np.flatnonzero(room > 0)
     a, b, room = a[live], b[live], room[live]
-    length = np.zeros(len(a), dtype=np.int64)
+    length = np.zeros(len(a), dtype=np.int32)
     step = 1 << int(most).bit_length() - 1
     sums, inverse = _prefix_sums(s)
     while step:
