@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftloom.llm.rows import id_key, whole
@@ -34,6 +34,7 @@ class Chain:
     features: int = 256
     folds: int = 4
     least_z: float = 3.0
+    least_seen: int = 3
     penalty: float = 1.0
     threshold: float = 0.5
 
@@ -45,24 +46,6 @@ def words(text: str) -> set:
         | {w[:6] + "~" for w in found if len(w) > 6}
 
 
-def chosen_words(bags: list, labels: np.ndarray, chain: Chain) -> list:
-    """Words whose share differs most between the classes, by the two-sample z value."""
-    counts: dict = {}
-    for bag, label in zip(bags, labels):
-        for word in bag:
-            counts.setdefault(word, [0, 0])[int(label)] += 1
-    total = np.bincount(labels.astype(int), minlength=2)
-    if not len(counts) or not total.all():
-        return []
-    names = sorted(counts)
-    seen = np.array([counts[w] for w in names], dtype=float)
-    rate = (seen + 0.5) / (total + 1.0)
-    shared = (seen.sum(axis=1) + 1.0) / (total.sum() + 2.0)
-    z = np.abs(rate[:, 1] - rate[:, 0]) / np.sqrt(shared * (1 - shared) * (1 / total).sum())
-    order = np.lexsort((np.arange(len(names)), -z))[:chain.features]
-    return [names[i] for i in order if z[i] >= chain.least_z]
-
-
 def matrix(bags: list, vocabulary: list, earlier: list) -> np.ndarray:
     """Constant, word presence and the earlier categories' log odds."""
     place = {w: i + 1 for i, w in enumerate(vocabulary)}
@@ -99,8 +82,12 @@ def probability(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x @ weights, -30, 30)))
 
 
-def train(bags: list, targets: np.ndarray, folds: np.ndarray, chain: Chain) -> list:
-    """(vocabulary, weights) of each category in turn."""
+def train(bags: list, targets: np.ndarray, folds: np.ndarray, chain: Chain,
+          chosen: dict) -> list:
+    """(vocabulary, weights) of each category in turn.
+
+    ``chosen`` has the words for (category, fold), found without that fold; fold -1 is none.
+    """
     earlier, models = [], []
     for category in range(targets.shape[1]):
         y = targets[:, category]
@@ -111,12 +98,12 @@ def train(bags: list, targets: np.ndarray, folds: np.ndarray, chain: Chain) -> l
             if not len(rest) or not len(own):
                 continue
             some = [bags[i] for i in rest]
-            vocabulary = chosen_words(some, y[rest], chain)
+            vocabulary = chosen.get((category, fold), [])
             weights = fitted(matrix(some, vocabulary, [e[rest] for e in earlier]), y[rest],
                              chain.penalty)
             held_out[own] = probability(matrix([bags[i] for i in own], vocabulary,
                                                [e[own] for e in earlier]), weights)
-        vocabulary = chosen_words(bags, y, chain)
+        vocabulary = chosen.get((category, -1), [])
         weights = fitted(matrix(bags, vocabulary, earlier), y, chain.penalty) if len(y) else \
             np.array([-30.0] + [0.0] * len(earlier))
         models.append((vocabulary, weights))
@@ -150,37 +137,95 @@ def sample(docs: DataFrame, labels: DataFrame, chain: Chain, doc_id: str, text:
     return texts.join(F.broadcast(bounded), "_d")
 
 
+def chosen_words(bags: DataFrame, chain: Chain) -> DataFrame:
+    """(category, fold, word): the words whose share differs most between the classes.
+
+    By the two-sample z value, counted without the fold; -1 leaves none out. Of many words some
+    differ by chance, the more the more words there are, so the least value grows with them.
+    """
+    y = range(len(chain.categories))
+    folds = range(chain.folds)
+
+    def sums(of_word):
+        return [F.sum(F.when(F.col("_fold") == f, value).otherwise(0.0)).alias(name + str(f))
+                for f in folds for name, value in
+                [("n", F.lit(1.0)), *[(f"p{c}_", F.col(f"_y{c}")) for c in y]]] + (
+                    [F.count("*").alias("_seen")] if of_word else [])
+    totals = bags.agg(*sums(False)).first().asDict()
+    counts = materialize(
+        bags.select("_fold", *[f"_y{c}" for c in y], F.explode("_bag").alias("word"))
+        .groupBy("word").agg(*sums(True)).where(F.col("_seen") >= chain.least_seen), "counts")
+    least = max(chain.least_z, float(np.sqrt(2 * np.log(max(1, counts.count())))))
+
+    def z(category, without):
+        used = [f for f in folds if f != without]
+
+        def both(name):
+            return (sum(F.col(name + str(f)) for f in used),
+                    sum(totals[name + str(f)] or 0.0 for f in used))
+        (n, n_all), (hit, hit_all) = both("n"), both(f"p{category}_")
+        miss_all = n_all - hit_all
+        if not hit_all or not miss_all:
+            return F.lit(0.0)
+        shared = (n + 1.0) / (n_all + 2.0)
+        apart = (hit + 0.5) / (hit_all + 1.0) - (n - hit + 0.5) / (miss_all + 1.0)
+        return F.abs(apart) / F.sqrt(shared * (1 - shared) * (1 / hit_all + 1 / miss_all))
+
+    scored = counts.select("word", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("category"), F.lit(f).alias("fold"), z(c, f).alias("z"))
+        for c in y for f in (-1, *folds)])).alias("_of")).select("word", "_of.*")
+    best = Window.partitionBy("category", "fold").orderBy(F.desc("z"), "word")
+    return (scored.where(F.col("z") >= least).withColumn("_rank", F.row_number().over(best))
+            .where(F.col("_rank") <= chain.features).select("category", "fold", "word", "_rank"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, chain: Chain = Chain(), doc_id: str = "doc_id",
         text: str = "text") -> DataFrame:
-    """The model: (category, position, word, weight), at most ``features`` + 3 rows each."""
+    """The model: (category, position, word, weight), at most ``features`` + 3 rows each.
+
+    Words are counted by Spark. What the driver and the task that fits the weights see is bounded
+    by ``features`` and ``sample_rows``.
+    """
     y = [f"_y{i}" for i in range(len(chain.categories))]
+    columns = ", ".join(f"{c} double" for c in y)
 
-    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bags = [" ".join(sorted(words(t))) for t in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_d"), pa.array(bags, pa.string()),
-                 *[batch.column(c) for c in y]], names=["_d", "_bag", *y])
+    def bagged(select):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for first in range(0, batch.num_rows, 256):
+                    part = batch.slice(first, 256)
+                    bags = [select(t) for t in part.column("_text").to_pylist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("_d"), part.column("_fold"),
+                         pa.array(bags, pa.list_(pa.string())), *[part.column(c) for c in y]],
+                        names=["_d", "_fold", "_bag", *y])
+        return run
+
+    schema = f"_d bigint, _fold int, _bag array<string>, {columns}"
+    fold = F.pmod(F.xxhash64("_d", F.lit("fold")), F.lit(chain.folds)).cast("int")
+    picked = materialize(sample(docs, labels, chain, doc_id, text).withColumn("_fold", fold),
+                         "sample")
+    bags = picked.mapInArrow(bagged(lambda t: sorted(words(t))), schema)
+    chosen: dict = {}
+    for r in sorted(chosen_words(bags, chain).collect(), key=lambda r: r["_rank"]):
+        chosen.setdefault((r.category, r.fold), []).append(r.word)
+    known = set().union(*chosen.values()) if chosen else set()
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches) or [pd.DataFrame(columns=["_d", "_bag", *y])])
-        rows = rows.sort_values(["_d", "_bag"], kind="stable").drop_duplicates("_d")
-        ids = rows["_d"].to_numpy(dtype=np.int64, na_value=0)
-        folds = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) \
-            % np.uint64(chain.folds)
-        models = train([set(b.split()) for b in rows["_bag"]],
-                       rows[y].to_numpy(dtype=float).reshape(len(rows), len(y)), folds, chain)
+        rows = pd.concat(list(batches) or [pd.DataFrame(columns=["_d", "_fold", "_bag", *y])])
+        rows = rows.sort_values(["_d"], kind="stable").drop_duplicates("_d")
+        models = train([set(b) for b in rows["_bag"]],
+                       rows[y].to_numpy(dtype=float).reshape(len(rows), len(y)),
+                       rows["_fold"].to_numpy(), chain, chosen)
         out = [(c, i, word, float(weight)) for c, (vocabulary, weights) in enumerate(models)
                for i, (word, weight) in enumerate(
                    zip(["", *vocabulary, *[""] * c], weights))]
         yield pd.DataFrame(out, columns=["category", "position", "word", "weight"])
 
-    picked = sample(docs, labels, chain, doc_id, text)
-    columns = ", ".join(f"{c} double" for c in y)
-    bags = materialize(picked.mapInArrow(distinct_words, f"_d bigint, _bag string, {columns}"),
-                       "bags")
-    # one task: the sample is bounded by a parameter
-    return bags.coalesce(1).mapInPandas(
+    # one task: the sample is bounded by a parameter, and only chosen words are left in it
+    few = materialize(picked.mapInArrow(bagged(lambda t: sorted(words(t) & known)), schema),
+                      "bags")
+    return few.coalesce(1).mapInPandas(
         learn, "category int, position int, word string, weight double")
 
 
@@ -195,11 +240,13 @@ def score(docs: DataFrame, model: DataFrame, chain: Chain = Chain(), doc_id: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = predict(batch.column("_text").to_pylist(), models)
             kept = [n for n in batch.schema.names if n != "_text"]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in kept], *[pa.array(s) for s in scores]],
-                names=[*kept, *[f"_p{i}" for i in range(len(scores))]])
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                scores = predict(part.column("_text").to_pylist(), models)
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(n) for n in kept], *[pa.array(s) for s in scores]],
+                    names=[*kept, *[f"_p{i}" for i in range(len(scores))]])
 
     kept = docs.withColumn("_text", whole(text))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

@@ -147,8 +147,8 @@ def test_later_models_see_out_of_fold_probabilities():
     rnd = random.Random(0)
     bags = [{"bad"} if rnd.random() < 0.5 else {"good"} for _ in range(400)]
     first = np.array([float("bad" in b) if rnd.random() < 0.95 else 0.0 for b in bags])
-    chain = T.Chain(features=8)
-    models = T.train(bags, np.column_stack([first, first]), np.arange(400) % 4, chain)
+    chosen = {(c, f): ["bad", "good"] for c in (0, 1) for f in (-1, 0, 1, 2, 3)}
+    models = T.train(bags, np.column_stack([first, first]), np.arange(400) % 4, T.Chain(), chosen)
     assert len(models) == 2 and len(models[1][1]) == 1 + len(models[1][0]) + 1
     assert models[1][1][-1] > 0
 
