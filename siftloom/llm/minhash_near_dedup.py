@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftloom.llm.rows import (expanded, gram_hashes, id_key, mixed, slices, span_hashes, whole,
+from siftloom.llm.rows import (aside, back, expanded, gram_hashes, id_key, mixed, slices, span_hashes, whole,
                                within, word_bounds, word_hashes)
 from siftloom.session import materialize
 
+MASK = (1 << 64) - 1
 # cumulative Poisson(1) probabilities as 53-bit thresholds
 _TERMS = np.cumsum([np.exp(-1.0) / f for f in np.cumprod([1.0, *range(1, 18)])])
 
@@ -77,7 +78,7 @@ def _thrown(document, element, weight, theta, k):
         cells = np.ceil(theta[document[reach]] * width).astype(np.int64)
         row, cell = expanded(cells)
         owner = reach[row]
-        seed = mixed(element[owner] + np.uint64(level + 1) * np.uint64(0x9E3779B97F4A7C15)
+        seed = mixed(element[owner] + np.uint64((level + 1) * 0x9E3779B97F4A7C15 & MASK)
                      + mixed(cell.astype(np.uint64)))
         darts = np.searchsorted(_TERMS, _uniform(seed), side="right")
         row, nth = expanded(darts)
@@ -303,10 +304,11 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keyed = given.select("_d", F.md5(F.col("_text")).alias("_copy"), "_text")
     signed = keyed.mapInArrow(_banded(darts), "_d bigint, _copy string, _bands array<bigint>")
     signed = materialize(signed, "signed")
+    # no distinct behind the join: a hot group of copies can then be split
     copies = signed.select("_d", "_copy")
     firsts = copies.groupBy("_copy").agg(F.min("_d").alias("_first"))
     members = materialize(copies.join(firsts, "_copy")
-                          .select("_d", F.col("_first").alias("_b")).distinct(), "copies")
+                          .select("_d", F.col("_first").alias("_b")), "copies")
     rows = signed.join(members.where("_d = _b").select("_d"), "_d", "left_semi")
     linked = links(given.select("_d", "_text"), rows, darts)
     edges = members.select(F.col("_d").alias("_a"), "_b").unionByName(linked)
@@ -323,5 +325,6 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """The documents that name their class, one row of each."""
     kept = (near_classes(docs, doc_id, text, darts).where("kept")
             .select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_d")).distinct())
-    return (docs.withColumn("_d", id_key(doc_id)).join(kept, "_d", "left_semi")
-            .dropDuplicates(["_d"]).drop("_d"))
+    names = docs.columns
+    return (docs.select(*aside(docs, names), id_key(doc_id).alias("_d"))
+            .join(kept, "_d", "left_semi").dropDuplicates(["_d"]).select(*back(names)))
