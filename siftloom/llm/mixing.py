@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftloom.llm.rows import id_key, text_key, whole
+from siftloom.llm.rows import aside, back, id_key, text_key, whole
 from siftloom.session import materialize
 
 LEVELS = ("domain", "lang", "source")
@@ -144,8 +144,9 @@ def mixture(docs: DataFrame, mix: Mix = Mix(), doc_id: str = "doc_id",
     """The documents of the mix with their columns, each as often as it is taken."""
     chosen = (mixed(docs, mix, doc_id, text).where("copies > 0")
               .groupBy("_d", "_h").agg(F.max("copies").alias("_copies")))
-    keyed = docs.withColumns({"_d": id_key(doc_id), "_h": text_key(text)})
+    names = docs.columns
+    keyed = docs.select(*aside(docs, names), id_key(doc_id).alias("_d"), text_key(text).alias("_h"))
     joined = keyed.join(chosen, ["_d", "_h"])
     if mix.epochs > 1:
         joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return joined.select(*docs.columns)
+    return joined.select(*back(names))

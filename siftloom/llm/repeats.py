@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftloom.llm.rows import (gram_hashes, id_key, mixed, slices, slid_minima, text_key, whole,
-                               within, word_bounds, word_hashes)
+from siftloom.llm.rows import (aside, aside_schema, back, gram_hashes, id_key, mixed, slices,
+                               slid_minima, text_key, whole, within, word_bounds, word_hashes)
 
 PLACE = np.uint64((1 << 28) - 1)
 
@@ -260,7 +260,8 @@ def without_repeats(docs: DataFrame, search: Search, kept: str, counts: tuple[st
     One plan: the documents are dealt out by row key once, for both joins.
     """
     names = [c for c in docs.columns if c not in (kept, *counts)]
-    keyed = docs.select(*names, id_key(doc_id).alias("_d"),
+    safe = [f"__{i}" for i in range(len(names))]
+    keyed = docs.select(*aside(docs, names), id_key(doc_id).alias("_d"),
                         F.xxhash64(id_key(doc_id), text_key(text)).alias("_row"),
                         whole(text).alias("_text"))
     size = docs.agg(F.sum(F.octet_length(whole(text)))).first()[0] or 0
@@ -291,8 +292,9 @@ def without_repeats(docs: DataFrame, search: Search, kept: str, counts: tuple[st
         (F.count("*").over(same) > 1) & ~F.col("_done")
     spans = spans.withColumn("_remove", ~F.col("_open") | elsewhere).where("_remove")
     spans = spans.groupBy("_row").agg(F.collect_list(F.struct("_low", "_high")).alias("_spans"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema
-                       if f.name in names)
-    return keyed.join(spans, "_row", "left").mapInArrow(
-        _cut(search, names, kept, counts),
-        f"{schema}, `{kept}` binary, " + ", ".join(f"`{c}` bigint" for c in counts))
+    cut = keyed.join(spans, "_row", "left").mapInArrow(
+        _cut(search, safe, "_kept", ("_n", "_removed", "_runs")),
+        ", ".join([*filter(None, [aside_schema(docs, names)]), "_kept binary, _n bigint, "
+                   "_removed bigint, _runs bigint"]))
+    return cut.select(*back(names), F.col("_kept").alias(kept),
+                      *[F.col(c).alias(n) for c, n in zip(("_n", "_removed", "_runs"), counts)])

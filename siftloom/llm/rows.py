@@ -7,7 +7,7 @@ A document is known by ``_d``, its id (null: the smallest long, so it comes firs
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NO_ID = -(1 << 63)
@@ -35,6 +35,20 @@ def hex_sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def aside(docs: DataFrame, names: list[str]) -> list[Column]:
+    """The named columns under positional names, so that no name of an operator meets them."""
+    return [F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(names)]
+
+
+def back(names: list[str]) -> list[Column]:
+    return [F.col(f"__{i}").alias(c) for i, c in enumerate(names)]
+
+
+def aside_schema(docs: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"__{i} {docs.schema[c].dataType.simpleString()}"
+                     for i, c in enumerate(names))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     """Pieces of a batch with at most ``limit`` bytes of text, or a single row.
 

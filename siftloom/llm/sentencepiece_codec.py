@@ -20,7 +20,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftloom.llm.rows import whole
+from siftloom.llm.rows import aside, aside_schema, back, whole
 
 SPACE = "▁"
 WORDS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -240,13 +240,13 @@ def encode_documents(docs: DataFrame, model: bytes, text: str = "text",
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
                 coded = [codec.encode(t) for t in part.column("_text").to_pylist()]
-                back = [codec.decode(i) for i in coded]
+                decodings = [codec.decode(i) for i in coded]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(n) for n in kept],
-                     pa.array(coded, pa.list_(pa.int32())), pa.array(back, pa.string())],
-                    names=[*kept, ids, decoded])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema
-                       if f.name in kept)
-    return docs.select(*kept, whole(text).alias("_text")).mapInArrow(
-        run, f"{schema}, `{ids}` array<int>, `{decoded}` string")
+                    [*[part.column(f"__{i}") for i in range(len(kept))],
+                     pa.array(coded, pa.list_(pa.int32())), pa.array(decodings, pa.string())],
+                    names=[*[f"__{i}" for i in range(len(kept))], "_ids", "_decoded"])
+
+    schema = ", ".join([*filter(None, [aside_schema(docs, kept)]),
+                        "_ids array<int>, _decoded string"])
+    coded = docs.select(*aside(docs, kept), whole(text).alias("_text")).mapInArrow(run, schema)
+    return coded.select(*back(kept), F.col("_ids").alias(ids), F.col("_decoded").alias(decoded))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftloom.llm.repeats import Search, without_repeats
-from siftloom.llm.rows import BASE, mixed, powers, span_hashes
+from siftloom.llm.rows import BASE, aside, back, mixed, powers, span_hashes
 
 
 def smaller_types(s: np.ndarray) -> np.ndarray:
@@ -255,7 +255,10 @@ def without_repeated_strings(docs: DataFrame, search: Search = BY_BYTES, doc_id:
     Characters that a cut leaves incomplete are dropped, and with them replacement characters
     of the cut texts. A null text stays null.
     """
-    cut = suffix_dedup(docs, search, doc_id, text)
+    names = docs.columns
+    given = docs.select(*aside(docs, names), F.col(doc_id).alias("id"), F.col(text).alias("body"))
+    cut = suffix_dedup(given, search, "id", "body")
     left = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), BROKEN, "")
-    return cut.withColumn(text, F.when(F.col(text).isNull(), F.lit(None)).when(
-        F.col("n_removed") == 0, F.col(text)).otherwise(left)).select(*docs.columns)
+    changed = F.when(F.col("body").isNull() | (F.col("n_removed") == 0), F.col("body")).otherwise(left)
+    return cut.select(*[changed.alias(c) if c == text else column
+                        for c, column in zip(names, back(names))])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftloom.llm.rows import id_key, whole
+from siftloom.llm.rows import aside, aside_schema, back, id_key, whole
 from siftloom.session import materialize
 
 WORD = re.compile(r"[^\W_]+")
@@ -229,9 +229,9 @@ def fit(docs: DataFrame, labels: DataFrame, chain: Chain = Chain(), doc_id: str
         learn, "category int, position int, word string, weight double")
 
 
-def score(docs: DataFrame, model: DataFrame, chain: Chain = Chain(), doc_id: str = "doc_id",
+def score(docs: DataFrame, model: DataFrame, chain: Chain = Chain(),
           text: str = "text") -> DataFrame:
-    """The documents with ``_p0``, ``_p1``, ... for the categories; every row, whole texts."""
+    """The documents, their columns set aside as ``__0``, ..., with ``_p0``, ... for the categories."""
     models = []
     rows = sorted(model.collect(), key=lambda r: (r.category, r.position))
     for category in range(len(chain.categories)):
@@ -248,10 +248,10 @@ def score(docs: DataFrame, model: DataFrame, chain: Chain = Chain(), doc_id: str
                     [*[part.column(n) for n in kept], *[pa.array(s) for s in scores]],
                     names=[*kept, *[f"_p{i}" for i in range(len(scores))]])
 
-    kept = docs.withColumn("_text", whole(text))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return kept.mapInArrow(run, schema + "".join(
-        f", _p{i} double" for i in range(len(chain.categories))))
+    names = docs.columns
+    return docs.select(*aside(docs, names), whole(text).alias("_text")).mapInArrow(
+        run, aside_schema(docs, names) + "".join(
+            f", _p{i} double" for i in range(len(chain.categories))))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, chain: Chain = Chain(), doc_id: str = "doc_id",
@@ -265,11 +265,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, chain: Chain = Chain(), doc_id:
     """
     model = materialize(fit(docs, labels, chain, doc_id, text), "model")
     names = [c.lstrip("-") if not c.startswith("-") else f"low_{c[1:]}" for c in chain.categories]
-    scored = score(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-                   if text != "text" or doc_id != "doc_id" else docs.select("doc_id", "text"),
-                   model, chain, "doc_id", "text")
+    given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    scored = score(given, model, chain)
     last = f"_p{len(names) - 1}"
-    return scored.select("doc_id", *[F.col(f"_p{i}").alias(f"p_{n}") for i, n in enumerate(names)],
+    return scored.select(F.col("__0").alias("doc_id"),
+                         *[F.col(f"_p{i}").alias(f"p_{n}") for i, n in enumerate(names)],
                          (F.col(last) >= chain.threshold).alias("toxic"))
 
 
@@ -277,6 +277,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, chain: Chain = Chain(),
                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that are not toxic, with their columns."""
     model = materialize(fit(docs, labels, chain, doc_id, text), "model")
-    scored = score(docs, model, chain, doc_id, text)
+    scored = score(docs, model, chain, text)
     last = len(chain.categories) - 1
-    return scored.where(F.col(f"_p{last}") < chain.threshold).select(*docs.columns)
+    return scored.where(F.col(f"_p{last}") < chain.threshold).select(*back(docs.columns))
