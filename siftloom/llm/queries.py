@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from siftloom.llm.oracle import SQL
 from siftloom.llm.rows import hex_sha256, whole
 from siftloom.session import scratch_path
 
@@ -118,7 +119,7 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-ORACLE: dict[str, str] = {
+ORACLE: dict[str, str] = SQL | {
     "op5_token_rollups": r"""
 WITH words AS (
   SELECT doc_id, source, CASE WHEN doc_id % 13 = 4 THEN 'xx' ELSE lang END AS lang, 'words-1' AS tokenizer,
