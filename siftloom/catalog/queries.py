@@ -493,8 +493,7 @@ def near_dedup(spark, sf_dir):
 
 @query
 def dedup_counts(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    return dedup.dedup_counts(documents, dedup.near_dedup(documents, "text", "doc_id"))
+    return dedup.near_dedup_counts(table(spark, sf_dir, "documents"), "text", "doc_id")
 
 
 # --- statistics -------------------------------------------------------------

@@ -46,7 +46,10 @@ def collapse_blank_lines(c: Column, maximum: int = 2) -> Column:
 
 
 def remove_invalid_utf(c: Column) -> Column:
-    repaired = F.regexp_replace(F.make_valid_utf8(c), "\ufffd", "")
+    """Drop undecodable bytes; replacement characters of the text itself stay."""
+    own, aside = F.lit("\ufffd"), F.lit("\ufdd0")
+    marked = F.make_valid_utf8(F.replace(c, own, aside))
+    repaired = F.replace(F.replace(marked, own, F.lit("")), aside, own)
     return F.when(F.is_valid_utf8(c), c).otherwise(repaired)
 
 

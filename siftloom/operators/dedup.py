@@ -81,11 +81,28 @@ def keep_first(rows: DataFrame, bands: int = Banding().bands) -> DataFrame:
     return kept.join(reduce(DataFrame.unionByName, losers), "pos", "left_anti")
 
 
+def dropped(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """Positions of the (pos, buckets) rows that are not kept, as a rule far fewer than those kept."""
+    return rows.select("pos").join(kept.select("pos"), "pos", "left_anti")
+
+
 def near_dedup(df: DataFrame, text: str = "output", pos: str = "pos",
                banding: Banding = Banding()) -> DataFrame:
-    """The samples that survive near-duplicate removal."""
-    kept = keep_first(bucket_rows(df, text, pos, banding), banding.bands)
-    return df.join(kept.select(F.col("pos").alias(pos)), pos, "left_semi")
+    """The samples that survive near-duplicate removal.
+
+    The payload meets the positions of the dropped samples only; while these fit a broadcast by their
+    written size, it stays where it is.
+    """
+    rows = materialize(bucket_rows(df, text, pos, banding), "buckets")
+    gone = materialize(dropped(rows, keep_first(rows, banding.bands)), "dropped")
+    return df.join(gone.select(F.col("pos").alias(pos)), pos, "left_anti")
+
+
+def near_dedup_counts(df: DataFrame, text: str = "output", pos: str = "pos",
+                      banding: Banding = Banding()) -> DataFrame:
+    """``dedup_counts`` of a removal, from positions alone."""
+    rows = materialize(bucket_rows(df, text, pos, banding), "buckets")
+    return dedup_counts(rows, keep_first(rows, banding.bands))
 
 
 def dedup_counts(total: DataFrame, unique: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from siftloom.functions.rows import settled
 from siftloom.functions.text import is_blank
 from siftloom.functions.tokens import count_tokens, sample_tokens
 
+# fixed values: the required fields, and below the texts of all messages
 PLAIN_REQUIRED = ("instruction", "input", "output", "language", "license")
 SAMPLE_REQUIRED = ("id", "dataset", "language", "license", "instruction", "output")
 

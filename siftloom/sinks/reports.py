@@ -1,4 +1,7 @@
-"""Text reports over finished, small aggregates."""
+"""Text reports over finished, small aggregates.
+
+Headings and labels are fixed values, as readers of the reports look for them.
+"""
 
 from datetime import datetime, timezone
 

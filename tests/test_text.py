@@ -78,3 +78,10 @@ def test_within_limit(spark):
     assert [r[0] for r in df.select(K.within_limit(3)).collect()] == [True, False]
     doubled = df.select(K.sample_tokens(lambda c: F.length(c)))
     assert [r[0] for r in doubled.collect()] == [4, 5]
+
+
+def test_own_replacement_characters_stay(spark):
+    df = spark.createDataFrame([(bytearray("a\ufffdb".encode() + b"\xff" + "c\ufdd1".encode()),)],
+                               "v binary")
+    fixed = df.select(X.remove_invalid_utf(F.col("v").cast("string")).alias("t")).first().t
+    assert fixed == "a\ufffdbc\ufdd1"
