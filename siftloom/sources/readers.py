@@ -69,9 +69,14 @@ def _with_options(reader, fmt: str, layout: str = "lines"):
 
 
 def file_schema(spark: SparkSession, fmt: str, files: list[str], source: Source) -> T.StructType:
-    """What the first file declares: footer, header, or the fields of its JSON records."""
+    """What the first file with records declares: footer, header, or the fields of its JSON."""
     reader = _with_options(spark.read, fmt, source.layout).format(fmt)
-    return reader.load(files[0]).schema
+    for file in files:
+        found = reader.load(file).schema
+        if found.fields:
+            return found
+    # no record anywhere, so nothing contradicts the adapter
+    return RAW.get(source.adapter or source.id, found)
 
 
 def load(spark: SparkSession, source: Source, schema: T.StructType = None) -> DataFrame:
