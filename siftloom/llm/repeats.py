@@ -87,13 +87,8 @@ def _lists(order_keys: np.ndarray):
     return order, np.flatnonzero(new)
 
 
-def _list_array(starts: np.ndarray, values: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)).astype(np.int32)),
-                                    pa.array(values))
-
-
 def _anchors(search: Search):
-    """(anchor, rows that have it, occurrences) once for every slice."""
+    """(anchor, row that has it, further rows of the slice or null) once for every slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, data, offsets in slices(batch, "_text"):
@@ -102,9 +97,17 @@ def _anchors(search: Search):
                 rows, keys = piece.column("_row").to_numpy()[of].repeat(several), \
                     keys.repeat(several)
                 order, begins = _lists(keys)
+                keys, rows = keys[order][begins].view(np.int64), rows[order]
+                sizes = np.diff(np.append(begins, len(order)))
+                further = np.ones(len(order), dtype=bool)
+                further[begins] = False
+                edges = np.concatenate([[0], np.cumsum(sizes - 1)]).astype(np.int32)
+                # most anchors occur once in a slice; these have no list
+                more = pa.ListArray.from_arrays(pa.array(edges), pa.array(rows[further]),
+                                                mask=pa.array(sizes == 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[order][begins].view(np.int64)),
-                     _list_array(begins, rows[order])], names=["_key", "_rows"])
+                    [pa.array(keys), pa.array(rows[begins]), more],
+                    names=["_key", "_row", "_more"])
     return run
 
 
@@ -141,15 +144,13 @@ def _segment_rows(search: Search, shards: int):
                 groups: dict = {}
                 for i, content in enumerate(text):
                     groups.setdefault((int(shard[i]), int(salts[i]) > 1, content), []).append(i)
-                order = np.array([i for g in groups.values() for i in g])
-                begins = np.cumsum([0] + [len(g) for g in groups.values()])[:-1]
+                places = np.column_stack([ids, row, low])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k[0] for k in groups], pa.int32()),
                      pa.array([k[1] for k in groups], pa.bool_()),
                      pa.array([k[2] for k in groups], pa.binary()),
-                     _list_array(begins, ids[order]), _list_array(begins, row[order]),
-                     _list_array(begins, low[order])],
-                    names=["_shard", "_salted", "_content", "_ids", "_rows", "_starts"])
+                     pa.array([places[g].tobytes() for g in groups.values()], pa.binary())],
+                    names=["_shard", "_salted", "_content", "_places"])
     return run
 
 
@@ -189,10 +190,10 @@ def _searched(search: Search):
 
     def run(table: pa.Table) -> pa.Table:
         merged: dict = {}
-        columns = [table.column(c).to_pylist()
-                   for c in ("_content", "_salted", "_ids", "_rows", "_starts")]
-        for content, salted, ids, rows, starts in zip(*columns):
-            merged.setdefault((salted, content), []).extend(zip(ids, rows, starts))
+        columns = [table.column(c).to_pylist() for c in ("_content", "_salted", "_places")]
+        for content, salted, places in zip(*columns):
+            merged.setdefault((salted, content), []).extend(
+                np.frombuffer(places, dtype=np.int64).reshape(-1, 3).tolist())
         # in ascending order of the smallest id, then of the text, whatever came first
         found = sorted(((min(p[0] for p in places), key[1], key[0], places)
                         for key, places in merged.items()), key=lambda f: f[:3])
@@ -268,22 +269,24 @@ def without_repeats(docs: DataFrame, search: Search, kept: str, counts: tuple[st
     shards = int(size // search.shard_bytes) + 1
 
     anchors = keyed.select("_row", "_text").mapInArrow(
-        _anchors(search), "_key bigint, _rows array<bigint>")
+        _anchors(search), "_key bigint, _row bigint, _more array<bigint>")
     all_of = Window.partitionBy("_key")
-    total = F.sum(F.size("_rows")).over(all_of)
+    more = F.coalesce("_more", F.array().cast("array<bigint>"))
+    total = F.sum(F.size(more) + 1).over(all_of)
     counted = anchors.withColumn("_total", total)
     if search.first_stays:
-        counted = counted.withColumn("_several", F.min(F.array_min("_rows")).over(all_of)
-                                     < F.max(F.array_max("_rows")).over(all_of))
+        counted = counted.withColumn(
+            "_several", F.min(F.least("_row", F.array_min(more))).over(all_of)
+            < F.max(F.greatest("_row", F.array_max(more))).over(all_of))
     else:
         counted = counted.withColumn("_several", F.col("_total") > 1)
     wanted = (counted.where("_several")
-              .select(F.explode(F.array_distinct("_rows")).alias("_row"), "_key", "_total")
+              .select(F.explode(F.array_distinct(F.array_append(more, F.col("_row")))).alias("_row"),
+                      "_key", "_total")
               .groupBy("_row").agg(F.collect_list(F.struct("_key", "_total")).alias("_keys")))
     rows = keyed.join(wanted, "_row")
     found = rows.mapInArrow(_segment_rows(search, shards), (
-        "_shard int, _salted boolean, _content binary, _ids array<bigint>, "
-        "_rows array<bigint>, _starts array<bigint>"))
+        "_shard int, _salted boolean, _content binary, _places binary"))
     spans = found.groupBy("_shard").applyInArrow(_searched(search), (
         "_part bigint, _open boolean, _d bigint, _row bigint, _low bigint, _high bigint, "
         "_done boolean"))

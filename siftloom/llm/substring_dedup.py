@@ -87,7 +87,7 @@ def owned_earlier(contents: list[bytes], least: list[int], search: Search) -> li
                      dtype=bool) for content, owner in zip(contents, least)]
 
 
-BY_WORDS = Search(by_words=True, window=13, anchor=5, first_stays=True, index=owned_earlier)
+BY_WORDS = Search(by_words=True, window=13, anchor=4, first_stays=True, index=owned_earlier)
 
 
 def substring_dedup(docs: DataFrame, search: Search = BY_WORDS, doc_id: str = "doc_id",
