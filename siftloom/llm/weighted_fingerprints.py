@@ -38,14 +38,30 @@ def _sample(term: Column, log_weight: Column, k: int) -> Column:
         own.bitwiseXOR(t * 0x9E3779B1).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
-def sampled(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """(keys, _signature) of rows (keys, _term, _n): an array of ``samples`` 32-bit identities."""
+def drawn(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
+    """(keys, _s0, _s1, ...): the smallest offer of the rows (keys, _term, _n) for each sample."""
     term, log_weight = F.col("_term"), F.col("_log")
-    drawn = terms.withColumn("_log", F.log(F.col("_n").cast("double"))).groupBy(*keys).agg(
+    return terms.withColumn("_log", F.log(F.col("_n").cast("double"))).groupBy(*keys).agg(
         *[F.min(_sample(term, log_weight, k)).alias(f"_s{k}") for k in range(samples)])
-    return drawn.select(*keys, F.array(*[
-        F.col(f"_s{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(samples)])
-        .alias("_signature"))
+
+
+def signatures(counts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
+    """(keys, _own, _other): arrays of ``samples`` 32-bit identities, null without terms.
+
+    ``counts`` has (keys, _term, _n0, _n1), a term's weight in either text. A term that weighs the
+    same in both offers the same to both and is drawn once.
+    """
+    def offer(weight, texts):
+        return F.struct(F.col(weight).alias("_n"), F.lit(texts).alias("_in"))
+    offers = F.when(F.col("_n0") == F.col("_n1"), F.array(offer("_n0", 3))).otherwise(
+        F.array(offer("_n0", 1), offer("_n1", 2)))
+    terms = counts.select(*keys, "_term", F.inline(offers)).where("_n > 0")
+    best = drawn(terms, [*keys, "_in"], samples).groupBy(*keys).agg(*[
+        F.min(F.when(F.col("_in").bitwiseAND(F.lit(text)) > 0, F.col(f"_s{k}"))).alias(f"{n}{k}")
+        for text, n in ((1, "_own"), (2, "_other")) for k in range(samples)])
+    return best.select(*keys, *[F.when(F.col(f"{n}0").isNotNull(), F.array(*[
+        F.col(f"{n}{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(samples)])).alias(n)
+        for n in ("_own", "_other")])
 
 
 def as_text(signature: Column) -> Column:
@@ -107,15 +123,13 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       F.substring("_next", F.lit(1), third))
     placed = placed.withColumn("_edited", F.when(~F.col("_behind"), edited)).drop("_next")
 
-    keys = ["_range", "_row", "_side"]
+    keys = ["_range", "_row"]
     sides = F.when(F.col("_behind"), F.array("_text")).otherwise(F.array("_text", "_edited"))
-    words = placed.select("_range", "_row", F.posexplode(sides).alias("_side", "_of")).select(
-        *keys, F.explode(F.split("_of", SPLIT)).alias("_word")).where("_word <> ''")
-    counts = words.select(*keys, F.xxhash64("_word").alias("_term")).groupBy(
-        *keys, "_term").agg(F.count("*").alias("_n"))
-    signed = sampled(counts, keys, samples).groupBy("_range", "_row").agg(
-        *[F.max(F.when(F.col("_side") == i, F.col("_signature"))).alias(n)
-          for i, n in enumerate(("_own", "_other"))])
+    words = placed.select(*keys, F.posexplode(sides).alias("_side", "_of")).select(
+        *keys, "_side", F.explode(F.split("_of", SPLIT)).alias("_word")).where("_word <> ''")
+    counts = words.select(*keys, "_side", F.xxhash64("_word").alias("_term")).groupBy(
+        *keys, "_term").agg(*[F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in (0, 1)])
+    signed = signatures(counts, keys, samples)
 
     # both uses of ``placed`` need the same columns, so the texts are dealt out once
     kept = placed.select("_range", "_row", "_behind",
