@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from siftloom.llm.rows import NO_ID, hex_sha256, id_key, text_key, whole
 
 SAMPLES = 32
+# at least so many id ranges
 RANGES = 400
 SPLIT = r"[\x20\x09-\x0D]+"
 
@@ -79,12 +80,28 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _ranges(rows: DataFrame) -> Column:
-    """Number of a row's id range; the borders are quantiles, at most RANGES of them."""
-    shares = [(i + 1) / RANGES for i in range(RANGES - 1)]
-    borders = sorted({int(b) for b in rows.approxQuantile("_d", shares, 0.5 / RANGES)})
+    """Number of a row's id range; the borders are quantiles.
+
+    There are as many ranges as keep every task of the session's shuffles busy. A border is
+    looked up in two steps, first among every so-manieth of them.
+    """
+    spark = rows.sparkSession
+    n = max(RANGES, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shares = [(i + 1) / n for i in range(n - 1)]
+    borders = sorted({int(b) for b in rows.approxQuantile("_d", shares, 0.5 / n)})
     if not borders:
         return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(b) for b in borders]), lambda b: b <= F.col("_d")))
+    step = int(len(borders) ** 0.5) + 1
+    groups = [borders[i:i + step] for i in range(0, len(borders), step)]
+
+    def below(values):
+        return F.size(F.filter(values, lambda b: b <= F.col("_d")))
+
+    def longs(values):
+        return F.array(*[F.lit(v).cast("bigint") for v in values])
+    coarse = below(longs([g[0] for g in groups]))
+    fine = below(F.get(F.array(*[longs(g) for g in groups]), coarse - 1))
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + fine)
 
 
 def in_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
