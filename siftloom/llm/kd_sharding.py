@@ -6,7 +6,7 @@ A node for m shards gives m // 2 of them to its left side, together with that sh
 Where many documents share a value (a language, a hot source), a hash of id and text orders
 them, so a cut goes through the middle of equal values too.
 
-The medians of a level are found together, by histograms: each pass counts the bytes of 512 bins,
+The medians of a level are found together, by histograms: each pass counts the bytes of 4,096 bins,
 and the bin with the median is divided again until it holds next to nothing. What the
 driver sees is bounded by nodes x bins; the documents are read as narrow rows.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from siftloom.llm.rows import id_key, text_key, whole
 from siftloom.session import materialize
 
-BINS, VALUE_BITS = 512, 20
+BINS, VALUE_BITS = 4096, 20
 DIMENSIONS = ("length", "language", "source", "id")
 
 
@@ -53,33 +53,36 @@ def narrow_rows(docs: DataFrame, doc_id: str, text: str, lang: str, source: str)
          * F.lit(2.0 ** -53)).alias("_tie"))
 
 
-def _scaled(ranges, dimension: int) -> Column:
-    """The dimension's value as a multiple of its range, 0 to 1."""
-    low, high = ranges[f"low{dimension}"], ranges[f"high{dimension}"]
-    if high <= low:
-        return F.lit(0.0)
-    return (F.col(f"_v{dimension}") - low) / (high - low)
+def placed_rows(rows: DataFrame) -> DataFrame:
+    """Narrow rows with their place in 0..1 along every dimension as ``_p0``, ``_p1``, ...
 
-
-def _place(ranges, dimension: int) -> Column:
-    """Value and tie as one number in 0..1: equal values are spread by their hash."""
+    Values are scaled by their range over all documents, and equal ones spread by their hash.
+    """
+    ends = rows.agg(*[f(f"_v{i}").alias(f"{n}{i}") for i in range(len(DIMENSIONS))
+                      for n, f in (("low", F.min), ("high", F.max))]).first().asDict()
     steps = float(1 << VALUE_BITS)
-    return (F.floor(_scaled(ranges, dimension) * (steps - 1)).cast("double")
-            + F.col("_tie")) / steps
+
+    def place(i):
+        low, high = ends[f"low{i}"], ends[f"high{i}"]
+        if low is None or high <= low:
+            return F.col("_tie") / steps
+        scaled = (F.col(f"_v{i}") - low) / (high - low)
+        return (F.floor(scaled * (steps - 1)).cast("double") + F.col("_tie")) / steps
+    return rows.select("doc_id", "size", "text_crc32", "_tie",
+                       *[place(i).alias(f"_p{i}") for i in range(len(DIMENSIONS))])
 
 
-def _routed(node: Node, ranges, leaf) -> Column:
-    """``leaf(node)`` of the leaf a row falls into."""
+def _routed(node: Node) -> Column:
+    """The first shard of the leaf a row falls into."""
     if node.left is None:
-        return F.lit(leaf(node))
-    return F.when(_place(ranges, node.dimension) < node.cut, _routed(node.left, ranges, leaf)) \
-        .otherwise(_routed(node.right, ranges, leaf))
+        return F.lit(node.first)
+    return F.when(F.col(f"_p{node.dimension}") < node.cut, _routed(node.left)).otherwise(
+        _routed(node.right))
 
 
-def _widest(rows: DataFrame, root: Node, ranges, nodes: list[Node]) -> None:
-    spread = rows.groupBy(_routed(root, ranges, lambda n: n.first).alias("node")).agg(*[
-        (F.max(_scaled(ranges, i)) - F.min(_scaled(ranges, i))).alias(f"w{i}")
-        for i in range(len(DIMENSIONS))])
+def _widest(rows: DataFrame, root: Node, nodes: list[Node]) -> None:
+    spread = rows.withColumn("node", _routed(root)).groupBy("node").agg(*[
+        (F.max(f"_p{i}") - F.min(f"_p{i}")).alias(f"w{i}") for i in range(len(DIMENSIONS))])
     found = {r.node: r for r in spread.collect()}
     for node in nodes:
         if node.first in found:
@@ -87,19 +90,22 @@ def _widest(rows: DataFrame, root: Node, ranges, nodes: list[Node]) -> None:
             node.dimension = max(range(len(DIMENSIONS)), key=lambda i: (row[f"w{i}"], -i))
 
 
-def _medians(rows: DataFrame, root: Node, ranges, nodes: list[Node], tolerance: float) -> None:
+def _medians(rows: DataFrame, root: Node, nodes: list[Node], tolerance: float) -> None:
     """Set ``cut`` of all nodes of a level, refining one bin of each until it is light."""
     open_bins = {n.first: (0.0, 1.0, 0) for n in nodes}  # low, width, bytes below
     totals: dict[int, int] = {}
     by_first = {n.first: n for n in nodes}
     while open_bins:
-        waiting = [by_first[k] for k in open_bins]
-        leaf = _routed(root, ranges, lambda n: n.first)
-        place = _case(leaf, {n.first: _place(ranges, n.dimension) for n in waiting})
-        low = _case(leaf, {n.first: F.lit(open_bins[n.first][0]) for n in waiting})
-        width = _case(leaf, {n.first: F.lit(open_bins[n.first][1]) for n in waiting})
-        number = F.floor((place - low) / width * BINS)
-        counted = (rows.select(leaf.alias("node"), number.alias("bin"), "size")
+        def of_node(value):
+            """A number for each node that is open, looked up by the row's node."""
+            numbers = [value(k) if k in open_bins else None for k in range(root.shards)]
+            return F.get(F.array(*[F.lit(x).cast("double") for x in numbers]), F.col("node"))
+        place = F.get(F.array(*[F.col(f"_p{i}") for i in range(len(DIMENSIONS))]),
+                      of_node(lambda k: by_first[k].dimension).cast("int"))
+        number = F.floor((place - of_node(lambda k: open_bins[k][0]))
+                         / of_node(lambda k: open_bins[k][1]) * BINS)
+        counted = (rows.withColumn("node", _routed(root))
+                   .select("node", number.alias("bin"), "size")
                    .where(F.col("bin").between(0, BINS - 1))
                    .groupBy("node", "bin").agg(F.sum("size").alias("bytes")).collect())
         for key, (start, span, below) in list(open_bins.items()):
@@ -109,14 +115,14 @@ def _medians(rows: DataFrame, root: Node, ranges, nodes: list[Node], tolerance:
             goal = totals[key] * (node.shards // 2) / node.shards
             done = below
             node.cut = start + span
-            for number_, held in own:
+            for bin_no, held in own:
                 if done + held > goal:
-                    node.cut = start + span * number_ / BINS
+                    node.cut = start + span * bin_no / BINS
                     if held > tolerance * totals[key] and span > 2.0 ** -50:
                         open_bins[key] = (node.cut, span / BINS, done)
                     else:
                         if goal - done > done + held - goal:
-                            node.cut = start + span * (number_ + 1) / BINS
+                            node.cut = start + span * (bin_no + 1) / BINS
                         del open_bins[key]
                     break
                 done += held
@@ -124,30 +130,21 @@ def _medians(rows: DataFrame, root: Node, ranges, nodes: list[Node], tolerance:
                 del open_bins[key]
 
 
-def _case(leaf: Column, values: dict) -> Column:
-    out = None
-    for key, value in values.items():
-        out = F.when(leaf == key, value) if out is None else out.when(leaf == key, value)
-    return out
-
-
-def tree(rows: DataFrame, shards: int, tolerance: float = 0.0002) -> tuple[Node, dict]:
-    """The k-d tree of narrow rows and the ranges that scale their dimensions."""
-    ranges = rows.agg(*[f(f"_v{i}").alias(f"{n}{i}") for i in range(len(DIMENSIONS))
-                        for n, f in (("low", F.min), ("high", F.max))]).first().asDict()
+def tree(rows: DataFrame, shards: int, tolerance: float = 0.0002) -> Node:
+    """The k-d tree of placed rows."""
     root = Node(0, shards)
-    if ranges["low0"] is None:
-        return root, ranges
+    if rows.isEmpty():
+        return root
     level = [root]
     while level := [n for n in level if n.shards > 1]:
-        _widest(rows, root, ranges, level)
-        _medians(rows, root, ranges, level, tolerance)
+        _widest(rows, root, level)
+        _medians(rows, root, level, tolerance)
         for node in level:
             half = node.shards // 2
             node.left = Node(node.first, half)
             node.right = Node(node.first + half, node.shards - half)
         level = [side for n in level for side in (n.left, n.right)]
-    return root, ranges
+    return root
 
 
 def shard(docs: DataFrame, shards: int = 24, doc_id: str = "doc_id", text: str = "text",
@@ -160,9 +157,9 @@ def shard(docs: DataFrame, shards: int = 24, doc_id: str = "doc_id", text: str =
     no task orders a whole shard. An empty table gives no rows.
     """
     rows = materialize(narrow_rows(docs, doc_id, text, lang, source), "narrow")
-    root, ranges = tree(rows, shards)
+    rows = materialize(placed_rows(rows), "placed")
     placed = rows.select(
-        "doc_id", "size", "text_crc32", _routed(root, ranges, lambda n: n.first).alias("shard"),
+        "doc_id", "size", "text_crc32", _routed(tree(rows, shards)).alias("shard"),
         "_tie", F.least(F.floor(F.col("_tie") * buckets), F.lit(buckets - 1)).alias("_bucket"))
     counts = placed.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
     before = counts.select("shard", "_bucket", F.coalesce(F.sum("_n").over(
