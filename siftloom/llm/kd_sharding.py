@@ -107,18 +107,19 @@ def _medians(rows: DataFrame, root: Node, nodes: list[Node], tolerance: float) -
         counted = (rows.withColumn("node", _routed(root))
                    .select("node", number.alias("bin"), "size")
                    .where(F.col("bin").between(0, BINS - 1))
-                   .groupBy("node", "bin").agg(F.sum("size").alias("bytes")).collect())
+                   .groupBy("node", "bin").agg(F.sum("size").alias("bytes"),
+                                               F.count("*").alias("n")).collect())
         for key, (start, span, below) in list(open_bins.items()):
-            own = sorted((r.bin, r.bytes) for r in counted if r.node == key)
+            own = sorted((r.bin, r.bytes, r.n) for r in counted if r.node == key)
             node = by_first[key]
-            totals.setdefault(key, sum(b for _, b in own))
+            totals.setdefault(key, sum(b for _, b, _ in own))
             goal = totals[key] * (node.shards // 2) / node.shards
             done = below
             node.cut = start + span
-            for bin_no, held in own:
+            for bin_no, held, n in own:
                 if done + held > goal:
                     node.cut = start + span * bin_no / BINS
-                    if held > tolerance * totals[key] and span > 2.0 ** -50:
+                    if n > 1 and held > tolerance * totals[key] and span > 2.0 ** -50:
                         open_bins[key] = (node.cut, span / BINS, done)
                     else:
                         if goal - done > done + held - goal:
