@@ -30,8 +30,9 @@ MEASURES = ("word_length", "symbol_ratio", "dup_line_ratio", "repeat_ratio")
 class Rules:
     accuracy: float = 0.02
     reach: float = 4.0
-    # distance that is kept even where a group hardly varies, per measure
-    slack: tuple = (3.0, 0.2, 0.35, 0.2)
+    # distance that is kept even where a group hardly varies, per measure; that of
+    # repeat_ratio lies below the base limit, beyond which no document gets here
+    slack: tuple = (0.75, 0.2, 0.35, 0.1)
     least_rows: int = 200
     least_words: int = 10
     repeat_percent: int = 20

@@ -230,6 +230,26 @@ def test_outliers_of_their_group_go(spark):
     assert not got.pop(900) and all(got.values())
 
 
+def test_each_measure_rejects_an_outlier(spark):
+    rnd = random.Random(4)
+
+    def words(n, stem="word"):
+        return [f"{stem}{rnd.randint(0, 9999)}" for _ in range(n)]
+    passage = words(15)
+    planted = {
+        "word_length": " ".join(words(200, "longer")),
+        "symbol_ratio": " ".join(w + rnd.choice(["", "", "", "#"]) * 4 for w in words(200)),
+        "dup_line_ratio": "\n".join(line for w in words(100) for line in ("again", f"{w} {w}x {w}y")),
+        "repeat_ratio": " ".join(words(85) + passage + words(85) + passage)}
+    rows = [(i, " ".join(words(200)), "en", "prose") for i in range(300)]
+    rows += [(1000 + i, text, "en", "prose") for i, text in enumerate(planted.values())]
+    got = {r.doc_id: r for r in Q.quality(spark.createDataFrame(
+        rows, "doc_id bigint, text string, lang string, source string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {m: got[1000 + i].kept for i, m in enumerate(planted)} == dict.fromkeys(planted, False)
+    assert all(got[i].kept for i in range(300))
+
+
 def test_sketches_merge_to_the_sketch_of_all(spark):
     values = spark.createDataFrame([(i % 3, float(i * i % 977)) for i in range(2000)],
                                    "k int, value double")
