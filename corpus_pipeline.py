@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftloom.llm.minhash_near_dedup import near_dedup
+from siftloom.llm.minhash_near_dedup import near_dedup_apart
 from siftloom.llm.mixing import Mix, mixture
 from siftloom.llm.sentencepiece_codec import encode_documents
 from siftloom.llm.suffix_array_dedup import without_repeated_strings
@@ -27,8 +27,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate class."""
-    return near_dedup(docs)
+    """The document with the smallest id of each near-duplicate class; different texts that
+    share an id or have none are documents of their own."""
+    return near_dedup_apart(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

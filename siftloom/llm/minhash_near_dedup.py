@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftloom.llm.rows import (aside, back, expanded, gram_hashes, id_key, mixed, slices, span_hashes, whole,
-                               within, word_bounds, word_hashes)
+from siftloom.llm.rows import (aside, back, expanded, gram_hashes, id_key, mixed, slices, span_hashes,
+                               text_key, whole, within, word_bounds, word_hashes)
 from siftloom.session import materialize
 
 MASK = (1 << 64) - 1
@@ -250,19 +250,22 @@ def _sets(darts: Darts):
     return run
 
 
-def links(texts: DataFrame, rows: DataFrame, darts: Darts = Darts()) -> DataFrame:
+def links(texts: DataFrame, rows: DataFrame, darts: Darts = Darts(),
+          once: bool = False) -> DataFrame:
     """(_a, _b) pairs of similar texts, enough to join all that share a bucket and are similar.
 
     ``texts`` has (_d, _text), ``rows`` (_d, _bands). First everyone is compared with the smallest
     member of the bucket. Buckets whose members are one class by then need no more, whatever
     their size. In the others, members of different classes are compared all with all,
     as sets of shingles in blocks of about ``block`` members, and only links that join
-    classes come out. Pairs of documents are never rows.
+    classes come out. Pairs of documents are never rows. With ``once``, rows of ``texts``
+    that repeat a document are one.
     """
     members = rows.select("_d", F.explode("_bands").alias("_bucket"))
     leads = members.groupBy("_bucket").agg(F.count("*").alias("_n"), F.min("_d").alias("_b"))
     members = materialize(members.join(leads.where("_n > 1"), "_bucket"), "members")
-    texts = materialize(texts.join(members.select("_d").distinct(), "_d", "left_semi"), "texts")
+    texts = texts.join(members.select("_d").distinct(), "_d", "left_semi")
+    texts = materialize(texts.dropDuplicates(["_d"]) if once else texts, "texts")
     left = texts.select(F.col("_d").alias("_a"), "_text")
     right = texts.select(F.col("_d").alias("_b"), F.col("_text").alias("_other"))
     pairs = members.where("_d <> _b").select(F.col("_d").alias("_a"), "_b").distinct()
@@ -290,6 +293,22 @@ def links(texts: DataFrame, rows: DataFrame, darts: Darts = Darts()) -> DataFram
     return first.unionByName(materialize(more, "more")).distinct()
 
 
+def _roots(given: DataFrame, darts: Darts, once: bool = False) -> DataFrame:
+    """(_node, _root) of the documents (_d, _text) that are linked."""
+    keyed = given.select("_d", F.md5(F.col("_text")).alias("_copy"), "_text")
+    signed = keyed.mapInArrow(_banded(darts), "_d bigint, _copy string, _bands array<bigint>")
+    signed = materialize(signed.dropDuplicates(["_d"]) if once else signed, "signed")
+    # no distinct behind the join: a hot group of copies can then be split
+    copies = signed.select("_d", "_copy")
+    firsts = copies.groupBy("_copy").agg(F.min("_d").alias("_first"))
+    members = materialize(copies.join(firsts, "_copy")
+                          .select("_d", F.col("_first").alias("_b")), "copies")
+    rows = signed.join(members.where("_d = _b").select("_d"), "_d", "left_semi")
+    linked = links(given.select("_d", "_text"), rows, darts, once)
+    edges = members.select(F.col("_d").alias("_a"), "_b").unionByName(linked)
+    return components(edges)
+
+
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  darts: Darts = Darts()) -> DataFrame:
     """(doc_id, class_id, kept) of every document; the smallest id names the class.
@@ -301,18 +320,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     given = docs.select(F.col(doc_id).alias("_id"), id_key(doc_id).alias("_d"),
                         whole(text).alias("_text"))
-    keyed = given.select("_d", F.md5(F.col("_text")).alias("_copy"), "_text")
-    signed = keyed.mapInArrow(_banded(darts), "_d bigint, _copy string, _bands array<bigint>")
-    signed = materialize(signed, "signed")
-    # no distinct behind the join: a hot group of copies can then be split
-    copies = signed.select("_d", "_copy")
-    firsts = copies.groupBy("_copy").agg(F.min("_d").alias("_first"))
-    members = materialize(copies.join(firsts, "_copy")
-                          .select("_d", F.col("_first").alias("_b")), "copies")
-    rows = signed.join(members.where("_d = _b").select("_d"), "_d", "left_semi")
-    linked = links(given.select("_d", "_text"), rows, darts)
-    edges = members.select(F.col("_d").alias("_a"), "_b").unionByName(linked)
-    roots = components(edges)
+    roots = _roots(given, darts)
     ids = given.select(F.col("_id").alias("doc_id"), "_d")
     class_id = F.coalesce("_root", "_d")
     return (ids.join(roots, F.col("_d") == F.col("_node"), "left")
@@ -322,9 +330,33 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                darts: Darts = Darts()) -> DataFrame:
-    """The documents that name their class, one row of each."""
+    """The documents that name their class, one row of each; as there, rows that share an id or
+    have none are one document."""
     kept = (near_classes(docs, doc_id, text, darts).where("kept")
             .select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_d")).distinct())
     names = docs.columns
     return (docs.select(*aside(docs, names), id_key(doc_id).alias("_d"))
             .join(kept, "_d", "left_semi").dropDuplicates(["_d"]).select(*back(names)))
+
+
+def near_dedup_apart(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                     darts: Darts = Darts()) -> DataFrame:
+    """One row of each class, where a document is an id and a text.
+
+    Rows without an id, or with the same id, are documents of their own if their texts differ,
+    and are linked like any others. The smallest id of a class stays, a null id being the
+    smallest; of one id the smallest text hash. Null texts count as empty. A document is
+    numbered by a 64-bit hash of both, so among n documents two are taken for one with a
+    probability of about n * n / 2^65.
+    """
+    names = docs.columns
+    pair = (id_key(doc_id).alias("_i"), text_key(text).alias("_h"))
+    given = docs.select(*pair, whole(text).alias("_text")).select(
+        "_i", "_h", F.xxhash64("_i", "_text").alias("_d"), "_text")
+    roots = _roots(given.select("_d", "_text"), darts, once=True)
+    known = given.select("_d", "_i", "_h").distinct()
+    classes = known.join(roots, F.col("_d") == F.col("_node"), "left").groupBy(
+        F.coalesce("_root", "_d").alias("_class"))
+    kept = classes.agg(F.min(F.struct("_i", "_h")).alias("_least")).select("_least.*")
+    return (docs.select(*aside(docs, names), *pair).join(kept, ["_i", "_h"], "left_semi")
+            .dropDuplicates(["_i", "_h"]).select(*back(names)))
