@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from siftloom.llm.rows import NO_ID, hex_sha256, id_key, text_key, whole
 
-SAMPLES = 32
+SAMPLES = 64
 # at least so many id ranges
 RANGES = 400
 SPLIT = r"[\x20\x09-\x0D]+"

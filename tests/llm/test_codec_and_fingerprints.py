@@ -87,6 +87,21 @@ def test_edited_texts_and_likeness(spark):
     assert max(map(abs, errors)) < 0.3 and abs(sum(errors) / len(errors)) < 0.02
 
 
+def test_accuracy_of_the_registered_size(spark):
+    rnd = random.Random(6)
+    rows = [(i, " ".join(f"w{rnd.randint(0, 900)}" for _ in range(150))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in W.fingerprints(docs).collect()}
+    errors = []
+    for i, text in rows:
+        following, third = rows[i - 1][1], len(text) // 3
+        edited = text[:len(text) - third] + following[:third]
+        errors.append(got[i].near_edited - likeness(text, edited))
+    # 64 samples have a standard error of 0.0625 at 0.5, 32 have 0.088
+    assert max(map(abs, errors)) < 0.3
+    assert (sum(e * e for e in errors) / len(errors)) ** 0.5 < 0.072
+
+
 def test_odd_tables_of_fingerprints(spark):
     docs = spark.createDataFrame([(5, "a b c d"), (5, "a b c d"), (5, "e f"), (None, "g h i")],
                                  "doc_id bigint, text string")
