@@ -1,5 +1,6 @@
 """Reading one source: format by suffix, split pruning, schema checks, row order."""
 
+import functools
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,22 +69,85 @@ def _with_options(reader, fmt: str, layout: str = "lines"):
     return reader
 
 
+def _wider(a: T.DataType, b: T.DataType, name: str) -> T.DataType:
+    """The type that holds both; numbers of another width are the only ones that may differ."""
+    for order in ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType)):
+        if isinstance(a, order) and isinstance(b, order):
+            return max(a, b, key=lambda kind: order.index(type(kind)))
+    if a == b:
+        return a
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(_wider(a.elementType, b.elementType, name))
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return _joined(a, b)
+    raise ValueError(f"column {name} is {a.simpleString()} in one file, {b.simpleString()} in another")
+
+
+def _joined(a: T.StructType, b: T.StructType) -> T.StructType:
+    """The fields of both, in the order in which they are met."""
+    fields = {f.name: f.dataType for f in a}
+    for field in b:
+        own = fields.get(field.name, field.dataType)
+        fields[field.name] = _wider(own, field.dataType, field.name)
+    return T.StructType([T.StructField(n, kind) for n, kind in fields.items()])
+
+
 def file_schema(spark: SparkSession, fmt: str, files: list[str], source: Source) -> T.StructType:
-    """What the first file with records declares: footer, header, or the fields of its JSON."""
+    """What the files declare together: all footers or headers, or the fields of JSON records.
+
+    Footers are merged by one job; one by one only if widths differ between files. JSON files
+    are read up to the one by which no required field is missing, and optional fields count as
+    declared, since a record without one is null there anyway.
+    """
+    kind = source.adapter or source.id
     reader = _with_options(spark.read, fmt, source.layout).format(fmt)
+    found = T.StructType()
+    if fmt == "parquet":
+        try:
+            found = reader.option("mergeSchema", "true").load(files).schema
+        except Exception as error:
+            if "MERGE" not in str(error).upper():
+                raise
+            reader = spark.read.format(fmt)
+            for file in files:
+                found = _joined(found, reader.load(file).schema)
+    else:
+        for file in files:
+            found = _joined(found, reader.load(file).schema) if fmt == "csv" else T.StructType(
+                [*found, *[f for f in reader.load(file).schema if f.name not in found.names]])
+            if fmt == "json" and found.fields and not (kind in RAW and problems_of(found, kind)):
+                break
+    if not found.fields:
+        # no record anywhere, so nothing contradicts the adapter
+        return RAW.get(kind, found)
+    if fmt == "json" and kind in RAW:
+        return T.StructType([*found, *[f for f in RAW[kind] if f.name not in found.names
+                                       and f.name in OPTIONAL.get(kind, ())]])
+    return found
+
+
+def _by_header(spark: SparkSession, files: list[str]) -> DataFrame | None:
+    """CSV files read by their own headers; a column that a file lacks is null there.
+
+    Files without a header have no rows; None if all are like that.
+    """
+    groups = {}
     for file in files:
-        found = reader.load(file).schema
-        if found.fields:
-            return found
-    # no record anywhere, so nothing contradicts the adapter
-    return RAW.get(source.adapter or source.id, found)
+        own = _with_options(spark.read, "csv").format("csv").load(file).schema
+        if own.fields:
+            groups.setdefault(tuple(own.names), (own, []))[1].append(file)
+    parts = [_with_options(spark.read, "csv").format("csv").schema(own).load(group)
+             for own, group in groups.values()]
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                            parts) if parts else None
 
 
 def load(spark: SparkSession, source: Source, schema: T.StructType = None) -> DataFrame:
     """The raw table of a source, lazily: a stream if the source says so.
 
-    Columns are bound by name and keep the type of the file; JSON fields are read as the types
-    the adapter declares. Fields the adapter does not know are left out.
+    Columns are bound by name and keep the type of the files, the widest of their numbers; JSON
+    fields are read as the types the adapter declares. Fields the adapter does not know are
+    left out, and one that only some files have is null in the others.
     """
     kind = source.adapter or source.id
     schema = schema or RAW[kind]
@@ -108,6 +172,10 @@ def load(spark: SparkSession, source: Source, schema: T.StructType = None) -> Da
                                              _root(path), -1))
             raw = raw.where(F.contains(name, F.lit(source.split)))
         return raw.select(*names)
+    if fmt == "csv" and len(files) > 1 and names:
+        table = _by_header(spark, files)
+        if table is not None:
+            return table.select(*names)
     reader = _with_options(spark.read, fmt, source.layout).format(fmt)
     return reader.schema(declared).load(files).select(*names)
 

@@ -218,6 +218,31 @@ def test_missing_columns_and_wider_types(spark, tmp_path):
         list(readers.load_all(spark, [BY_ID["apps"].at(f"{tmp_path}/m")]))
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "json", "csv"])
+def test_columns_of_later_files_are_read(spark, tmp_path, fmt):
+    wide = spark.createDataFrame([("7", "do", "context", "y")], RAW["codealpaca"]).coalesce(1)
+    for name, df in (("a", wide.drop("id", "input")), ("b", wide), ("c", wide.drop("input"))):
+        df.write.option("header", "true").format(fmt).save(f"{tmp_path}/u/{name}")
+    source = BY_ID["codealpaca"].at(f"{tmp_path}/u")
+    raw = readers.load(spark, source)
+    assert sorted(map(tuple, raw.select("id", "input", "output").collect()), key=str) == [
+        ("7", "context", "y"), ("7", None, "y"), (None, None, "y")]
+    rows = jobs.unified(spark, [source]).collect()
+    assert sorted(r.input for r in rows) == ["", "", "context"]
+    assert [r.id for r in rows].count("7") == 2
+
+
+def test_numbers_of_later_files_may_be_wider(spark, tmp_path):
+    narrow = spark.createDataFrame([(1, "add", "x = 1", ["t"])], RAW["mbpp"]).coalesce(1)
+    narrow.write.parquet(f"{tmp_path}/n/a")
+    narrow.withColumn("task_id", F.lit(1 << 40)).write.parquet(f"{tmp_path}/n/b")
+    raw = readers.load(spark, BY_ID["mbpp"].at(f"{tmp_path}/n"))
+    assert sorted(r.task_id for r in raw.collect()) == [1, 1 << 40]
+    narrow.withColumn("task_id", F.lit("x")).write.parquet(f"{tmp_path}/n/c")
+    with pytest.raises(ValueError, match="task_id is"):
+        readers.load(spark, BY_ID["mbpp"].at(f"{tmp_path}/n"))
+
+
 def test_streams_read_their_split(spark, tmp_path):
     df = spark.createDataFrame([("1", "do", "", "y")], RAW["codealpaca"])
     df.write.parquet(f"{tmp_path}/s/train")
