@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siftloom.llm.oracle import SQL
+from siftloom.llm.oracle_joins import SQL as JOIN_SQL
 from siftloom.llm.rows import hex_sha256, whole
 from siftloom.session import scratch_path
 
@@ -114,12 +115,18 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return near_classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_conversation_trie(spark, sf_dir):
+    from siftloom.llm.conversation_trie import conversation_trie
+    return conversation_trie(table(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-ORACLE: dict[str, str] = SQL | {
+ORACLE: dict[str, str] = SQL | JOIN_SQL | {
     "op5_token_rollups": r"""
 WITH words AS (
   SELECT doc_id, source, CASE WHEN doc_id % 13 = 4 THEN 'xx' ELSE lang END AS lang, 'words-1' AS tokenizer,

@@ -39,4 +39,4 @@ def test_near_dedup_keeps_different_texts_of_one_id(spark):
 
 def test_every_operator_has_one_query():
     numbers = [n.split("_")[0] for n in QUERIES if n.startswith("op")]
-    assert sorted(numbers) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(numbers) == sorted(f"op{i}" for i in range(1, 14))
