@@ -32,4 +32,16 @@ SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce
 FROM nodes n JOIN totals t ON t.top = n.key LEFT JOIN children c ON c.key = n.key
   LEFT JOIN nodes p ON n.d > 0 AND p.key = n.key[1:n.d - 1]"""
 
-SQL = {"op13_conversation_trie": TRIE}
+SEARCH = rf"""WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWER}, '{TERM}') AS ts FROM documents),
+corpus AS (SELECT count(*) FILTER (len(ts) > 0) AS n, CAST(sum(len(ts)) AS BIGINT) AS l FROM d),
+tf AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS term FROM d) GROUP BY ALL),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), corpus),
+asked AS (SELECT item_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term FROM benchmark),
+long AS (SELECT doc_id, 100 - 75 + (75 * len(ts) * n) // l AS m FROM d, corpus WHERE len(ts) > 0),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN long USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (
+  PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scored WHERE score > 0) WHERE r <= 10"""
+
+SQL = {"op12_lexical_search": SEARCH, "op13_conversation_trie": TRIE}

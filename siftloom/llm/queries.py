@@ -115,6 +115,12 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return near_classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_lexical_search(spark, sf_dir):
+    from siftloom.llm.lexical_search import lexical_search
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op13_conversation_trie(spark, sf_dir):
     from siftloom.llm.conversation_trie import conversation_trie

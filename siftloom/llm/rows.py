@@ -4,6 +4,8 @@ A document is known by ``_d``, its id (null: the smallest long, so it comes firs
 ``_h``, a hash of its text, which tells repeated ids with different texts apart.
 """
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 NO_ID = -(1 << 63)
 SLICE_BYTES = 1 << 21
+LONG_WORD = 64
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 BASE, STEP = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
@@ -74,12 +77,13 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
         first = last
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray):
+def word_bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACES):
     """(starts, ends, first): bytes of each word, and each document's first word and end.
 
-    Words are maximal runs without the six ASCII white-space characters.
+    Words are maximal runs without bytes marked in ``between``, as a rule the six ASCII
+    white-space characters.
     """
-    inside = ~SPACES[data]
+    inside = ~between[data]
     edges = offsets[(offsets > 0) & (offsets < len(data))]
     before = np.zeros(len(data), dtype=bool)
     before[1:] = inside[:-1]
@@ -121,7 +125,21 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray,
 
 
 def word_hashes(data, starts, ends) -> np.ndarray:
-    return span_hashes(data, starts, ends)
+    """A 64-bit hash of every word.
+
+    Sums modulo 2^64 collide for certain strings of 1,024 symbols and more, whatever the base, so
+    words longer than ``LONG_WORD`` bytes are hashed one by one.
+    """
+    out = span_hashes(data, starts, ends)
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case."""
+    return np.where((data >= 65) & (data <= 90), data | 32, data)
 
 
 def gram_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
