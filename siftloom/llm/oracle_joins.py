@@ -32,6 +32,19 @@ SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce
 FROM nodes n JOIN totals t ON t.top = n.key LEFT JOIN children c ON c.key = n.key
   LEFT JOIN nodes p ON n.d > 0 AND p.key = n.key[1:n.d - 1]"""
 
+JOIN = rf"""WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+grams AS MATERIALIZED (SELECT DISTINCT doc_id, g FROM (
+  SELECT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM words WHERE len(ws) >= 5)
+  UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM words WHERE len(ws) BETWEEN 1 AND 4)),
+sizes AS MATERIALIZED (SELECT w.doc_id, count(g) AS n FROM words w LEFT JOIN grams USING (doc_id) GROUP BY w.doc_id),
+edges AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) shared
+  JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared.n >= 80 * (p.n + q.n - shared.n)),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, e.b FROM reached r JOIN edges e ON e.a = r.b)
+SELECT doc_id, n AS n_shingles, min(b) AS component_id FROM sizes JOIN reached ON a = doc_id GROUP BY doc_id, n"""
+
 SEARCH = rf"""WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWER}, '{TERM}') AS ts FROM documents),
 corpus AS (SELECT count(*) FILTER (len(ts) > 0) AS n, CAST(sum(len(ts)) AS BIGINT) AS l FROM d),
 tf AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS term FROM d) GROUP BY ALL),
@@ -44,4 +57,4 @@ scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf
 SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (
   PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scored WHERE score > 0) WHERE r <= 10"""
 
-SQL = {"op12_lexical_search": SEARCH, "op13_conversation_trie": TRIE}
+SQL = {"op11_ngram_join": JOIN, "op12_lexical_search": SEARCH, "op13_conversation_trie": TRIE}

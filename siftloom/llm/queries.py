@@ -115,6 +115,12 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return near_classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_ngram_join(spark, sf_dir):
+    from siftloom.llm.ngram_join import ngram_join
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_lexical_search(spark, sf_dir):
     from siftloom.llm.lexical_search import lexical_search
