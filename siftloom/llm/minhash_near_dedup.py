@@ -39,6 +39,8 @@ class Darts:
     shingle: int = 5
     similarity: float = 0.8
     block: int = 1000
+    #: documents signed at a time; each throws about k ln k + 2 k darts, however short it is
+    signed: int = 100
 
 
 def shingles(data, offsets, width: int):
@@ -121,7 +123,7 @@ def _banded(darts: Darts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, bands = darts.coordinates, darts.bands
         for batch in batches:
-            for piece, data, offsets in slices(batch, "_text"):
+            for piece, data, offsets in slices(batch, "_text", rows=darts.signed):
                 document, element = shingles(data, offsets, darts.shingle)
                 signed, filled = signatures(document, element, np.ones(len(element)),
                                             piece.num_rows, k)
@@ -309,54 +311,46 @@ def _roots(given: DataFrame, darts: Darts, once: bool = False) -> DataFrame:
     return components(edges)
 
 
+def _classes(docs: DataFrame, doc_id: str, text: str, darts: Darts) -> DataFrame:
+    """(_d, _i, _h, _least) of each document, an id and a text: the smallest pair of its class."""
+    given = docs.select(id_key(doc_id).alias("_i"), text_key(text).alias("_h"),
+                        whole(text).alias("_text")).select(
+        "_i", "_h", F.xxhash64("_i", "_text").alias("_d"), "_text")
+    roots = _roots(given.select("_d", "_text"), darts, once=True)
+    known = given.select("_d", "_i", "_h").distinct()
+    known = known.join(roots, F.col("_d") == F.col("_node"), "left").select(
+        "_d", "_i", "_h", F.coalesce("_root", "_d").alias("_class"))
+    least = known.groupBy("_class").agg(F.min(F.struct("_i", "_h")).alias("_least"))
+    return known.join(least, "_class").drop("_class")
+
+
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  darts: Darts = Darts()) -> DataFrame:
-    """(doc_id, class_id, kept) of every document; the smallest id names the class.
-
-    Documents are linked if their sets of five-word shingles have a Jaccard similarity of
-    0.8 or more, or their texts are equal. Null texts count as empty; texts without words are
-    linked with equal texts only. A null id is the smallest. Rows that repeat an id are
-    one document. ``kept`` is true for the document that names its class.
+    """(doc_id, class_id, kept) of every row; the smallest id names the class.
+
+    A document is an id and a text: rows without an id, or with the same id, are documents of their
+    own if their texts differ. Documents are linked if their sets of five-word shingles have a
+    Jaccard similarity of 0.8 or more, or their texts are equal. Null texts count as empty;
+    texts without words are linked with equal texts only. A null id is the smallest. ``kept``
+    is true for the document that stays of its class, the smallest id and of one id the smallest
+    text hash; repeated rows are all kept or not. Very long texts are signed whole; an empty
+    table gives no rows. A document is numbered by a 64-bit hash of both, so among n documents
+    two are taken for one with a probability of about n * n / 2^65.
     """
-    given = docs.select(F.col(doc_id).alias("_id"), id_key(doc_id).alias("_d"),
-                        whole(text).alias("_text"))
-    roots = _roots(given, darts)
-    ids = given.select(F.col("_id").alias("doc_id"), "_d")
-    class_id = F.coalesce("_root", "_d")
-    return (ids.join(roots, F.col("_d") == F.col("_node"), "left")
-            .select("doc_id", F.nullif(class_id, F.lit(-(1 << 63))).alias("class_id"),
-                    (class_id == F.col("_d")).alias("kept")))
-
-
-def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-               darts: Darts = Darts()) -> DataFrame:
-    """The documents that name their class, one row of each; as there, rows that share an id or
-    have none are one document."""
-    kept = (near_classes(docs, doc_id, text, darts).where("kept")
-            .select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_d")).distinct())
-    names = docs.columns
-    return (docs.select(*aside(docs, names), id_key(doc_id).alias("_d"))
-            .join(kept, "_d", "left_semi").dropDuplicates(["_d"]).select(*back(names)))
+    classes = _classes(docs, doc_id, text, darts).select(
+        "_d", F.col("_least._i").alias("_of"), (F.col("_least") == F.struct("_i", "_h")).alias("kept"))
+    ids = docs.select(F.col(doc_id).alias("doc_id"),
+                      F.xxhash64(id_key(doc_id), whole(text)).alias("_d"))
+    return ids.join(classes, "_d").select(
+        "doc_id", F.nullif("_of", F.lit(-(1 << 63))).alias("class_id"), "kept")
 
 
 def near_dedup_apart(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                      darts: Darts = Darts()) -> DataFrame:
-    """One row of each class, where a document is an id and a text.
-
-    Rows without an id, or with the same id, are documents of their own if their texts differ,
-    and are linked like any others. The smallest id of a class stays, a null id being the
-    smallest; of one id the smallest text hash. Null texts count as empty. A document is
-    numbered by a 64-bit hash of both, so among n documents two are taken for one with a
-    probability of about n * n / 2^65.
-    """
+    """One row of each class, as ``near_classes`` keeps it, with all columns."""
     names = docs.columns
     pair = (id_key(doc_id).alias("_i"), text_key(text).alias("_h"))
-    given = docs.select(*pair, whole(text).alias("_text")).select(
-        "_i", "_h", F.xxhash64("_i", "_text").alias("_d"), "_text")
-    roots = _roots(given.select("_d", "_text"), darts, once=True)
-    known = given.select("_d", "_i", "_h").distinct()
-    classes = known.join(roots, F.col("_d") == F.col("_node"), "left").groupBy(
-        F.coalesce("_root", "_d").alias("_class"))
-    kept = classes.agg(F.min(F.struct("_i", "_h")).alias("_least")).select("_least.*")
+    kept = _classes(docs, doc_id, text, darts).where(
+        F.col("_least") == F.struct("_i", "_h")).select("_i", "_h")
     return (docs.select(*aside(docs, names), *pair).join(kept, ["_i", "_h"], "left_semi")
             .dropDuplicates(["_i", "_h"]).select(*back(names)))

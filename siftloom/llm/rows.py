@@ -52,8 +52,8 @@ def aside_schema(docs: DataFrame, names: list[str]) -> str:
                      for i, c in enumerate(names))
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
-    """Pieces of a batch with at most ``limit`` bytes of text, or a single row.
+def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int = 1 << 30):
+    """Pieces of a batch with at most ``limit`` bytes of text and ``rows`` rows, or a single row.
 
     Yields (piece, bytes of its texts, offsets of the texts in them).
     """
@@ -71,7 +71,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     first = 0
     while first < len(texts):
         last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
-        last = min(max(last, first + 1), len(texts))
+        last = min(max(last, first + 1), first + rows, len(texts))
         yield (batch.slice(first, last - first), data[offsets[first]:offsets[last]],
                offsets[first:last + 1] - offsets[first])
         first = last

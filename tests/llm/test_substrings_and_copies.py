@@ -113,31 +113,71 @@ def test_automaton_knows_the_first_owner():
 
 
 def test_near_classes_match_brute_force(docs, rows):
-    words = {}
+    """A document is an id and a text."""
+    sets = {}
     for i, t in rows:
         w = (t or "").encode().split()
-        words.setdefault(key(i), []).append((t or "", frozenset(
-            tuple(w[j:j + 5]) for j in range(len(w) - 4)) or frozenset([tuple(w)] if w else [])))
-    parent = {i: i for i in words}
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-    for a in words:
-        for b in words:
-            if a < b and any(s == t or x and y and len(x & y) >= 0.8 * len(x | y)
-                             for s, x in words[a] for t, y in words[b]):
+        sets[key(i), t or ""] = frozenset(tuple(w[j:j + 5]) for j in range(len(w) - 4)) or (
+            frozenset([tuple(w)] if w else []))
+    parent = {d: d for d in sets}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+    for a, x in sets.items():
+        for b, y in sets.items():
+            if a < b and (a[1] == b[1] or x and y and len(x & y) >= 0.8 * len(x | y)):
                 low, high = sorted((root(a), root(b)))
                 parent[high] = low
+    least = {}
+    for d in sets:
+        least[root(d)] = min(least.get(root(d), d[0]), d[0])
     got = M.near_classes(docs).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        assert key(r.class_id) == root(key(r.doc_id))
-        assert r.kept == (root(key(r.doc_id)) == key(r.doc_id))
-    kept = M.near_dedup(docs)
-    assert kept.columns == docs.columns
-    assert sorted(key(r.doc_id) for r in kept.collect()) == sorted({root(i) for i in words})
+    assert sorted((key(r.doc_id), key(r.class_id)) for r in got) == sorted(
+        (key(i), least[root((key(i), t or ""))]) for i, t in rows)
+    # all that have the class's id stay unless several texts of the id are in the class
+    assert {key(r.doc_id) for r in got if r.kept} == set(least.values())
+    kept = M.near_dedup_apart(docs)
+    assert kept.columns == docs.columns and kept.count() == len(least)
+
+
+def test_documents_without_id_do_not_join_others(spark):
+    rnd = random.Random(11)
+    a, b = sentence(rnd, 40), sentence(rnd, 40)
+    docs = spark.createDataFrame([(None, a), (None, b), (5, b), (6, a)], "doc_id bigint, text string")
+    got = {(r.doc_id, r.class_id, r.kept) for r in M.near_classes(docs).collect()}
+    assert got == {(None, None, True), (5, None, False), (6, None, False)}
+    assert {r.text for r in M.near_dedup_apart(docs).collect()} == {a, b}
+
+
+def test_signatures_of_short_texts_stay_small():
+    """A slice of many short texts may not take more memory than one of few long ones."""
+    import tracemalloc
+
+    import pyarrow as pa
+    rnd = random.Random(2)
+    texts = [sentence(rnd, 12) for _ in range(5000)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(5000), pa.int64()), pa.array([str(i) for i in range(5000)]), pa.array(texts)],
+        names=["_d", "_copy", "_text"])
+    tracemalloc.start()
+    held = sum(out.num_rows for out in M._banded(M.Darts())(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held == 5000 and peak < 64 << 20
+
+
+def test_word_hashes_tell_long_words_apart():
+    """Two words that a sum of powers modulo 2^64 cannot tell apart."""
+    from siftloom.llm.rows import word_bounds, word_hashes
+    word, other = "a", "b"
+    for _ in range(10):
+        word, other = word + other, other + word
+    data = np.frombuffer(f"{word} {other}".encode(), dtype=np.uint8)
+    starts, ends, _ = word_bounds(data, np.array([0, len(data)]))
+    first, second = word_hashes(data, starts, ends)
+    assert len(word) == 1024 and first != second
 
 
 def test_darts_estimate_weighted_similarity():
@@ -166,4 +206,4 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert S.substring_dedup(none).count() == 0
     assert A.suffix_dedup(none).count() == 0
-    assert M.near_classes(none).count() == 0 and M.near_dedup(none).count() == 0
+    assert M.near_classes(none).count() == 0 and M.near_dedup_apart(none).count() == 0
