@@ -42,15 +42,22 @@ def _hashed(column) -> Column:
 
 
 def narrow_rows(docs: DataFrame, doc_id: str, text: str, lang: str, source: str) -> DataFrame:
-    """(doc_id, size, text_crc32, one value per dimension, tie) of each document."""
+    """(doc_id, size, text_crc32, one value per dimension, tie) of each row.
+
+    The tie is a hash of id and text; of rows that are equal in both, the later ones also hash
+    their number, so that a cut can go through them.
+    """
     size = F.octet_length(whole(text)).cast("bigint") + 8
-    return docs.select(
+    again = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    rows = docs.select(
         F.col(doc_id).alias("doc_id"), size.alias("size"),
         F.crc32(whole(text).cast("binary")).alias("text_crc32"),
         F.log2(size).alias("_v0"), _hashed(lang).alias("_v1"), _hashed(source).alias("_v2"),
         id_key(doc_id).cast("double").alias("_v3"),
-        (F.shiftrightunsigned(F.xxhash64(id_key(doc_id), text_key(text)), 11).cast("double")
-         * F.lit(2.0 ** -53)).alias("_tie"))
+        F.xxhash64(id_key(doc_id), text_key(text)).alias("_key")).withColumn("_again", again)
+    tie = F.when(F.col("_again") == 1, F.col("_key")).otherwise(F.xxhash64("_key", "_again"))
+    return rows.select(*[c for c in rows.columns if c not in ("_key", "_again")], (
+        F.shiftrightunsigned(tie, 11).cast("double") * F.lit(2.0 ** -53)).alias("_tie"))
 
 
 def placed_rows(rows: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftloom.llm.rows import aside, back, id_key, text_key, whole
+from siftloom.llm.rows import NO_ID, aside, back, id_key, text_key, whole
 from siftloom.session import materialize
 
 LEVELS = ("domain", "lang", "source")
@@ -24,7 +24,8 @@ LEVELS = ("domain", "lang", "source")
 
 @dataclass(frozen=True)
 class Mix:
-    """``share``: the budget as a part of all tokens. Weights not given are 1."""
+    """``share``: the budget as a part of all tokens. Weights not given are 1; what has a weight of 0
+    or less, or lies below such a node, gets nothing and gives its share to its siblings."""
 
     share: float = 0.6
     epochs: int = 2
@@ -69,7 +70,9 @@ def _divided(children: DataFrame, parents: DataFrame, keys: list[str], own: str,
     would get is not lower; all later ones get weight times that level.
     """
     w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    weighed = children.withColumn("_w", _weight(own, mix)).withColumn(
+    # without a weight above 0 there is no capacity either, so the weight does not matter then
+    weight = _weight(own, mix)
+    weighed = children.withColumn("_w", F.when(weight > 0, weight).otherwise(1.0)).withColumn(
         "_q", F.col("capacity") / F.col("_w"))
     order = w.orderBy("_q", own).rowsBetween(Window.unboundedPreceding, -1)
     joined = (weighed.join(parents, keys) if keys else weighed.crossJoin(parents))
@@ -88,7 +91,10 @@ def _divided(children: DataFrame, parents: DataFrame, keys: list[str], own: str,
 def leaf_budgets(rows: DataFrame, mix: Mix) -> DataFrame:
     """(domain, lang, source, tokens, budget): whole tokens, at most tokens x epochs."""
     leaves = materialize(rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")), "leaves")
-    sized = leaves.withColumn("capacity", F.col("tokens") * mix.epochs)
+    open_leaf = F.lit(True)
+    for level in LEVELS:
+        open_leaf = open_leaf & (_weight(level, mix) > 0)
+    sized = leaves.withColumn("capacity", F.when(open_leaf, F.col("tokens") * mix.epochs).otherwise(0))
     parents = sized.agg(F.coalesce(F.least(F.sum("tokens") * mix.share, F.sum("capacity")),
                                    F.lit(0.0)).alias("budget"))
     for depth, own in enumerate(LEVELS):
@@ -100,8 +106,10 @@ def leaf_budgets(rows: DataFrame, mix: Mix) -> DataFrame:
 
 
 def _order(mix: Mix, epoch) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(mix.seed)), epoch.cast("string"),
-                             F.col("_d").cast("string")))
+    """Place in an epoch's order; rows without id are placed by their texts."""
+    name = F.when(F.col("_d") == NO_ID, F.concat(F.lit("text "), F.col("_h").cast("string"))).otherwise(
+        F.col("_d").cast("string"))
+    return F.md5(F.concat_ws(":", F.lit(str(mix.seed)), epoch.cast("string"), name))
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix(), doc_id: str = "doc_id",

@@ -12,9 +12,10 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftloom.llm.rows import whole
+from siftloom.llm.rows import id_key, text_key, whole
 
-ENTRY = "doc_id bigint, source string, lang string, tokenizer string, docs bigint, tokens bigint"
+ENTRY = "doc_id bigint, part string, source string, lang string, tokenizer string, docs bigint, tokens bigint"
+DOCUMENT = ("doc_id", "part")
 KEYS = ("source", "lang", "tokenizer")
 COUNTERS = {"words-1": r"[^\x20\x09-\x0D]+",
             "lexical-1": r"[A-Za-z0-9_]+|[^A-Za-z0-9_\x20\x09-\x0D]"}
@@ -50,10 +51,12 @@ class TokenRollups:
 
     Changes have (doc_id, tokenizer, action, source, lang, tokens, seq): ``insert`` and ``revise`` put
     the row in the place of what the document had under that tokenizer, ``delete`` takes it out
-    whatever the other columns say. Of several changes of a document in a batch the last by
-    ``seq`` counts (ties: the largest row). A delete of an unknown document changes
-    nothing. Null labels are labels of their own, null tokens count 0, changes without id or
-    tokenizer are refused by ``apply``.
+    whatever the other columns say. An optional column ``part`` tells documents apart that share
+    an id or have none; it counts as '' where it is absent or null. Of several changes of a document
+    in a batch the last by ``seq`` counts (ties: the largest row). A delete of an unknown
+    document changes nothing. Null labels are labels of their own, null tokens count 0,
+    changes without tokenizer or known action are refused by ``apply``. An empty batch is
+    committed and changes nothing; totals of no batches are empty.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -82,8 +85,8 @@ class TokenRollups:
         return rows.join(done, "batch", "left_semi")
 
     def current(self) -> DataFrame:
-        """What each document adds now: (doc_id, labels, tokenizer, docs, tokens)."""
-        return (self._read("ledger", ENTRY).groupBy("doc_id", *KEYS)
+        """What each document adds now: (doc_id, part, labels, tokenizer, docs, tokens)."""
+        return (self._read("ledger", ENTRY).groupBy(*DOCUMENT, *KEYS)
                 .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
                 .where("docs <> 0 OR tokens <> 0"))
 
@@ -94,23 +97,25 @@ class TokenRollups:
         if self._exists(f"commits/batch={batch}/_SUCCESS"):
             return False
         columns = ("action", "source", "lang", "tokens")
-        last = Window.partitionBy("doc_id", "tokenizer").orderBy(
+        last = Window.partitionBy(*DOCUMENT, "tokenizer").orderBy(
             F.desc("seq"), *[F.desc(c) for c in columns])
-        checked = changes.select("doc_id", F.when(
-            F.col("doc_id").isNull() | F.col("tokenizer").isNull()
+        part = F.coalesce("part", F.lit("")) if "part" in changes.columns else F.lit("")
+        # the ledger has no null keys, so joins and groups agree
+        checked = changes.select(id_key("doc_id").alias("doc_id"), part.alias("part"), F.when(
+            F.col("tokenizer").isNull()
             | ~F.coalesce(F.col("action"), F.lit("")).isin("insert", "revise", "delete"),
-            F.raise_error(F.lit("a change needs an id, a tokenizer and a known action")))
+            F.raise_error(F.lit("a change needs a tokenizer and a known action")))
             .otherwise(F.col("tokenizer")).alias("tokenizer"), *columns, "seq")
         final = checked.withColumn("_n", F.row_number().over(last)).where("_n = 1")
-        out = self.current().join(final.select("doc_id", "tokenizer"), ["doc_id", "tokenizer"],
+        out = self.current().join(final.select(*DOCUMENT, "tokenizer"), [*DOCUMENT, "tokenizer"],
                                   "left_semi")
-        out = out.select("doc_id", *KEYS, (-F.col("docs")).alias("docs"),
+        out = out.select(*DOCUMENT, *KEYS, (-F.col("docs")).alias("docs"),
                          (-F.col("tokens")).alias("tokens"))
         put = final.where("action <> 'delete'").select(
-            "doc_id", *KEYS, F.lit(1).cast("bigint").alias("docs"),
+            *DOCUMENT, *KEYS, F.lit(1).cast("bigint").alias("docs"),
             F.coalesce(F.col("tokens").cast("bigint"), F.lit(0)).alias("tokens"))
         # a row that stays as it is cancels out and is not kept
-        entries = out.unionByName(put).groupBy("doc_id", *KEYS).agg(
+        entries = out.unionByName(put).groupBy(*DOCUMENT, *KEYS).agg(
             F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where(
                 "docs <> 0 OR tokens <> 0")
         self._write(entries, "ledger", batch)
@@ -130,6 +135,18 @@ class TokenRollups:
 
 def documents_as_changes(docs: DataFrame, tokenizer: str, action: str, seq: int,
                          text: str = "text") -> DataFrame:
-    return docs.select("doc_id", F.lit(tokenizer).alias("tokenizer"), F.lit(action).alias("action"),
-                       "source", "lang", counted(text, tokenizer).alias("tokens"),
+    """One change for every row, with its lexical count.
+
+    Rows that share an id are documents of their own, ``part`` 1, 2, ... in the order of a hash of
+    their texts (the first has ''); rows without id are told apart by that hash, and numbered if
+    the text repeats. So a table that is loaded again revises the same documents.
+    """
+    key = F.col("doc_id").isNull()
+    rows = docs.select("doc_id", text_key(text).alias("_h"), "source", "lang",
+                       counted(text, tokenizer).alias("tokens"))
+    same = Window.partitionBy("doc_id", F.when(key, F.col("_h"))).orderBy("_h", "source", "lang")
+    nth = F.nullif(F.row_number().over(same) - 1, F.lit(0)).cast("string")
+    part = F.concat_ws(" ", F.when(key, F.hex("_h")), nth)
+    return rows.select("doc_id", part.alias("part"), F.lit(tokenizer).alias("tokenizer"),
+                       F.lit(action).alias("action"), "source", "lang", "tokens",
                        F.lit(seq).alias("seq"))

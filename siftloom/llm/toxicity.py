@@ -122,7 +122,10 @@ def predict(texts: list, models: list) -> list:
 
 
 def sample(docs: DataFrame, labels: DataFrame, chain: Chain, doc_id: str, text: str) -> DataFrame:
-    """(_d, _text, target columns) of the bounded sample of labelled documents."""
+    """(_d, _text, target columns) of the bounded sample of labelled documents.
+
+    Of several texts of an id the one with the smallest hash is used.
+    """
     named = [c.lstrip("-") for c in chain.categories]
     hit = [(F.col(c.lstrip("-")) == (0 if c.startswith("-") else 1)).cast("double")
            .alias(f"_y{i}") for i, c in enumerate(chain.categories)]
@@ -134,7 +137,9 @@ def sample(docs: DataFrame, labels: DataFrame, chain: Chain, doc_id: str, text:
                .orderBy(F.xxhash64("_d"), "_d").limit(chain.sample_rows))
     texts = docs.select(id_key(doc_id).alias("_d"), whole(text).alias("_text"))
     # at most sample_rows short rows, so the broadcast has a fixed bound
-    return texts.join(F.broadcast(bounded), "_d")
+    named = [f"_y{i}" for i in range(len(chain.categories))]
+    return texts.join(F.broadcast(bounded), "_d").groupBy("_d").agg(
+        F.min_by("_text", F.xxhash64("_text")).alias("_text"), *[F.max(c).alias(c) for c in named])
 
 
 def chosen_words(bags: DataFrame, chain: Chain) -> DataFrame:
@@ -261,7 +266,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, chain: Chain = Chain(), doc_id:
     ``toxic`` compares the last category's probability with ``threshold``. A null text counts as
     empty and gets the probabilities of a text without known words. Without usable labels
     nothing is toxic. Repeated rows get equal probabilities; rows of labels with a null are not
-    used, of repeated label rows the larger value counts.
+    used, of repeated label rows the larger value counts, of several texts of a labelled id the one
+    with the smallest hash. Very long texts are read whole; an empty table gives no rows.
     """
     model = materialize(fit(docs, labels, chain, doc_id, text), "model")
     names = [c.lstrip("-") if not c.startswith("-") else f"low_{c[1:]}" for c in chain.categories]

@@ -68,6 +68,75 @@ def test_equal_rows_and_empty_tables_are_sharded(spark, docs):
     assert K.shard(same.limit(1)).count() == 1
 
 
+def test_a_cut_goes_through_equal_rows(spark):
+    same = spark.createDataFrame([(None, "same", "en", "s", "")] * 480, SCHEMA)
+    got = K.shard(same, 24).collect()
+    sizes = collections.Counter(r.shard for r in got)
+    assert len(sizes) == 24 and max(sizes.values()) <= 24
+    assert sorted((r.shard, r.slot) for r in got) == [
+        (s, i) for s in range(24) for i in range(sizes[s])]
+
+
+def test_shards_are_the_leaves_of_a_tree_built_in_memory(spark, docs):
+    """The same tree by sorting: widest dimension, weighted median, row by row."""
+    placed = K.placed_rows(K.narrow_rows(docs, "doc_id", "text", "lang", "source"))
+    points = [r.asDict() for r in placed.collect()]
+    shards = 6
+
+    def leaf(rows, first, count):
+        if count == 1 or not rows:
+            return {first: rows}
+        spread = [max(r[f"_p{i}"] for r in rows) - min(r[f"_p{i}"] for r in rows) for i in range(4)]
+        widest = max(range(4), key=lambda i: (spread[i], -i))
+        rows = sorted(rows, key=lambda r: r[f"_p{widest}"])
+        goal, done, at = sum(r["size"] for r in rows) * (count // 2) / count, 0, 0
+        while at < len(rows) and done + rows[at]["size"] <= goal:
+            done += rows[at]["size"]
+            at += 1
+        if at < len(rows) and goal - done > done + rows[at]["size"] - goal:
+            at += 1
+        return leaf(rows[:at], first, count // 2) | leaf(
+            rows[at:], first + count // 2, count - count // 2)
+    want = {(r["doc_id"], r["text_crc32"]): shard
+            for shard, rows in leaf(points, 0, shards).items() for r in rows}
+    got = K.shard(docs, shards).collect()
+    moved = sum(want[r.doc_id, r.text_crc32] != r.shard for r in got)
+    # a bin that is lighter than the tolerance is not divided further
+    assert moved <= 0.02 * len(got)
+
+
+def test_a_weight_of_zero_takes_nothing(docs):
+    mix = X.Mix(weights={"domain": {"web": 1.0, "books": 0.0}, "lang": {"de": -1.0}})
+    got = X.mixed(docs, mix).collect()
+    assert any(r.copies for r in got)
+    assert not any(r.copies for r in got if (r.domain == "books" or r.lang == "de") and r.n_tokens)
+
+
+def test_rows_without_id_are_ordered_by_their_texts(spark):
+    docs = spark.createDataFrame([(None, f"text {i}", "en", "src1", "") for i in range(200)], SCHEMA)
+    rows = X.token_rows(docs, X.Mix())
+    assert rows.select(X._order(X.Mix(), F.lit(0)).alias("k")).distinct().count() == 200
+
+
+def test_one_text_of_a_labelled_id_is_used(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "other")],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id bigint, quality int, toxic int")
+    picks = [sorted(map(tuple, T.sample(d, labels, T.Chain(), "doc_id", "text").collect()))
+             for d in (docs, docs.repartition(9))]
+    assert len(picks[0]) == 2 and picks[0] == picks[1]
+
+
+def test_long_words_do_not_repeat(spark):
+    word, other = "a", "b"
+    for _ in range(10):
+        word, other = word + other, other + word
+    docs = spark.createDataFrame([(1, f"{word} x y z w {other} x y z w", "en", "s")],
+                                 "doc_id bigint, text string, lang string, source string")
+    row = Q.quality(docs).first()
+    assert row.n_repeat_words == 0 and not row.base_failed
+
+
 def filled(capacity, weight, budget):
     """Equal level per weight by bisection."""
     low, high = 0.0, max([c / w for c, w in zip(capacity, weight)], default=0.0)
@@ -184,9 +253,31 @@ def test_rollups_follow_changes_once(spark):
     assert ("z", "en", "v1") not in totals()
     assert rollups.apply("three", batch((5, "v1", "insert", "z", "en", 6, 1)))
     assert totals()[("z", "en", "v1")] == (1, 6)
-    with pytest.raises(Exception, match="needs an id"):
-        rollups.apply("four", batch((None, "v1", "insert", "z", "en", 6, 1)))
+    with pytest.raises(Exception, match="needs a tokenizer"):
+        rollups.apply("four", batch((6, None, "insert", "z", "en", 6, 1)))
     assert rollups.apply("five", batch())
+    assert rollups.apply("six", batch((None, "v1", "insert", "y", "en", 6, 1)))
+    assert rollups.apply("seven", batch((None, "v1", "revise", "y", "en", 4, 1)))
+    assert totals()[("y", "en", "v1")] == (1, 4)
+
+
+def test_rollups_count_every_row_of_a_table(spark):
+    rows = [(1, "a b", "s", "en"), (1, "a b c", "s", "en"), (1, "a b", "s", "en"), (None, "x", "s", "en"),
+            (None, "x", "s", "en"), (None, "y z", "s", None), (2, None, "s", "en"), (3, "", "s", "en"),
+            (4, "w " * 100_000, "s", "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    rollups = R.TokenRollups(spark, scratch_path(spark, "rollups"))
+
+    def totals():
+        return {(r.source, r.lang): (r.docs, r.tokens) for r in rollups.totals().collect()}
+    want = {("s", "en"): (8, 100_009), ("s", None): (1, 2)}
+    assert rollups.apply("load", R.documents_as_changes(docs, "words-1", "insert", 1))
+    assert totals() == want
+    # the same table in another order is the same documents
+    assert rollups.apply("again", R.documents_as_changes(docs.repartition(3), "words-1", "revise", 1))
+    assert totals() == want
+    assert rollups.apply("gone", R.documents_as_changes(docs.where("doc_id = 1"), "words-1", "delete", 1))
+    assert totals() == {("s", "en"): (5, 100_002), ("s", None): (1, 2)}
 
 
 def test_model_counts(spark):
