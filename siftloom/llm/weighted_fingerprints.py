@@ -46,21 +46,25 @@ def drawn(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFram
         *[F.min(_sample(term, log_weight, k)).alias(f"_s{k}") for k in range(samples)])
 
 
-def signatures(counts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """(keys, _own, _other): arrays of ``samples`` 32-bit identities, null without terms.
+def signatures(counts: DataFrame, keys: list[str], carried: list[str],
+               samples: int = SAMPLES) -> DataFrame:
+    """(keys, carried, _own, _other): arrays of ``samples`` 32-bit identities, null without terms.
 
-    ``counts`` has (keys, _term, _n0, _n1), a term's weight in either text. A term that weighs the
-    same in both offers the same to both and is drawn once.
+    ``counts`` has (keys, _term, _n0, _n1), a term's weight in either text, and a row without
+    term with the columns that are carried along. A term that weighs the same in both
+    offers the same to both and is drawn once.
     """
     def offer(weight, texts):
-        return F.struct(F.col(weight).alias("_n"), F.lit(texts).alias("_in"))
-    offers = F.when(F.col("_n0") == F.col("_n1"), F.array(offer("_n0", 3))).otherwise(
-        F.array(offer("_n0", 1), offer("_n1", 2)))
-    terms = counts.select(*keys, "_term", F.inline(offers)).where("_n > 0")
-    best = drawn(terms, [*keys, "_in"], samples).groupBy(*keys).agg(*[
-        F.min(F.when(F.col("_in").bitwiseAND(F.lit(text)) > 0, F.col(f"_s{k}"))).alias(f"{n}{k}")
-        for text, n in ((1, "_own"), (2, "_other")) for k in range(samples)])
-    return best.select(*keys, *[F.when(F.col(f"{n}0").isNotNull(), F.array(*[
+        return F.struct(weight.alias("_n"), F.lit(texts).alias("_in"))
+    n0, n1 = F.col("_n0"), F.col("_n1")
+    offers = F.when(F.col("_term").isNull(), F.array(offer(F.lit(1).cast("bigint"), 0))).when(
+        n0 == n1, F.array(offer(n0, 3))).otherwise(F.array(offer(n0, 1), offer(n1, 2)))
+    terms = counts.select(*keys, *carried, "_term", F.inline(offers)).where("_n > 0")
+    best = drawn(terms, [*keys, "_in", *carried], samples).groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in carried], *[
+            F.min(F.when(F.col("_in").bitwiseAND(F.lit(text)) > 0, F.col(f"_s{k}"))).alias(f"{n}{k}")
+            for text, n in ((1, "_own"), (2, "_other")) for k in range(samples)])
+    return best.select(*keys, *carried, *[F.when(F.col(f"{n}0").isNotNull(), F.array(*[
         F.col(f"{n}{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(samples)])).alias(n)
         for n in ("_own", "_other")])
 
@@ -140,21 +144,26 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       F.substring("_next", F.lit(1), third))
     placed = placed.withColumn("_edited", F.when(~F.col("_behind"), edited)).drop("_next")
 
-    keys = ["_range", "_row"]
-    sides = F.when(F.col("_behind"), F.array("_text")).otherwise(F.array("_text", "_edited"))
-    words = placed.select(*keys, F.posexplode(sides).alias("_side", "_of")).select(
-        *keys, "_side", F.explode(F.split("_of", SPLIT)).alias("_word")).where("_word <> ''")
-    counts = words.select(*keys, "_side", F.xxhash64("_word").alias("_term")).groupBy(
-        *keys, "_term").agg(*[F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in (0, 1)])
-    signed = signatures(counts, keys, samples)
-
-    # both uses of ``placed`` need the same columns, so the texts are dealt out once
-    kept = placed.select("_range", "_row", "_behind",
-                         F.nullif("_d", F.lit(NO_ID)).alias("doc_id"), F.length("_text").cast("bigint").alias("n_chars"),
-                         hex_sha256(F.col("_edited")).alias("edited_sha256"))
-    joined = kept.join(signed, ["_range", "_row"], "left")
+    # what is said of a document travels with one row without word, so that the texts are dealt
+    # out once and nothing is joined
+    keys, carried = ["_range", "_row"], ["_behind", "_id", "_n_chars", "_sha"]
+    told = placed.select(*keys, F.when(F.col("_behind"), F.array("_text")).otherwise(
+        F.array("_text", "_edited")).alias("_sides"), F.col("_behind"), F.col("_d").alias("_id"),
+        F.length("_text").cast("bigint").alias("_n_chars"), hex_sha256(F.col("_edited")).alias("_sha"))
+    words = told.select(*keys, *carried, F.posexplode("_sides").alias("_side", "_of")).select(
+        *keys, *carried, "_side", F.explode(F.array_append(
+            F.split("_of", SPLIT), F.lit(None).cast("string"))).alias("_word")).where(
+        "_word <> '' OR _word IS NULL AND _side = 0")
+    first = F.col("_word").isNull()
+    counts = words.select(
+        *keys, "_side", F.when(~first, F.xxhash64("_word")).alias("_term"),
+        *[F.when(first, F.col(c)).alias(c) for c in carried]).groupBy(
+        *keys, "_term", *carried).agg(*[F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in (0, 1)])
+    signed = signatures(counts, keys, carried, samples)
     after = Window.partitionBy("_range").orderBy("_row")
-    joined = joined.withColumn("_following", F.lead("_own").over(after)).where("NOT _behind")
+    joined = signed.withColumn("_following", F.lead("_own").over(after)).where("NOT _behind").select(
+        F.nullif("_id", F.lit(NO_ID)).alias("doc_id"), F.col("_n_chars").alias("n_chars"),
+        F.col("_sha").alias("edited_sha256"), "_own", "_other", "_following")
     return joined.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("_own")).alias("fingerprint"),
         as_text(F.col("_other")).alias("edited_fingerprint"),
