@@ -6,13 +6,16 @@ that follow each other and share an anchor form a segment. Only anchors that occ
 can belong to repeated windows; their segments go to the shard of the anchor, and equal windows
 meet there. A shard is searched with the operator's own index.
 
+Equal texts are searched once, by the smallest id: what their copies lose follows from that alone.
+
 An anchor with very many occurrences is spread over several shards. These report every distinct
-window once, by its hash, and a last grouping joins what the shards could not see.
+window once, by a digest of 128 bits, and a last grouping joins what the shards could not see.
 
 Nothing here grows with a group: a slice of documents sends an anchor once, a shard gets
 equal segments of a slice once, and both are bounded by the number of shards and salts.
 """
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -25,6 +28,8 @@ from siftloom.llm.rows import (aside, aside_schema, back, gram_hashes, id_key, m
                                slid_minima, text_key, whole, within, word_bounds, word_hashes)
 
 PLACE = np.uint64((1 << 28) - 1)
+#: end of a span that covers a whole text
+WHOLE = (1 << 31) - 1
 
 
 @dataclass(frozen=True)
@@ -88,26 +93,33 @@ def _lists(order_keys: np.ndarray):
 
 
 def _anchors(search: Search):
-    """(anchor, row that has it, further rows of the slice or null) once for every slice."""
+    """(anchor, text that has it, further texts of the slice or null, whether one of them has it
+    twice), once for every slice. Texts are known by their hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, data, offsets in slices(batch, "_text"):
                 values, _, _, first = units(data, offsets, search.by_words)
                 of, keys, _, _, several = segments(values, first, search.window, search.anchor)
-                rows, keys = piece.column("_row").to_numpy()[of].repeat(several), \
-                    keys.repeat(several)
+                of, keys = of.repeat(several), keys.repeat(several)
                 order, begins = _lists(keys)
-                keys, rows = keys[order][begins].view(np.int64), rows[order]
-                sizes = np.diff(np.append(begins, len(order)))
-                further = np.ones(len(order), dtype=bool)
+                keys, of = keys[order][begins].view(np.int64), of[order]
+                # the order is stable, so a document's occurrences follow each other
+                again = np.zeros(len(of), dtype=bool)
+                again[1:] = of[1:] == of[:-1]
+                again[begins] = False
+                twice = np.logical_or.reduceat(again, begins) if len(begins) else again
+                texts = piece.column("_t").to_numpy()[of]
+                further = ~again
                 further[begins] = False
-                edges = np.concatenate([[0], np.cumsum(sizes - 1)]).astype(np.int32)
+                sizes = np.add.reduceat(further.astype(np.int64), begins) if len(begins) else \
+                    np.zeros(0, dtype=np.int64)
+                edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 # most anchors occur once in a slice; these have no list
-                more = pa.ListArray.from_arrays(pa.array(edges), pa.array(rows[further]),
-                                                mask=pa.array(sizes == 1))
+                more = pa.ListArray.from_arrays(pa.array(edges), pa.array(texts[further]),
+                                                mask=pa.array(sizes == 0))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(rows[begins]), more],
-                    names=["_key", "_row", "_more"])
+                    [pa.array(keys), pa.array(texts[begins]), more, pa.array(twice)],
+                    names=["_key", "_t", "_more", "_twice"])
     return run
 
 
@@ -159,14 +171,19 @@ def _runs(flags: np.ndarray):
     return edges[::2], edges[1::2]
 
 
-def window_hashes(content: bytes, search: Search) -> np.ndarray:
-    data = np.frombuffer(content, dtype=np.uint8)
-    values, _, _, first = units(data, np.array([0, len(data)]), search.by_words)
-    return gram_hashes(values, search.window)
+def window_digests(content: bytes, search: Search) -> np.ndarray:
+    """(windows, 2) longs: the 128-bit digest of every window of a segment."""
+    if search.by_words:
+        words = content.split()
+        parts = (b" ".join(words[i:i + search.window]) for i in range(len(words) - search.window + 1))
+    else:
+        parts = (content[i:i + search.window] for i in range(len(content) - search.window + 1))
+    digests = b"".join(hashlib.blake2b(p, digest_size=16).digest() for p in parts)
+    return np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)
 
 
 def _windows(opened: list, search: Search) -> list[np.ndarray]:
-    """The distinct windows of a shard's spread anchors, from (hashes, flags, id, row, start).
+    """The distinct windows of a shard's spread anchors, from (digests, flags, id, row, start).
 
     Of equal windows the first is reported, and with it those that have the same id.
     """
@@ -175,13 +192,17 @@ def _windows(opened: list, search: Search) -> list[np.ndarray]:
     number, row, start = (np.repeat(np.array([o[i] for o in opened], dtype=np.int64), sizes)
                           for i in (2, 3, 4))
     low = start + np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    _, first, group = np.unique(values, return_index=True, return_inverse=True)
+    order = np.lexsort((np.arange(len(values)), values[:, 1], values[:, 0]))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (values[order][1:] != values[order][:-1]).any(axis=1)
+    first = np.empty(len(order), dtype=np.int64)
+    first[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
     if search.first_stays:
-        shown = np.flatnonzero(number == number[first[group]])
+        shown = np.flatnonzero(number == number[first])
     else:
-        shown = first
-    return [values[shown], np.ones(len(shown), dtype=bool), number[shown], row[shown],
-            low[shown], low[shown] + search.window, flags[shown]]
+        shown = np.flatnonzero(first == np.arange(len(first)))
+    return [values[shown, 0], values[shown, 1], np.ones(len(shown), dtype=bool), number[shown],
+            row[shown], low[shown], low[shown] + search.window, flags[shown]]
 
 
 def _searched(search: Search):
@@ -212,15 +233,15 @@ def _searched(search: Search):
             if salted:
                 # of equal segments, those of the smallest id stand for the others
                 own = [p for p in places if p[0] == least] if search.first_stays else places[:1]
-                hashes = window_hashes(content, search).view(np.int64)
-                opened += [(hashes, flag, *p) for p in own]
+                digests = window_digests(content, search)
+                opened += [(digests, flag, *p) for p in own]
         rows, lows, highs = (np.array([x[i] for x in spans], dtype=np.int64) for i in range(3))
         none = np.zeros(len(rows), dtype=np.int64)
-        out = [rows, none.astype(bool), none, rows, lows, highs, none.astype(bool)]
+        out = [rows, none, none.astype(bool), none, rows, lows, highs, none.astype(bool)]
         if opened:
             out = [np.concatenate(pair) for pair in zip(out, _windows(opened, search))]
         return pa.table([pa.array(column) for column in out],
-                        names=["_part", "_open", "_d", "_row", "_low", "_high", "_done"])
+                        names=["_part", "_rest", "_open", "_d", "_row", "_low", "_high", "_done"])
     return run
 
 
@@ -236,8 +257,12 @@ def _cut(search: Search, names: list[str], kept: str, counts: tuple[str, str, st
                     n = int(first[i + 1] - first[i])
                     gone = np.zeros(n + 1, dtype=np.int32)
                     for span in own or ():
-                        gone[span["_low"]] += 1
-                        gone[span["_high"]] -= 1
+                        if span["_high"] == WHOLE:
+                            # equal to another text in all its windows, if it has any
+                            gone[0] += n >= search.window
+                        else:
+                            gone[span["_low"]] += 1
+                            gone[span["_high"]] -= 1
                     stays = np.cumsum(gone)[:n] == 0
                     removed.append(n - int(stays.sum()))
                     pieces.append(len(_runs(~stays)[0]))
@@ -262,39 +287,45 @@ def without_repeats(docs: DataFrame, search: Search, kept: str, counts: tuple[st
     """
     names = [c for c in docs.columns if c not in (kept, *counts)]
     safe = [f"__{i}" for i in range(len(names))]
-    keyed = docs.select(*aside(docs, names), id_key(doc_id).alias("_d"),
-                        F.xxhash64(id_key(doc_id), text_key(text)).alias("_row"),
+    row = F.xxhash64(id_key(doc_id), text_key(text)).alias("_row")
+    keyed = docs.select(*aside(docs, names), id_key(doc_id).alias("_d"), row,
                         whole(text).alias("_text"))
     size = docs.agg(F.sum(F.octet_length(whole(text)))).first()[0] or 0
     shards = int(size // search.shard_bytes) + 1
 
-    anchors = keyed.select("_row", "_text").mapInArrow(
-        _anchors(search), "_key bigint, _row bigint, _more array<bigint>")
+    # of equal texts the one with the smallest id is searched
+    narrow = docs.select(text_key(text).alias("_t"), id_key(doc_id).alias("_d"), row)
+    firsts = narrow.groupBy("_t").agg(F.min(F.struct("_d", "_row")).alias("_first"),
+                                      F.count("*").alias("_n"))
+    anchors = docs.select(text_key(text).alias("_t"), whole(text).alias("_text")).mapInArrow(
+        _anchors(search), "_key bigint, _t bigint, _more array<bigint>, _twice boolean")
     all_of = Window.partitionBy("_key")
     more = F.coalesce("_more", F.array().cast("array<bigint>"))
-    total = F.sum(F.size(more) + 1).over(all_of)
-    counted = anchors.withColumn("_total", total)
-    if search.first_stays:
-        counted = counted.withColumn(
-            "_several", F.min(F.least("_row", F.array_min(more))).over(all_of)
-            < F.max(F.greatest("_row", F.array_max(more))).over(all_of))
-    else:
-        counted = counted.withColumn("_several", F.col("_total") > 1)
+    several = (F.min(F.least("_t", F.array_min(more))).over(all_of)
+               < F.max(F.greatest("_t", F.array_max(more))).over(all_of))
+    if not search.first_stays:
+        several = several | F.bool_or("_twice").over(all_of)
+    counted = anchors.withColumns({"_total": F.sum(F.size(more) + 1).over(all_of), "_several": several})
     wanted = (counted.where("_several")
-              .select(F.explode(F.array_distinct(F.array_append(more, F.col("_row")))).alias("_row"),
+              .select(F.explode(F.array_distinct(F.array_append(more, F.col("_t")))).alias("_t"),
                       "_key", "_total")
-              .groupBy("_row").agg(F.collect_list(F.struct("_key", "_total")).alias("_keys")))
+              .groupBy("_t").agg(F.collect_set(F.struct("_key", "_total")).alias("_keys"))
+              .join(firsts, "_t").select(F.col("_first._row").alias("_row"), "_keys"))
     rows = keyed.join(wanted, "_row")
     found = rows.mapInArrow(_segment_rows(search, shards), (
         "_shard int, _salted boolean, _content binary, _places binary"))
     spans = found.groupBy("_shard").applyInArrow(_searched(search), (
-        "_part bigint, _open boolean, _d bigint, _row bigint, _low bigint, _high bigint, "
-        "_done boolean"))
-    same = Window.partitionBy("_part", "_open")
+        "_part bigint, _rest bigint, _open boolean, _d bigint, _row bigint, _low bigint, "
+        "_high bigint, _done boolean"))
+    same = Window.partitionBy("_part", "_rest", "_open")
     elsewhere = (F.min("_d").over(same) < F.col("_d")) if search.first_stays else \
         (F.count("*").over(same) > 1) & ~F.col("_done")
     spans = spans.withColumn("_remove", ~F.col("_open") | elsewhere).where("_remove")
-    spans = spans.groupBy("_row").agg(F.collect_list(F.struct("_low", "_high")).alias("_spans"))
+    lost = F.col("_d") > F.col("_first._d") if search.first_stays else F.col("_n") > 1
+    copies = narrow.join(firsts, "_t").where(lost).select(
+        "_row", F.lit(0).cast("bigint").alias("_low"), F.lit(WHOLE).cast("bigint").alias("_high")).distinct()
+    spans = spans.select("_row", "_low", "_high").unionByName(copies).groupBy("_row").agg(
+        F.collect_list(F.struct("_low", "_high")).alias("_spans"))
     cut = keyed.join(spans, "_row", "left").mapInArrow(
         _cut(search, safe, "_kept", ("_n", "_removed", "_runs")),
         ", ".join([*filter(None, [aside_schema(docs, names)]), "_kept binary, _n bigint, "
