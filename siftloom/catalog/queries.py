@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,6 +139,15 @@ def token_counts(spark, sf_dir):
                      K.within_limit(500).alias("within_500"))
 
 
+@query
+def token_counts_own(spark, sf_dir):
+    """Token counts and limits by a counter of the caller's own."""
+    def by_blanks(text):
+        return F.regexp_count(text, F.lit(r"[^ \t\n\r]+")).cast("bigint")
+    frame = jobs.decided(inputs.samples(spark, sf_dir), counter=by_blanks)
+    return frame.select("pos", *_big("token_count"), K.within_limit(100, by_blanks).alias("within_100"))
+
+
 @query
 def token_truncate(spark, sf_dir):
     df = inputs.raw_documents(spark, sf_dir)
@@ -496,6 +506,23 @@ def dedup_counts(spark, sf_dir):
     return dedup.near_dedup_counts(table(spark, sf_dir, "documents"), "text", "doc_id")
 
 
+@query
+def dedup_chain(spark, sf_dir):
+    """Chains of hundreds of documents, where each shares a bucket with the next.
+
+    A chain ends where the length of a text leaves 7 divided by 300.
+    """
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), "n_chars")
+    bucket = F.unhex(F.md5(F.concat(F.lit("link "), F.col("pos").cast("string"))))
+    linked = docs.where("n_chars % 300 <> 7").select(
+        F.explode(F.array("pos", F.col("pos") + 1)).alias("pos"), bucket.alias("bucket"))
+    rows = (docs.join(linked, "pos", "left").groupBy("pos")
+            .agg(F.collect_list("bucket").alias("buckets"))
+            .withColumn("buckets", F.when(F.size("buckets") > 0, F.col("buckets"))
+                        .otherwise(F.array(F.unhex(F.md5(F.col("pos").cast("string")))))))
+    return dedup.keep_first(rows).select(F.col("pos").alias("doc_id"), *_big("copies"))
+
+
 # --- statistics -------------------------------------------------------------
 
 def _corpus(spark, sf_dir):
@@ -537,7 +564,8 @@ def top_languages(spark, sf_dir):
 
 @query
 def summary_record(spark, sf_dir):
-    record = statistics.summary_record(_corpus(spark, sf_dir))
+    corpus = materialize(_corpus(spark, sf_dir), "corpus")
+    record = statistics.summary_record(corpus, dedup.near_dedup_counts(corpus))
 
     def spelled(name):
         entries = F.transform(F.array_sort(F.map_entries(name)),
@@ -624,6 +652,20 @@ def roundtrip_parquet(spark, sf_dir):
     return _read(spark, "parquet", _written(spark, sf_dir, "parquet", "zstd"))
 
 
+@query
+def own_exporter(spark, sf_dir):
+    """A format of the caller's own: one line of text per sample."""
+    @writers.register_writer("lines")
+    def write_lines(df, path, mode, compression):
+        df.select(F.concat_ws("\t", "id", F.md5("output")).alias("value")).write.mode(mode).option(
+            "compression", compression or "none").text(path)
+    path = scratch_path(spark, "lines")
+    df = inputs.samples(spark, sf_dir).select("id", "output")
+    writers.write_corpus(df, "Lines", path, compression="gzip")
+    fields = F.split("value", "\t")
+    return spark.read.text(path).select(fields[0].alias("id"), fields[1].alias("output_md5"))
+
+
 @query
 def split_output(spark, sf_dir):
     """Chat lines of the train and validation folders, read back."""
@@ -638,10 +680,11 @@ def split_output(spark, sf_dir):
 
 @query
 def export_info(spark, sf_dir):
-    path, schema = _written(spark, sf_dir, "parquet")
-    info = writers.export_info(spark, "parquet", path, schema)
-    return info.select("format", "samples", "compression", (F.col("file_size") > 0)
-                       .alias("has_files"))
+    """What lies in the folders of three exports, found from their files."""
+    found = [writers.export_info(spark, fmt, *_written(spark, sf_dir, fmt, codec))
+             for fmt, codec in (("parquet", None), ("parquet", "zstd"), ("jsonl", "gzip"))]
+    return reduce(DataFrame.unionByName, found).select(
+        "format", "samples", "compression", (F.col("file_size") > 0).alias("has_files"))
 
 
 # --- streaming --------------------------------------------------------------
@@ -664,10 +707,20 @@ def stream_clean(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    run_dir = scratch_path(spark, "dedup")
-    stream = _document_stream(spark, sf_dir)
-    incremental.dedup_stream(stream, run_dir, "text", "doc_id").awaitTermination()
-    kept = incremental.deduplicated(spark, run_dir, stream.schema)
+    """Five micro-batches in the order of the ids against a growing index, which is compacted on the
+    way; the last batch is then run again, as after a failure."""
+    docs, staged = table(spark, sf_dir, "documents"), scratch_path(spark, "arrivals")
+    borders = docs.stat.approxQuantile("doc_id", [0.2, 0.4, 0.6, 0.8], 0.01)
+    part = sum((F.col("doc_id") > b).cast("int") for b in borders)
+    for i in range(5):
+        docs.where(part == i).coalesce(1).write.parquet(f"{staged}/part={i}")
+    run_dir, schema = scratch_path(spark, "dedup"), docs.schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(staged))
+    incremental.dedup_stream(stream, run_dir, "text", "doc_id", live=3).awaitTermination()
+    incremental.dedup_batch(spark.read.schema(schema).parquet(f"{staged}/part=4"), 4, run_dir,
+                            "text", "doc_id", live=3)
+    kept = incremental.deduplicated(spark, run_dir, schema)
     return kept.select("doc_id", "source", F.md5("text").alias("text_md5"))
 
 
@@ -682,12 +735,38 @@ def deduplicated_corpus(spark, sf_dir):
                        F.md5("output").alias("output_md5"), *_big("token_count"))
 
 
+def _ordered_sources(spark, sf_dir):
+    order = {"mbpp": "task_id", "codealpaca": "id", "evolcode": "id"}
+    return [replace(s, order_by=order[s.id]) for s in _stage_sources(spark, sf_dir)]
+
+
+def _corpus_written(spark, out):
+    written = jobs.committed(spark, out, "instruction string, input string, output string, split string")
+    return written.select("split", F.md5("instruction").alias("instruction_md5"),
+                          F.md5("output").alias("output_md5"))
+
+
 @query
 def full_run(spark, sf_dir):
     """Read three sources, filter, deduplicate, split and write; then read what was written."""
     out = scratch_path(spark, "corpus")
-    order = {"mbpp": "task_id", "codealpaca": "id", "evolcode": "id"}
-    jobs.run(spark, [replace(s, order_by=order[s.id]) for s in _stage_sources(spark, sf_dir)], out)
-    written = spark.read.schema("instruction string, input string, output string, split string")
-    return written.json(out).select("split", F.md5("instruction").alias("instruction_md5"),
-                                    F.md5("output").alias("output_md5"))
+    jobs.run(spark, _ordered_sources(spark, sf_dir), out)
+    return _corpus_written(spark, out)
+
+
+@query
+def full_run_resumed(spark, sf_dir):
+    """The same in two runs: the first sees two of the sources, the second all of them."""
+    sources, out = _ordered_sources(spark, sf_dir), scratch_path(spark, "corpus")
+    jobs.run(spark, sources[:2], out)
+    jobs.run(spark, sources, out, resume=True)
+    return _corpus_written(spark, out)
+
+
+@query
+def run_report(spark, sf_dir):
+    """The figures in the Markdown report that a run leaves behind."""
+    out = scratch_path(spark, "corpus")
+    jobs.run(spark, _ordered_sources(spark, sf_dir), out)
+    lines = spark.read.text(f"{out}/_reports/run=0/report")
+    return lines.where(F.startswith("value", F.lit("- "))).select(F.col("value").alias("line"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from siftloom.functions.text import is_blank
 from siftloom.operators.validation import error_code
+from siftloom.session import materialize
 
 DIMENSIONS = ("dataset", "language", "license", "difficulty")
 
@@ -25,73 +26,98 @@ def run_statistics(df: DataFrame, tokens: str = "token_count") -> DataFrame:
                   filled(F.min(t)).alias("shortest"))
 
 
+def cells(df: DataFrame, *dimensions: str, metrics: list[Column] = ()) -> DataFrame:
+    """One pass: the dimensions (null is 'unknown'), ``n`` and additive metrics of each combination.
+
+    Reports are rolled up from these few rows, so the samples are read and aggregated once.
+    """
+    return (df.withColumns({f"_d{i}": F.coalesce(d, F.lit("unknown")) for i, d in enumerate(dimensions)})
+            .groupBy(*[F.col(f"_d{i}").alias(d) for i, d in enumerate(dimensions)])
+            .agg(F.count("*").alias("n"), *metrics))
+
+
+def by_dimension(cube: DataFrame, *dimensions: str) -> DataFrame:
+    """(dimension, value, n) for each of the given columns of ``cells``."""
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dimensions])
+    return (cube.select("n", F.inline(pairs)).groupBy("dimension", "value")
+            .agg(F.sum("n").alias("n")))
+
+
 def count_by(df: DataFrame, *dimensions: str) -> DataFrame:
     """One pass: (dimension, value, n) for each of the given columns; null is 'unknown'."""
-    filled = df.select(*[F.coalesce(d, F.lit("unknown")).alias(d) for d in dimensions])
-    grouped = filled.groupingSets([[F.col(d)] for d in dimensions],
-                                  *[F.col(d) for d in dimensions])
-    counts = grouped.agg(F.count("*").alias("n"))
-    return counts.select(
-        F.coalesce(*[F.when(F.col(d).isNotNull(), F.lit(d)) for d in dimensions])
-        .alias("dimension"),
-        F.coalesce(*dimensions).alias("value"), "n")
+    return by_dimension(cells(df, *dimensions), *dimensions)
 
 
 def per_dataset(df: DataFrame) -> DataFrame:
     """(dataset, dimension, value, n) for languages and licenses within each dataset."""
-    named = df.select(*[F.coalesce(d, F.lit("unknown")).alias(d)
-                        for d in ("dataset", "language", "license")])
-    dataset, language, license_name = (F.col(d) for d in named.columns)
-    counts = named.groupingSets([[dataset, language], [dataset, license_name]],
-                                dataset, language, license_name).agg(F.count("*").alias("n"))
-    return counts.select(
-        "dataset",
-        F.when(language.isNotNull(), F.lit("language")).otherwise(F.lit("license"))
-        .alias("dimension"),
-        F.coalesce("language", "license").alias("value"), "n")
-
-
-def _summary_columns(tokens: str) -> list:
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value"))
+                      for d in ("language", "license")])
+    cube = cells(df, "dataset", "language", "license")
+    return (cube.select("dataset", "n", F.inline(pairs)).groupBy("dataset", "dimension", "value")
+            .agg(F.sum("n").alias("n")))
+
+
+LENGTHS = ("instruction", "output", "input")
+EMPTY = ("instruction", "output")
+
+
+def _additive(tokens: str) -> list[Column]:
+    """What ``cells`` needs for all metrics of a summary."""
     t = F.col(tokens)
+    return [F.sum(t).alias("tokens"), F.count(t).alias("counted"), F.min(t).alias("least"),
+            F.max(t).alias("most"), F.count_if(F.size("tests") > 0).alias("tested"),
+            *[f(F.length(name)).alias(f"{kind}_{name}") for name in LENGTHS
+              for kind, f in (("sum", F.sum), ("count", F.count))],
+            *[F.count_if(is_blank(F.col(name))).alias(f"empty_{name}") for name in EMPTY]]
+
+
+def _ratio(total: Column, count: Column) -> Column:
+    return F.round(F.coalesce(F.try_divide(total.cast("double"), count), F.lit(0.0)), 6)
+
+
+def _totals() -> list[Column]:
+    """The metrics over all cells."""
+    def whole(c):
+        return F.coalesce(c, F.lit(0)).cast("bigint")
     return [
-        F.count("*").alias("total_samples"),
-        _mean(t).alias("average_tokens"),
-        F.coalesce(F.min(t), F.lit(0)).cast("bigint").alias("min_tokens"),
-        F.coalesce(F.max(t), F.lit(0)).cast("bigint").alias("max_tokens"),
-        *[_mean(F.length(name)).alias(f"average_{name}_length")
-          for name in ("instruction", "output", "input")],
-        F.count_if(F.size("tests") > 0).alias("samples_with_tests"),
-        *[F.count_if(is_blank(F.col(name))).alias(f"empty_{name}")
-          for name in ("instruction", "output")],
-    ]
+        whole(F.sum("n")).alias("total_samples"),
+        _ratio(F.sum("tokens"), F.sum("counted")).alias("average_tokens"),
+        whole(F.min("least")).alias("min_tokens"), whole(F.max("most")).alias("max_tokens"),
+        *[_ratio(F.sum(f"sum_{n}"), F.sum(f"count_{n}")).alias(f"average_{n}_length") for n in LENGTHS],
+        whole(F.sum("tested")).alias("samples_with_tests"),
+        *[whole(F.sum(f"empty_{n}")).alias(f"empty_{n}") for n in EMPTY]]
 
 
 def corpus_statistics(df: DataFrame, tokens: str = "token_count") -> DataFrame:
     """One row of totals, token and length means, test and empty-field counts."""
-    return df.agg(*_summary_columns(tokens))
+    return df.agg(F.count("*").alias("n"), *_additive(tokens)).agg(*_totals())
 
 
-def summary_record(df: DataFrame, duplicate_percentage: float = 0.0,
+def summary_record(df: DataFrame, duplicates: DataFrame = None,
                    tokens: str = "token_count") -> DataFrame:
     """One row with every metric; distributions are maps over a small set of names.
 
-    The counts are finished before they become map entries. Datasets come from
-    the registry and languages, licenses and difficulties from closed lists, so
-    the maps stay small.
+    The samples are aggregated once, by all four dimensions; what the maps and totals read is
+    that table. Datasets come from the registry and languages, licenses and difficulties
+    from closed lists, so it stays small. ``duplicates`` is the one row of
+    ``dedup.dedup_counts`` of the removal the samples went through, or None for 0.
     """
-    counts = count_by(df, *DIMENSIONS)
-    maps = counts.agg(*[
+    cube = materialize(cells(df, *DIMENSIONS, metrics=_additive(tokens)), "cells")
+    maps = by_dimension(cube, *DIMENSIONS).agg(*[
         F.map_from_entries(F.array_sort(F.collect_list(
             F.when(F.col("dimension") == d, F.struct("value", "n"))))).alias(name)
         for d, name in zip(DIMENSIONS, ("samples_per_dataset", "language_distribution",
                                         "license_distribution", "difficulty_distribution"))])
+    percentage = F.lit(0.0) if duplicates is None else F.coalesce(
+        duplicates.select("duplicate_percentage").scalar(), F.lit(0.0))
     distributions = maps.select(F.struct("*")).scalar()
-    return corpus_statistics(df, tokens).withColumn("maps", distributions).select(
+    return cube.agg(*_totals()).withColumns(
+        {"maps": distributions, "duplicate_percentage": percentage}).select(
         "total_samples", "maps.samples_per_dataset", "maps.language_distribution",
         "maps.license_distribution", "maps.difficulty_distribution",
         "average_tokens", "min_tokens", "max_tokens",
         "average_instruction_length", "average_output_length", "average_input_length",
-        "samples_with_tests", F.lit(float(duplicate_percentage)).alias("duplicate_percentage"),
+        "samples_with_tests", "duplicate_percentage",
         F.create_map(F.lit("instruction"), F.col("empty_instruction"),
                      F.lit("output"), F.col("empty_output")).alias("empty_fields"))
 

@@ -46,6 +46,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/siftloom-{uuid.uuid4().hex}/{label}"
 
 
+def clear(spark: SparkSession, folder: str) -> None:
+    """Remove an output folder that is to be written anew, as overwriting it would."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

@@ -1,9 +1,10 @@
 """Incremental runs with Structured Streaming.
 
 Everything of a run lives below one folder: the stream's checkpoint, the index of
-kept buckets and the output, the latter two with one sub-folder per micro-batch.
-A batch only reads what earlier batches left and overwrites its own sub-folders,
-so replaying it after a failure changes nothing.
+kept buckets, a version per micro-batch, and the output, a sub-folder per micro-batch.
+A batch only reads the version that the batch before it left, of that the folders of its own
+buckets' prefixes, and replaces what it wrote itself, so replaying it after a failure
+changes nothing.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,9 @@ from pyspark.sql import functions as F
 
 from siftloom.functions.minhash import Banding
 from siftloom.operators import dedup
+from siftloom.operators.index import BucketIndex
 from siftloom.session import materialize
 
-INDEX_SCHEMA = "batch_id bigint, bucket binary"
-
 
 def _batch(folder: str, batch_id: int) -> str:
     return f"{folder}/batch_id={batch_id}"
@@ -27,35 +27,34 @@ def write_stream(df: DataFrame, out: str, checkpoint: str, fmt: str = "parquet")
             .outputMode("append").trigger(availableNow=True).start())
 
 
-def stored_index(spark: SparkSession, folder: str, before: int) -> DataFrame:
-    """Buckets of the samples kept in batches before the given one."""
-    reader = spark.read.schema(INDEX_SCHEMA)
-    return reader.parquet(folder).where(F.col("batch_id") < before).select("bucket")
+def unknown(rows: DataFrame, index: BucketIndex, before: int = None,
+            bands: int = Banding().bands) -> DataFrame:
+    """The (pos, buckets) rows that share no bucket with the index."""
+    asked = materialize(rows.select(F.explode("buckets").alias("bucket")).distinct(), "asked")
+    stored = index.lookup(asked, before)
+    if stored is None:
+        return rows
+    return rows.join(dedup.matches(rows, stored, rows.count() * bands), "pos", "left_anti")
 
 
 def dedup_batch(batch: DataFrame, batch_id: int, run_dir: str, text: str = "output",
-                pos: str = "pos", banding: Banding = Banding()) -> None:
+                pos: str = "pos", banding: Banding = Banding(), live: int = 8) -> None:
     """Keep what neither the index nor an earlier sample of the batch covers."""
-    spark = batch.sparkSession
-    index = f"{run_dir}/index"
+    index = BucketIndex(batch.sparkSession, f"{run_dir}/index", live)
     samples = materialize(batch.withColumn("_buckets", dedup.buckets(F.col(text), banding)),
                           "batch")
     rows = samples.select(F.col(pos).alias("pos"), F.col("_buckets").alias("buckets"))
-    if batch_id > 0:
-        known = dedup.matches(rows, stored_index(spark, index, batch_id),
-                              samples.count() * banding.bands)
-        rows = rows.join(known, "pos", "left_anti")
-    kept = samples.join(dedup.keep_first(rows, banding.bands).select(F.col("pos").alias(pos)), pos, "left_semi")
-    (kept.select(F.explode("_buckets").alias("bucket"))
-     .write.mode("overwrite").parquet(_batch(index, batch_id)))
+    kept = dedup.keep_first(unknown(rows, index, batch_id, banding.bands), banding.bands)
+    kept = materialize(samples.join(kept.select(F.col("pos").alias(pos)), pos, "left_semi"), "kept")
     kept.drop("_buckets").write.mode("overwrite").parquet(_batch(f"{run_dir}/out", batch_id))
+    index.add(batch_id, kept.select(F.explode("_buckets").alias("bucket")))
 
 
 def dedup_stream(stream: DataFrame, run_dir: str, text: str = "output", pos: str = "pos",
-                 banding: Banding = Banding()):
+                 banding: Banding = Banding(), live: int = 8):
     """Deduplicate a stream against everything it has kept so far."""
     return (stream.writeStream
-            .foreachBatch(lambda df, i: dedup_batch(df, i, run_dir, text, pos, banding))
+            .foreachBatch(lambda df, i: dedup_batch(df, i, run_dir, text, pos, banding, live))
             .option("checkpointLocation", f"{run_dir}/checkpoint")
             .trigger(availableNow=True).start())
 

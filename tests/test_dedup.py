@@ -48,6 +48,45 @@ def test_chain_keeps_both_ends(spark):
     assert kept(spark, long_chain) == sequential(long_chain) == list(range(0, 12, 2))
 
 
+def test_components_are_the_smallest_connected_nodes(spark):
+    rng = random.Random(7)
+    edges = [(i, i + 1) for i in range(300)] + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400))
+                                                for _ in range(260)] + [(2000, 2000)]
+    rng.shuffle(edges)
+    parent = {}
+
+    def top(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        low, high = sorted((top(a), top(b)))
+        parent[high] = low
+    want = {(x, top(x)) for x in list(parent) if x != top(x)}
+    df = spark.createDataFrame(edges, "_a bigint, _b bigint")
+    for parts in (1, 40):
+        got = dedup.components(df.repartition(parts)).collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+
+
+@pytest.mark.parametrize("bound", [0, 20, 1000])
+def test_large_components_take_the_rounds(spark, bound):
+    rows = random_rows(300, 300, 21) + [(9000 + i, [f"l{i}", f"l{i + 1}"]) for i in range(40)]
+    assert kept(spark, rows, settled_whole=bound) == sequential(rows)
+
+
+def test_a_chain_takes_few_jobs(spark):
+    rows = [(i, [f"l{i}", f"l{i + 1}"]) for i in range(120)]
+    df = spark.createDataFrame(rows, "pos bigint, buckets array<string>")
+    context = spark.sparkContext
+    context.setJobGroup("chain", "chain")
+    got = sorted(r.pos for r in dedup.keep_first(df).collect())
+    jobs = len(context.statusTracker().getJobIdsForGroup("chain"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert got == sequential(rows)
+    assert jobs < 40, jobs
+
+
 def test_copies_and_empty_input(spark):
     rows = [(i, ["same"] * 5) for i in (7, 3, 9)] + [(5, list("vwxyz"))]
     assert kept(spark, rows) == [3, 5]

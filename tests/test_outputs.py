@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftloom.operators import sampling, statistics, unify
+from siftloom.operators.index import BucketIndex
 from siftloom.plans import jobs
 from siftloom.schema import RAW, UNIFIED
 from siftloom.sinks import reports, writers
@@ -38,7 +39,7 @@ def test_jsonl_lines(spark, tmp_path):
 def test_formats(spark, tmp_path):
     df = corpus(spark, 5).drop("tests", "metadata")
     writers.write_corpus(df, "parquet", f"{tmp_path}/p", compression="gzip")
-    info = writers.export_info(spark, "parquet", f"{tmp_path}/p", df.schema, "gzip").first()
+    info = writers.export_info(spark, "parquet", f"{tmp_path}/p", df.schema).first()
     size = sum(f.stat().st_size for f in (tmp_path / "p").glob("*.parquet"))
     assert (info.samples, info.file_size, info.compression) == (5, size, "gzip")
     with pytest.raises(ValueError, match="unknown export format"):
@@ -52,6 +53,39 @@ def test_formats(spark, tmp_path):
     writers.WRITERS.pop("lines")
 
 
+def test_codecs_are_read_from_the_files(spark, tmp_path):
+    df = corpus(spark, 6).drop("tests", "metadata")
+    for fmt, codec, kind in (("parquet", None, "snappy"), ("parquet", "zstd", "zstd"), ("parquet", "lz4_raw", "lz4_raw"),
+                             ("parquet", "none", "none"), ("jsonl", None, "none"), ("jsonl", "bzip2", "bzip2"),
+                             ("jsonl", "deflate", "deflate")):
+        path = f"{tmp_path}/{fmt}-{codec}"
+        writers.write_corpus(df.repartition(2), fmt, path, compression=codec)
+        files = writers.export_files(spark, fmt, path, df.schema).collect()
+        assert {r.compression for r in files} == {kind} and sum(r.rows for r in files) == 6
+    writers.write_corpus(df, "parquet", f"{tmp_path}/parquet-zstd", mode="append", compression="gzip")
+    assert writers.export_info(spark, "parquet", f"{tmp_path}/parquet-zstd", df.schema).first().compression == "gzip,zstd"
+
+
+def test_split_is_written_in_one_pass(spark, tmp_path, monkeypatch):
+    df = sampling.with_split(corpus(spark, 400), fraction=0.3)
+    calls = []
+    monkeypatch.setattr(writers, "write_corpus", lambda rows, *a, **k: calls.append((rows, k)))
+    writers.write_split(df, f"{tmp_path}/out")
+    assert len(calls) == 1 and calls[0][1]["partition_by"] == "split"
+    monkeypatch.undo()
+    for even in (False, True):
+        writers.write_split(df.repartition(7), f"{tmp_path}/out", even=even)
+        back = spark.read.json(f"{tmp_path}/out")
+        assert back.count() == 400 and back.select("split").distinct().count() == 2
+
+    @writers.register_writer("plain")
+    def write_plain(rows, path, mode, compression):
+        rows.select(F.col("output").alias("value")).write.mode(mode).text(path)
+    writers.write_split(df, f"{tmp_path}/plain", fmt="plain")
+    assert spark.read.text(f"{tmp_path}/plain").count() == 400
+    writers.WRITERS.pop("plain")
+
+
 def test_chat_and_instruction_forms(spark):
     chat = {r.id: r.messages for r in unify.export_form(corpus(spark, 2), "chat", "id").collect()}
     assert [tuple(m) for m in chat["0"]] == [("user", "Tést\n\nctx"), ("assistant", "output 0")]
@@ -97,7 +131,9 @@ def test_statistics(spark):
 
 
 def test_summary_and_markdown(spark, tmp_path):
-    summary = statistics.summary_record(corpus(spark, 4), 12.5)
+    share = spark.createDataFrame([(8, 7, 1, 12.5)],
+                                  "processed int, unique int, removed int, duplicate_percentage double")
+    summary = statistics.summary_record(corpus(spark, 4), share)
     row = summary.first()
     assert row.samples_per_dataset == {"test": 4} and row.duplicate_percentage == 12.5
     assert len(summary.columns) == 14
@@ -132,11 +168,94 @@ def test_whole_run(spark, tmp_path):
     assert outcome.duplicates.first().removed == 1
     assert outcome.run_statistics.first().samples == 1
     assert spark.read.json(f"{tmp_path}/out").count() == 1
+    report = spark.read.text(f"{tmp_path}/out/_reports/run=0/report")
+    assert {"- **Total Samples**: 1", "- **Duplicate Percentage**: 50.00%"} <= {
+        r.value for r in report.collect()}
+    stored = spark.read.json(f"{tmp_path}/out/_reports/run=0/statistics").first()
+    assert (stored.total_samples, stored.duplicate_percentage) == (1, 50.0)
     assert set(reports.console_tables(outcome)) >= {"statistics", "rejections", "export"}
     jobs.run(spark, raw_tables(spark, str(tmp_path / "in2")), f"{tmp_path}/out", "chat")
     assert spark.read.json(f"{tmp_path}/out").count() == 1
 
 
+LINE = "instruction string, input string, output string, split string, run int"
+
+
+def code_rows(first, last):
+    return [(i, f"Task {i}", f"def f{i}(x):\n    return x + {i}  # " + " ".join(f"w{i}v{j}" for j in range(40)), [])
+            for i in range(first, last)]
+
+
+def test_a_resumed_run_adds_what_is_new(spark, tmp_path):
+    def source(name, rows):
+        spark.createDataFrame(rows, RAW["mbpp"]).write.parquet(f"{tmp_path}/{name}/train")
+        mbpp = next(s for s in DEFAULT_SOURCES if s.id == "mbpp")
+        return [replace(mbpp.at(f"{tmp_path}/{name}"), order_by="task_id")]
+    out = f"{tmp_path}/out"
+    assert jobs.committed(spark, out, LINE).count() == 0
+    jobs.run(spark, source("a", code_rows(0, 5)), out)
+    copy = (9, "A copy", code_rows(3, 4)[0][2], [])
+    more = source("b", code_rows(0, 8) + [copy])
+    second = jobs.run(spark, more, out, resume=True)
+    # five were decided before, one of the others is a copy of what the first run kept
+    assert second.run == 1 and sorted(int(r.id) for r in second.corpus.collect()) == [5, 6, 7]
+    assert second.duplicates.first().removed == 1
+    written = jobs.committed(spark, out, LINE).collect()
+    assert sorted(r.instruction for r in written) == [f"Task {i}" for i in range(8)]
+    assert {r.run for r in written} == {0, 1}
+    third = jobs.run(spark, more, out, resume=True)
+    assert third.run == 2 and third.corpus.count() == 0
+    assert jobs.committed(spark, out, LINE).count() == 8
+    # without resume everything starts anew
+    jobs.run(spark, source("c", code_rows(20, 22)), out)
+    assert jobs.committed_runs(spark, out) == [0]
+    assert spark.read.schema(LINE).json(out).count() == 2
+
+
+def test_a_run_without_commit_does_not_count(spark, tmp_path, monkeypatch):
+    def source(name, rows):
+        spark.createDataFrame(rows, RAW["mbpp"]).write.parquet(f"{tmp_path}/{name}/train")
+        mbpp = next(s for s in DEFAULT_SOURCES if s.id == "mbpp")
+        return [replace(mbpp.at(f"{tmp_path}/{name}"), order_by="task_id")]
+    out = f"{tmp_path}/out"
+    jobs.run(spark, source("a", code_rows(0, 3)), out)
+
+    def fail(*args):
+        raise RuntimeError("lost")
+    monkeypatch.setattr(jobs, "_commit", fail)
+    more = source("b", code_rows(0, 6))
+    with pytest.raises(RuntimeError, match="lost"):
+        jobs.run(spark, more, out, resume=True)
+    monkeypatch.undo()
+    assert jobs.committed(spark, out, LINE).count() == 3
+    again = jobs.run(spark, more, out, resume=True)
+    assert again.run == 1 and sorted(int(r.id) for r in again.corpus.collect()) == [3, 4, 5]
+    assert jobs.committed(spark, out, LINE).count() == 6
+
+
+def test_index_reads_the_prefixes_asked_for(spark, tmp_path):
+    def buckets(*numbers):
+        return spark.createDataFrame([(n,) for n in numbers], "n int").select(
+            F.unhex(F.md5(F.col("n").cast("string"))).alias("bucket"))
+    index = BucketIndex(spark, f"{tmp_path}/index", live=2)
+    assert index.lookup(buckets(1)) is None
+    for version in range(5):
+        index.add(version, buckets(*range(version * 100, version * 100 + 100)))
+    # parts 0 and 1 were merged into 2, that and 3 into 4
+    assert index.parts() == ["4"] and index.parts(before=4) == ["2", "3"]
+    found = index.lookup(buckets(7, 450))
+    assert len(found.inputFiles()) <= 256
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [prefix" in plan
+    assert found.join(buckets(7, 450, 900), "bucket", "left_semi").count() == 2
+    assert found.where("input_file_name() LIKE '%prefix=%'").select(
+        F.input_file_name()).distinct().count() <= 2
+    # a version is written again
+    index.add(3, buckets(*range(300, 400)))
+    assert index.lookup(buckets(350), before=4).join(buckets(350), "bucket", "left_semi").count() == 1
+    assert index.lookup(buckets(450), before=4).join(buckets(450), "bucket", "left_semi").count() == 0
+
+
 def batches(spark, folder, parts):
     """Write (pos, output) rows, one file per part, in arrival order."""
     import time
