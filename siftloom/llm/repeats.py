@@ -93,33 +93,36 @@ def _lists(order_keys: np.ndarray):
 
 
 def _anchors(search: Search):
-    """(anchor, text that has it, further texts of the slice or null, whether one of them has it
-    twice), once for every slice. Texts are known by their hash."""
+    """(anchor, text that has it, further texts of the slice or null) once for every slice.
+
+    Texts are known by their hash, and copies in a slice are one; a text that has the anchor more
+    than once is listed twice.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, data, offsets in slices(batch, "_text"):
                 values, _, _, first = units(data, offsets, search.by_words)
                 of, keys, _, _, several = segments(values, first, search.window, search.anchor)
+                texts = piece.column("_t").to_numpy()
+                once = np.zeros(len(texts), dtype=bool)
+                once[np.unique(texts, return_index=True)[1]] = True
+                several = several * once[of]
                 of, keys = of.repeat(several), keys.repeat(several)
                 order, begins = _lists(keys)
-                keys, of = keys[order][begins].view(np.int64), of[order]
+                keys, of = keys[order], of[order]
                 # the order is stable, so a document's occurrences follow each other
-                again = np.zeros(len(of), dtype=bool)
-                again[1:] = of[1:] == of[:-1]
-                again[begins] = False
-                twice = np.logical_or.reduceat(again, begins) if len(begins) else again
-                texts = piece.column("_t").to_numpy()[of]
-                further = ~again
+                third = np.zeros(len(of), dtype=bool)
+                third[2:] = (keys[2:] == keys[:-2]) & (of[2:] == of[:-2])
+                further = ~third
                 further[begins] = False
-                sizes = np.add.reduceat(further.astype(np.int64), begins) if len(begins) else \
-                    np.zeros(0, dtype=np.int64)
+                sizes = np.add.reduceat(further.astype(np.int64), begins) if len(begins) else begins
                 edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 # most anchors occur once in a slice; these have no list
-                more = pa.ListArray.from_arrays(pa.array(edges), pa.array(texts[further]),
+                more = pa.ListArray.from_arrays(pa.array(edges), pa.array(texts[of[further]]),
                                                 mask=pa.array(sizes == 0))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(texts[begins]), more, pa.array(twice)],
-                    names=["_key", "_t", "_more", "_twice"])
+                    [pa.array(keys[begins].view(np.int64)), pa.array(texts[of[begins]]), more],
+                    names=["_key", "_t", "_more"])
     return run
 
 
@@ -298,13 +301,14 @@ def without_repeats(docs: DataFrame, search: Search, kept: str, counts: tuple[st
     firsts = narrow.groupBy("_t").agg(F.min(F.struct("_d", "_row")).alias("_first"),
                                       F.count("*").alias("_n"))
     anchors = docs.select(text_key(text).alias("_t"), whole(text).alias("_text")).mapInArrow(
-        _anchors(search), "_key bigint, _t bigint, _more array<bigint>, _twice boolean")
+        _anchors(search), "_key bigint, _t bigint, _more array<bigint>")
     all_of = Window.partitionBy("_key")
     more = F.coalesce("_more", F.array().cast("array<bigint>"))
     several = (F.min(F.least("_t", F.array_min(more))).over(all_of)
                < F.max(F.greatest("_t", F.array_max(more))).over(all_of))
     if not search.first_stays:
-        several = several | F.bool_or("_twice").over(all_of)
+        twice = F.size(F.array_distinct(F.array_append(more, F.col("_t")))) <= F.size(more)
+        several = several | F.bool_or(twice).over(all_of)
     counted = anchors.withColumns({"_total": F.sum(F.size(more) + 1).over(all_of), "_several": several})
     wanted = (counted.where("_several")
               .select(F.explode(F.array_distinct(F.array_append(more, F.col("_t")))).alias("_t"),
