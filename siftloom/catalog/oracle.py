@@ -548,7 +548,8 @@ _FIGURES = [
     *[(f"Avg {n.capitalize()}", f"format('{{:.0f}}', avg(length({n}))) || ' chars'")
       for n in ("instruction", "input", "output")],
     ("Samples with Tests", "format('{:,}', count(*) FILTER (dataset = 'mbpp' AND CAST(id AS BIGINT) % 5 <> 2))"),
-    ("Empty Instructions", "0"), ("Empty Outputs", "0")]
+    ("Empty Instructions", "count(*) FILTER (instruction = '')"),
+    ("Empty Outputs", "count(*) FILTER (output = '')")]
 _q("run_report", f"""{_RUN}, corpus AS MATERIALIZED (
 SELECT *, (SELECT count(*) FROM accepted) AS total FROM kept LEFT JOIN accepted USING (pos))""",
    " UNION ALL ".join(f"SELECT '- {name}: ' || {value} AS line FROM corpus" for name, value in _FIGURES))

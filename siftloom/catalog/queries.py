@@ -717,9 +717,10 @@ def stream_dedup(spark, sf_dir):
     run_dir, schema = scratch_path(spark, "dedup"), docs.schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(staged))
-    incremental.dedup_stream(stream, run_dir, "text", "doc_id", live=3).awaitTermination()
+    shape = {"live": 3, "digits": 1}
+    incremental.dedup_stream(stream, run_dir, "text", "doc_id", **shape).awaitTermination()
     incremental.dedup_batch(spark.read.schema(schema).parquet(f"{staged}/part=4"), 4, run_dir,
-                            "text", "doc_id", live=3)
+                            "text", "doc_id", **shape)
     kept = incremental.deduplicated(spark, run_dir, schema)
     return kept.select("doc_id", "source", F.md5("text").alias("text_md5"))
 

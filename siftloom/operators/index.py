@@ -1,12 +1,12 @@
 """The stored index of kept buckets: folders by bucket prefix, listed by versioned manifests.
 
-``data/part=<name>/prefix=<two hex digits>`` holds buckets, ``manifest/version=<n>`` the names of
+``data/part=<name>/prefix=<hex digits>`` holds buckets, ``manifest/version=<n>`` the names of
 the parts that count as of version n. Nothing that a manifest names is ever changed, so a reader
 of version n and a writer of version n + 1 do not meet, and writing a version again replaces
 only what that version wrote. When ``live`` parts have come together, a version merges them
 into one part of its own; the parts it replaces stay for readers of earlier versions.
 
-A lookup reads the folders of the prefixes it asks for, at most 256, and no others.
+A lookup reads the folders of the prefixes it asks for, 256 at most by default, and no others.
 """
 
 import re
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 ROWS = "bucket binary, part string, prefix string"
 
 
-def prefix_of(bucket: Column) -> Column:
-    return F.lower(F.substring(F.hex(bucket), 1, 2))
+def prefix_of(bucket: Column, digits: int = 2) -> Column:
+    return F.lower(F.substring(F.hex(bucket), 1, digits))
 
 
 def numbers_below(spark: SparkSession, folder: str, name: str, complete: bool = True) -> list[int]:
@@ -38,10 +38,18 @@ def numbers_below(spark: SparkSession, folder: str, name: str, complete: bool =
 
 
 class BucketIndex:
-    """Buckets below one folder; see the module. ``live`` is the number of parts a lookup may meet."""
+    """Buckets below one folder; see the module.
 
-    def __init__(self, spark: SparkSession, folder: str, live: int = 8):
-        self.spark, self.folder, self.live = spark, folder.rstrip("/"), live
+    ``live`` is the number of parts a lookup may meet, ``digits`` the length of a prefix, which
+    must stay as it is for the life of the folder.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, live: int = 8, digits: int = 2):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.live, self.digits = live, digits
+
+    def _prefix(self) -> Column:
+        return prefix_of(F.col("bucket"), self.digits)
 
     def parts(self, before: int = None) -> list[str]:
         """Names of the parts as of the last version, or of the last one below ``before``."""
@@ -65,13 +73,13 @@ class BucketIndex:
         parts = self.parts(before)
         if not parts:
             return None
-        wanted = [r[0] for r in queries.select(prefix_of(F.col("bucket"))).distinct().collect()]
+        wanted = [r[0] for r in queries.select(self._prefix()).distinct().collect()]
         return self._read(parts).where(F.col("prefix").isin(wanted)).select("bucket")
 
     def add(self, version: int, buckets: DataFrame) -> None:
         """Make ``version`` of the latest earlier one and ``buckets`` (bucket)."""
         parts, name = self.parts(version), str(version)
-        rows = buckets.select("bucket", prefix_of(F.col("bucket")).alias("prefix"))
+        rows = buckets.select("bucket", self._prefix().alias("prefix"))
         if len(parts) + 1 > self.live:
             rows = rows.unionByName(self._read(parts).select("bucket", "prefix"))
             parts = []

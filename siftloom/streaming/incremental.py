@@ -38,9 +38,10 @@ def unknown(rows: DataFrame, index: BucketIndex, before: int = None,
 
 
 def dedup_batch(batch: DataFrame, batch_id: int, run_dir: str, text: str = "output",
-                pos: str = "pos", banding: Banding = Banding(), live: int = 8) -> None:
-    """Keep what neither the index nor an earlier sample of the batch covers."""
-    index = BucketIndex(batch.sparkSession, f"{run_dir}/index", live)
+                pos: str = "pos", banding: Banding = Banding(), **shape) -> None:
+    """Keep what neither the index nor an earlier sample of the batch covers; ``shape`` is that of
+    the ``BucketIndex``."""
+    index = BucketIndex(batch.sparkSession, f"{run_dir}/index", **shape)
     samples = materialize(batch.withColumn("_buckets", dedup.buckets(F.col(text), banding)),
                           "batch")
     rows = samples.select(F.col(pos).alias("pos"), F.col("_buckets").alias("buckets"))
@@ -51,10 +52,10 @@ def dedup_batch(batch: DataFrame, batch_id: int, run_dir: str, text: str = "outp
 
 
 def dedup_stream(stream: DataFrame, run_dir: str, text: str = "output", pos: str = "pos",
-                 banding: Banding = Banding(), live: int = 8):
+                 banding: Banding = Banding(), **shape):
     """Deduplicate a stream against everything it has kept so far."""
     return (stream.writeStream
-            .foreachBatch(lambda df, i: dedup_batch(df, i, run_dir, text, pos, banding, live))
+            .foreachBatch(lambda df, i: dedup_batch(df, i, run_dir, text, pos, banding, **shape))
             .option("checkpointLocation", f"{run_dir}/checkpoint")
             .trigger(availableNow=True).start())
 
