@@ -14,10 +14,10 @@ two has at most ``slack`` parts with such signatures, they meet in another. Bein
 or hot is a matter of the signature, hence the same for both. Sets with more such parts
 go on to a next level with larger parts, the last of which leaves nothing out.
 
-Sets that share a signature are compared exactly with a leader of the group, over two rounds; groups
-that are one component by then need no more, whatever their size. Other groups of up to
-``block`` members are compared in full, larger ones are the hot ones above. On the last level they
-are compared in blocks.
+Sets that share a signature are compared exactly with a leader of the group, on the first level
+also with a second one where that leaves several components; groups that are one component by
+then need no more, whatever their size. Other groups of up to ``block`` members are compared
+in full, larger ones are the hot ones above. On the last level they are compared in blocks.
 """
 
 from collections.abc import Iterator
@@ -30,8 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftloom.llm.minhash_near_dedup import components, shingles, similar_pairs
+from siftloom.llm.minhash_near_dedup import shingles, similar_pairs
 from siftloom.llm.rows import id_key, lowered, mixed, slices, whole
+from siftloom.operators.dedup import components
 from siftloom.session import materialize
 
 ROWS = "_sig bigint, _node bigint, _more array<bigint>"
@@ -42,7 +43,7 @@ SALT, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 @dataclass(frozen=True)
 class PartEnum:
     """Sets link at ``percent`` Jaccard; groups above ``block`` members are not compared in full
-    before the last of ``levels``."""
+    before the last of ``levels``. ``leaders`` is the number of leaders on the first level."""
 
     percent: int = 80
     width: int = 5
@@ -229,13 +230,14 @@ def _judged(pairs: DataFrame, texts: DataFrame, join: PartEnum) -> DataFrame:
 
 
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the groups that are not one component yet, with their components."""
+    """Members of the groups that are not one component yet, with their components, the group's
+    size, its highest component and a member of that."""
     rows = members.join(roots, F.col("_node_of") == F.col("_node"), "left").select(
-        "_sig", F.col("_node_of").alias("_node"), F.coalesce("_root", "_node_of").alias("_root"))
+        "_sig", F.col("_node_of").alias("_node"), F.coalesce("_root", "_node_of").alias("_root")).distinct()
     open_groups = rows.groupBy("_sig").agg(
         F.min("_root").alias("_low"), F.max("_root").alias("_high"),
-        F.max_by("_node", "_root").alias("_next")).where("_low < _high")
-    return rows.join(open_groups.select("_sig", "_high", "_next"), "_sig").distinct()
+        F.max_by("_node", "_root").alias("_next"), F.count("*").alias("_n")).where("_low < _high")
+    return rows.join(open_groups.select("_sig", "_high", "_next", "_n"), "_sig")
 
 
 def _blocks(waiting: DataFrame, texts: DataFrame, join: PartEnum) -> DataFrame:
@@ -262,14 +264,12 @@ def _level(docs: DataFrame, links: list[DataFrame], join: PartEnum, level: int):
     texts = materialize(docs.join(shared, "_node", "left_semi").dropDuplicates(["_node"]), "texts")
     pairs = members.where("_node_of <> _lead").select(
         F.col("_node_of").alias("_a"), F.col("_lead").alias("_b")).distinct()
-    for _ in range(join.leaders):
+    for _ in range(join.leaders if level == 0 else 1):
         links.append(materialize(_judged(pairs, texts, join), "links"))
         roots = components(reduce(DataFrame.unionByName, links))
         waiting = materialize(_labelled(members.select("_sig", "_node_of"), roots), "waiting")
         pairs = waiting.where("_root <> _high").select(
             F.col("_node").alias("_a"), F.col("_next").alias("_b")).distinct()
-    sizes = waiting.groupBy("_sig").agg(F.count("*").alias("_n"))
-    waiting = materialize(waiting.join(sizes, "_sig"), "sized")
     if level + 1 == join.levels:
         links.append(materialize(_blocks(waiting, texts, join), "links"))
         return groups, None
