@@ -24,21 +24,30 @@ SPLIT = r"[\x20\x09-\x0D]+"
 
 def _sample(term: Column, log_weight: Column, k: int) -> Column:
     """Rank (31 bits) and identity (32 bits) of the draw that a term offers for sample k."""
-    def halves(bits):
-        return ((F.shiftrightunsigned(bits, 32).cast("double") + 0.5) * 2.0 ** -32,
-                (bits.bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") + 0.5) * 2.0 ** -32)
-    a, b = halves(F.xxhash64(term, F.lit(3 * k)))
-    c, d = halves(F.xxhash64(term, F.lit(3 * k + 1)))
-    own = F.xxhash64(term, F.lit(3 * k + 2))
-    offset = halves(own)[0]
-    r = -F.log(a * b)
+    def uniform(bits, low, width):
+        part = F.shiftrightunsigned(bits, low).bitwiseAND(F.lit((1 << width) - 1))
+        return (part.cast("double") + 0.5) * 2.0 ** -width
+    own, other = F.xxhash64(term, F.lit(2 * k)), F.xxhash64(term, F.lit(2 * k + 1))
+    offset = uniform(own, 0, 20)
+    r = -F.log(uniform(own, 40, 24) * uniform(own, 20, 20))
     t = F.floor(log_weight / r + offset)
-    log_a = F.log(-F.log(c * d)) - r * (t - offset + 1)
+    log_a = (F.log(-F.log(uniform(other, 32, 32) * uniform(other, 0, 32)))
+             - r * (t - offset + 1))
     rank = ((log_a + 100.0) * 2.0 ** 24).cast("bigint")
+    # the hash also names the term; only its identity matters there
     return F.shiftleft(rank, 32).bitwiseOR(
         own.bitwiseXOR(t * 0x9E3779B1).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
+def as_longs(sha: Column) -> list[Column]:
+    """A SHA-256 in hex as four longs, which aggregate without sorting."""
+    return [F.conv(F.substring(sha, 16 * i + 1, 16), 16, -10).cast("bigint") for i in range(4)]
+
+
+def from_longs(parts: list[Column]) -> Column:
+    return F.lower(F.concat(*[F.lpad(F.hex(p), 16, "0") for p in parts]))
+
+
 def drawn(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
     """(keys, _s0, _s1, ...): the smallest offer of the rows (keys, _term, _n) for each sample."""
     term, log_weight = F.col("_term"), F.col("_log")
@@ -146,10 +155,12 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # what is said of a document travels with one row without word, so that the texts are dealt
     # out once and nothing is joined
-    keys, carried = ["_range", "_row"], ["_behind", "_id", "_n_chars", "_sha"]
+    shas = [f"_sha{i}" for i in range(4)]
+    keys, carried = ["_range", "_row"], ["_behind", "_id", "_n_chars", *shas]
     told = placed.select(*keys, F.when(F.col("_behind"), F.array("_text")).otherwise(
         F.array("_text", "_edited")).alias("_sides"), F.col("_behind"), F.col("_d").alias("_id"),
-        F.length("_text").cast("bigint").alias("_n_chars"), hex_sha256(F.col("_edited")).alias("_sha"))
+        F.length("_text").cast("bigint").alias("_n_chars"),
+        *[part.alias(name) for part, name in zip(as_longs(hex_sha256(F.col("_edited"))), shas)])
     words = told.select(*keys, *carried, F.posexplode("_sides").alias("_side", "_of")).select(
         *keys, *carried, "_side", F.explode(F.array_append(
             F.split("_of", SPLIT), F.lit(None).cast("string"))).alias("_word")).where(
@@ -163,7 +174,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     after = Window.partitionBy("_range").orderBy("_row")
     joined = signed.withColumn("_following", F.lead("_own").over(after)).where("NOT _behind").select(
         F.nullif("_id", F.lit(NO_ID)).alias("doc_id"), F.col("_n_chars").alias("n_chars"),
-        F.col("_sha").alias("edited_sha256"), "_own", "_other", "_following")
+        from_longs([F.col(c) for c in shas]).alias("edited_sha256"), "_own", "_other", "_following")
     return joined.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("_own")).alias("fingerprint"),
         as_text(F.col("_other")).alias("edited_fingerprint"),
