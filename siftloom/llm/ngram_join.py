@@ -14,10 +14,11 @@ two has at most ``slack`` parts with such signatures, they meet in another. Bein
 or hot is a matter of the signature, hence the same for both. Sets with more such parts
 go on to a next level with larger parts, the last of which leaves nothing out.
 
-Sets that share a signature are compared exactly with a leader of the group, on the first level
-also with a second one where that leaves several components; groups that are one component by
-then need no more, whatever their size. Other groups of up to ``block`` members are compared
-in full, larger ones are the hot ones above. On the last level they are compared in blocks.
+Groups of up to ``block`` sets with a common signature are compared exactly in full. They meet in
+shards by their smallest member, where a set is made once and a pair compared once, however
+many groups hold it. Larger groups are compared with a leader, on the first level also with a
+second one; those that are one component by then need no more, whatever their size, the
+others are the hot ones above. On the last level these are compared in blocks.
 """
 
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftloom.llm.minhash_near_dedup import shingles, similar_pairs
+from siftloom.llm.minhash_near_dedup import shingles
 from siftloom.llm.rows import id_key, lowered, mixed, slices, whole
 from siftloom.operators.dedup import components
 from siftloom.session import materialize
@@ -43,11 +44,13 @@ SALT, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 @dataclass(frozen=True)
 class PartEnum:
     """Sets link at ``percent`` Jaccard; groups above ``block`` members are not compared in full
-    before the last of ``levels``. ``leaders`` is the number of leaders on the first level."""
+    before the last of ``levels``. ``leaders`` is the number of leaders on the first level,
+    ``shard`` about the number of sets in a shard."""
 
     percent: int = 80
     width: int = 5
     block: int = 64
+    shard: int = 400
     leaders: int = 2
     levels: int = 3
 
@@ -200,28 +203,75 @@ def _compared(join: PartEnum):
     return run
 
 
-def _block_links(join: PartEnum):
-    """Links between sets of different components in one block of a group."""
-    def run(table: pa.Table) -> pa.Table:
-        nodes, roots = (table.column(c).to_numpy() for c in ("_node", "_root"))
-        sets = _sets(table.column("_text").combine_chunks(), join)
-        near = similar_pairs(sets, roots, join.percent / 100)
-        return pa.table([pa.array(nodes[near[:, 0]]), pa.array(nodes[near[:, 1]])], names=["_a", "_b"])
+def _group_links(join: PartEnum):
+    """Links within the groups (_sig, _node, _root) of a shard, given the texts of its nodes.
+
+    Nodes with one root are linked already; a link that joins nothing is left out.
+    """
+    def run(rows: pa.Table, texts: pa.Table) -> pa.Table:
+        known = texts.column("_known").to_numpy()
+        place = np.argsort(known)
+        known = known[place]
+        sets = _sets(texts.column("_text").combine_chunks(), join)
+        sets = [sets[i] for i in place]
+        sig, at = rows.column("_sig").to_numpy(), np.searchsorted(known, rows.column("_node").to_numpy())
+        parent = list(range(len(known)))
+
+        def top(x):
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+        first_of: dict = {}
+        for i, root in zip(at.tolist(), rows.column("_root").to_pylist()):
+            parent[top(i)] = top(first_of.setdefault(root, i))
+        order = np.lexsort((at, sig))
+        sig, at = sig[order], at[order]
+        new = np.ones(len(sig), dtype=bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (at[1:] != at[:-1])
+        sig, at = sig[new], at[new]
+        begins = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else sig
+        ends = np.append(begins[1:], len(sig))
+        groups = {tuple(at[a:b].tolist()) for a, b in zip(begins, ends) if b - a > 1}
+        compared, out = set(), []
+        for group in sorted(groups, key=lambda g: (-len(g), g)):
+            for i, j in combinations(group, 2):
+                if (i, j) in compared or top(i) == top(j):
+                    continue
+                compared.add((i, j))
+                a, b = sets[i], sets[j]
+                if 100 * min(len(a), len(b)) < join.percent * max(len(a), len(b)):
+                    continue
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * both >= join.percent * (len(a) + len(b) - both) > 0:
+                    parent[top(i)] = top(j)
+                    out.append((known[i], known[j]))
+        return pa.table([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["_a", "_b"])
     return run
 
 
 def _groups(docs: DataFrame, join: PartEnum, level: int) -> DataFrame:
-    """Signatures that two texts have, with ``_lead``, the smallest of them; and the rows of nodes."""
+    """Signatures that two texts have, with ``_lead``, the smallest of them, and ``_n``, at least
+    the number of texts; and the rows of nodes."""
     rows = docs.mapInArrow(_signed(join, level), ROWS)
     # one row per slice of documents and signature; the window spills
     same = Window.partitionBy("_sig")
     more = F.coalesce("_more", F.array().cast("array<bigint>"))
     low = F.min(F.least("_node", F.array_min(more))).over(same)
     high = F.max(F.greatest("_node", F.array_max(more))).over(same)
-    return (rows.withColumns({"_lead": low, "_high": high})
+    return (rows.withColumns({"_lead": low, "_high": high, "_n": F.sum(F.size(more) + 1).over(same)})
             .where("_node IS NULL OR _lead < _high").drop("_high"))
 
 
+def _linked(rows: DataFrame, texts: DataFrame, join: PartEnum) -> DataFrame:
+    """Links within the groups of (_of, _sig, _node, _root), where ``_of`` decides on the shard."""
+    shards = texts.count() // join.shard + 1
+    dealt = rows.select(F.pmod(F.xxhash64("_of"), F.lit(shards)).alias("_shard"), "_sig", "_node", "_root")
+    held = dealt.select(F.col("_shard").alias("_at"), F.col("_node").alias("_known")).distinct().join(
+        texts.select(F.col("_node").alias("_known"), "_text"), "_known")
+    return dealt.groupBy("_shard").cogroup(held.groupBy("_at")).applyInArrow(
+        _group_links(join), "_a bigint, _b bigint")
+
+
 def _judged(pairs: DataFrame, texts: DataFrame, join: PartEnum) -> DataFrame:
     left = texts.select(F.col("_node").alias("_a"), "_text")
     right = texts.select(F.col("_node").alias("_b"), F.col("_text").alias("_other"))
@@ -240,18 +290,16 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(open_groups.select("_sig", "_high", "_next", "_n"), "_sig")
 
 
-def _blocks(waiting: DataFrame, texts: DataFrame, join: PartEnum) -> DataFrame:
-    """Links within the groups (_sig, _node, _root, _n), compared in blocks; equal groups once."""
+def _blocks(waiting: DataFrame, join: PartEnum) -> DataFrame:
+    """The large groups (_sig, _node, _root, _n) as groups of two blocks each; equal groups once."""
     groups = waiting.groupBy("_sig").agg(F.first("_n").alias("_n"),
                                          F.bit_xor(F.xxhash64("_node")).alias("_all"))
     once = groups.groupBy("_n", "_all").agg(F.min("_sig").alias("_sig")).select("_sig")
     blocks = F.floor(F.col("_n") / join.block).cast("bigint") + 1
     dealt = (waiting.join(once, "_sig").withColumn("_own", F.pmod(F.xxhash64("_node"), blocks))
-             .withColumn("_with", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-             .select("_sig", F.least("_own", "_with").alias("_i"),
-                     F.greatest("_own", "_with").alias("_j"), "_node", "_root"))
-    return dealt.join(texts, "_node").groupBy("_sig", "_i", "_j").applyInArrow(
-        _block_links(join), "_a bigint, _b bigint")
+             .withColumn("_with", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))))
+    name = F.xxhash64("_sig", F.least("_own", "_with"), F.greatest("_own", "_with"))
+    return dealt.select(name.alias("_of"), name.alias("_sig"), "_node", "_root")
 
 
 def _level(docs: DataFrame, links: list[DataFrame], join: PartEnum, level: int):
@@ -259,26 +307,36 @@ def _level(docs: DataFrame, links: list[DataFrame], join: PartEnum, level: int):
     groups = materialize(_groups(docs, join, level), "groups")
     more = F.coalesce("_more", F.array().cast("array<bigint>"))
     members = groups.where("_node IS NOT NULL").select(
-        "_sig", "_lead", F.explode(F.array_append(more, F.col("_node"))).alias("_node_of"))
+        "_sig", "_lead", "_n", F.explode(F.array_append(more, F.col("_node"))).alias("_node_of"))
     shared = members.select(F.col("_node_of").alias("_node")).distinct()
     texts = materialize(docs.join(shared, "_node", "left_semi").dropDuplicates(["_node"]), "texts")
-    pairs = members.where("_node_of <> _lead").select(
-        F.col("_node_of").alias("_a"), F.col("_lead").alias("_b")).distinct()
-    for _ in range(join.leaders if level == 0 else 1):
-        links.append(materialize(_judged(pairs, texts, join), "links"))
-        roots = components(reduce(DataFrame.unionByName, links))
-        waiting = materialize(_labelled(members.select("_sig", "_node_of"), roots), "waiting")
-        pairs = waiting.where("_root <> _high").select(
-            F.col("_node").alias("_a"), F.col("_next").alias("_b")).distinct()
+    small = members.where(F.col("_n") <= join.block).select(
+        F.col("_lead").alias("_of"), "_sig", F.col("_node_of").alias("_node"),
+        F.col("_node_of").alias("_root"))
+    links.append(materialize(_linked(small, texts, join), "links"))
+    left = known_nodes(groups).select("_node", "_shingles", "_free_even", "_free_odd")
+    large = members.where(F.col("_n") > join.block).select("_sig", "_lead", "_node_of")
+    if not large.isEmpty():
+        pairs = large.where("_node_of <> _lead").select(
+            F.col("_node_of").alias("_a"), F.col("_lead").alias("_b")).distinct()
+        for _ in range(join.leaders if level == 0 else 1):
+            links.append(materialize(_judged(pairs, texts, join), "links"))
+            roots = components(reduce(DataFrame.unionByName, links))
+            waiting = materialize(_labelled(large.select("_sig", "_node_of"), roots), "waiting")
+            pairs = waiting.where("_root <> _high").select(
+                F.col("_node").alias("_a"), F.col("_next").alias("_b")).distinct()
+        if level + 1 == join.levels:
+            links.append(materialize(_linked(_blocks(waiting, join), texts, join), "links"))
+        hot = waiting.groupBy(F.col("_node").alias("_of")).agg(
+            F.count_if(F.expr("_sig & 1 = 0")).alias("_even"),
+            F.count_if(F.expr("_sig & 1 = 1")).alias("_odd"))
+        left = left.join(hot, F.col("_node") == F.col("_of"), "left").withColumns({
+            "_free_even": F.col("_free_even") - F.coalesce("_even", F.lit(0)),
+            "_free_odd": F.col("_free_odd") - F.coalesce("_odd", F.lit(0))})
     if level + 1 == join.levels:
-        links.append(materialize(_blocks(waiting, texts, join), "links"))
         return groups, None
-    links.append(materialize(_blocks(waiting.where(F.col("_n") <= join.block), texts, join), "links"))
-    hot = waiting.where(F.col("_n") > join.block).groupBy("_node").agg(
-        F.count_if(F.expr("_sig & 1 = 0")).alias("_even"), F.count_if(F.expr("_sig & 1 = 1")).alias("_odd"))
-    left = known_nodes(groups).join(hot, "_node", "left").where(
-        "_shingles > 0 AND (_free_even < coalesce(_even, 0) OR _free_odd < coalesce(_odd, 0))")
-    left = materialize(left.select("_node").distinct(), "left")
+    left = materialize(left.where("_shingles > 0 AND (_free_even < 0 OR _free_odd < 0)")
+                       .select("_node").distinct(), "left")
     return groups, None if left.isEmpty() else left
 
 
