@@ -2,14 +2,14 @@
 
 A shard's distinct segments form one string. Its suffixes are classified as smaller or larger than
 the one behind; the leftmost smaller ones are sorted by their substrings up to the
-next, named, and the string of names is sorted the same way. From these the whole array is
+next, which a first induction orders, and named; the string of names is sorted by doubling
+prefixes, which a constant string does not slow down. From these the whole array is
 induced in two passes, bucket by bucket: what a bucket holds puts the suffixes one place
 to the left in order. Neighbours in the array then give every place its common prefix with the
 suffixes closest to it, and a window repeats if either is as long as the window.
 
-All steps work on whole buckets or levels with numpy; the deeper strings, whose alphabets are
-large, are ordered by comparing symbols up to the next leftmost smaller suffix and then that
-suffix's rank, which is the same order.
+All steps work on whole buckets with numpy. Common prefixes are found for all neighbours together, by
+halving steps over hashed stretches, instead of one after the other in the order of the text.
 """
 
 import numpy as np
@@ -36,60 +36,37 @@ def leftmost(smaller: np.ndarray) -> np.ndarray:
     return np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
 
 
-def refined(at: np.ndarray, end: np.ndarray, code: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Dense ranks of strings: symbols ``code[at:end]`` and then ``last[end]``.
+def ordered_names(s: np.ndarray) -> np.ndarray:
+    """Suffix ranks of a string of names whose last one is the least and unique.
 
-    Only strings that still tie are compared on, one symbol a round.
+    A suffix is ranked by its first 1, 2, 4, ... names, by the ranks of its two halves; only what
+    still ties is sorted on, so a constant string takes as many rounds as its length has bits.
     """
-    n = len(at)
-    rank = np.zeros(n, dtype=np.int64)
-    open_ = np.arange(n)
-    depth, high = 0, int(max(code.max(initial=0), last.max(initial=0))) + 2
+    n = len(s)
+    order = np.argsort(s, kind="stable")
+    rank = np.empty(n, dtype=np.int64)
+    new = np.ones(n, dtype=bool)
+    new[1:] = s[order][1:] != s[order][:-1]
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    tied = np.append(~new[1:], False) | ~new
+    open_, width = order[tied], 1
     while len(open_):
-        place = at[open_] + depth
-        done = place >= end[open_]
-        key = rank[open_] * (2 * high) + np.where(
-            done, high + last[np.minimum(place, end[open_])], code[np.minimum(place, len(code) - 1)])
-        order = np.argsort(key, kind="stable")
-        key, open_, done = key[order], open_[order], done[order]
-        group = rank[open_]
-        new = np.ones(len(key), dtype=bool)
-        new[1:] = key[1:] != key[:-1]
-        first_of_key = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-        outer = np.ones(len(key), dtype=bool)
-        outer[1:] = group[1:] != group[:-1]
-        first_of_group = np.maximum.accumulate(np.where(outer, np.arange(len(key)), 0))
-        rank[open_] = group + first_of_key - first_of_group
-        sizes = np.diff(np.append(np.flatnonzero(new), len(key)))
-        tied = np.repeat(sizes > 1, sizes) & ~done
-        open_ = open_[tied]
-        depth += 1
+        # the last name is unique, so tied suffixes are longer than what they agree in
+        first, second = rank[open_], rank[open_ + width]
+        by = np.lexsort((second, first))
+        open_, first, second = open_[by], first[by], second[by]
+        outer = np.ones(len(open_), dtype=bool)
+        outer[1:] = first[1:] != first[:-1]
+        new = outer.copy()
+        new[1:] |= second[1:] != second[:-1]
+        place = np.arange(len(open_))
+        rank[open_] = first + (np.maximum.accumulate(np.where(new, place, 0))
+                               - np.maximum.accumulate(np.where(outer, place, 0)))
+        open_ = open_[np.append(~new[1:], False) | ~new]
+        width *= 2
     return rank
 
 
-def ordered_names(s: np.ndarray) -> np.ndarray:
-    """Suffix ranks of a string of names whose last one is the least and unique."""
-    n = len(s)
-    if n == 1:
-        return np.zeros(1, dtype=np.int64)
-    if s.max() + 1 == n:
-        return s.astype(np.int64)
-    smaller = smaller_types(s)
-    marks = leftmost(smaller)
-    code = s.astype(np.int64) * 2 + smaller
-    nothing = np.zeros(n + 1, dtype=np.int64)
-    ends = np.append(marks[1:] + 1, n)
-    names = refined(marks, ends, code, nothing)
-    distinct, names = np.unique(names, return_inverse=True)
-    known = np.zeros(n + 1, dtype=np.int64)
-    known[marks + 1] = ordered_names(names) if len(distinct) < len(names) else names
-    # the next mark behind each place; places that agree up to there agree on where it is
-    following = np.full(n, n, dtype=np.int64)
-    following[marks - 1] = marks + 1
-    following = np.minimum.accumulate(following[::-1])[::-1]
-    return refined(np.arange(n), following, code, known)
-
-
 class Buckets:
     """Suffixes grouped by their first symbol; larger ones fill from the left."""
 

@@ -99,6 +99,15 @@ def test_suffix_array_is_sorted(alphabet):
             range(len(s)), key=lambda i: s[i:])
 
 
+@pytest.mark.parametrize("text", [b"ab" * 1_000_000, b"=-=--" * 100_000, b"x " * 200_000])
+def test_periodic_texts_take_seconds(text):
+    import time
+    start = time.perf_counter()
+    flags = A.repeated_windows([text, b"c" * 300], [1, 2], A.BY_BYTES)
+    assert flags[0].all() and len(flags[0]) == len(text) - 199 and flags[1].all()
+    assert time.perf_counter() - start < 30
+
+
 def test_automaton_knows_the_first_owner():
     rnd = random.Random(1)
     for _ in range(100):
