@@ -160,7 +160,8 @@ def shard(docs: DataFrame, shards: int = 24, doc_id: str = "doc_id", text: str =
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row.
 
     A null text has no bytes and the checksum of the empty text; null metadata is a place of its
-    own; repeated rows get a slot each. Slots count from 0 in the order of the rows' hashes:
+    own; repeated rows get a slot each, and cuts go through them. A very long text is one row, however
+    many bytes its shard then holds. Slots count from 0 in the order of the rows' hashes:
     ranges of the hash are numbered on their own and moved up by the rows before them, so
     no task orders a whole shard. An empty table gives no rows.
     """

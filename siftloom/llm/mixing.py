@@ -119,7 +119,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), doc_id: str = "doc_id",
     ``copies`` says how often the mix holds the document, 0 for not at all. Null texts and
     texts without words have no tokens and ride along wherever their place in the order lies
     in the prefix. Ties of the order are broken by the text; equal rows are equal in the prefix up
-    to the last that fits. An empty table gives no rows.
+    to the last that fits. Rows without id are placed by their texts. Very long texts count whole; one
+    longer than what is left of a budget ends the prefix. An empty table gives no rows.
     """
     rows = materialize(token_rows(docs, mix, doc_id, text, domain), "tokens")
     budgets = leaf_budgets(rows, mix).select(

@@ -1,6 +1,6 @@
 """Operator 11: the Jaccard join of word shingles by PartEnum signatures.
 
-Sets are dealt to bands of sizes so that a set's partners lie in its own and the two next bands;
+Sets are dealt to bands of sizes so that a set's partners lie in its own band and those next to it;
 every set takes part in the instance of its own band and in that of the band above. Within
 an instance similar sets differ in at most ``k`` features. The feature domain is dealt to n1 parts,
 each again to n2; of n1 parts some differ in at most k2 features, and there some n2 - k2 of the

@@ -181,7 +181,8 @@ def quality(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: s
 
     The measures are computed once and written; sketches and verdicts read them. A null text has
     no words and fails the base rules. Documents that fail these do not shape the
-    cutoffs. Repeated rows count as often as they occur; an empty table gives no rows.
+    cutoffs. Null labels are labels of their own. Repeated rows count as often as they occur; very long
+    texts are measured whole; an empty table gives no rows.
     """
     given = docs.select("doc_id", F.col(lang).alias("lang"), F.col(source).alias("source"),
                         F.col(text).alias("text"))

@@ -229,7 +229,8 @@ def encode_documents(docs: DataFrame, model: bytes, text: str = "text",
     """The documents with ``token_ids`` and the text they decode to.
 
     Null texts count as empty and have no ids. Columns of the input with these names are
-    replaced. Each row is independent, so repeated rows give equal results.
+    replaced. Each row is independent, so repeated rows give equal results. Very long texts are
+    encoded whole; an empty table gives no rows.
     """
     model = bytes(model)
     kept = [c for c in docs.columns if c not in (ids, decoded)]

@@ -96,7 +96,8 @@ def substring_dedup(docs: DataFrame, search: Search = BY_WORDS, doc_id: str = "d
     n_removed and n_spans.
 
     Null texts and texts without words keep nothing and lose nothing. A null id is the smallest.
-    Rows that repeat an id do not count as smaller than each other. An empty table gives no rows.
+    Rows that repeat an id do not count as smaller than each other. Very long texts are cut whole,
+    whatever they repeat. An empty table gives no rows.
     """
     return without_repeats(docs, search, "kept", ("n_words", "n_removed", "n_spans"),
                            doc_id, text)

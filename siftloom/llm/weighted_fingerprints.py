@@ -143,7 +143,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     The edited text is the text with its last third replaced by the beginning of the next
     document's. A null text counts as empty, a null id as the smallest. Rows that repeat an id
     follow each other in the order of a hash of their texts. One document alone is its own
-    next; an empty table gives no rows.
+    next; very long texts are read whole; an empty table gives no rows.
     """
     order = Window.partitionBy("_range").orderBy("_behind", F.desc("_d"), F.desc("_h"))
     third = F.floor(F.length("_text") / 3).cast("int")
