@@ -49,31 +49,36 @@ def from_longs(parts: list[Column]) -> Column:
 
 
 def drawn(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """(keys, _s0, _s1, ...): the smallest offer of the rows (keys, _term, _n) for each sample."""
+    """(keys, _s0, _s1, ..., _value): the smallest offer of the rows (keys, _term, _n, _value) for each
+    sample, and the largest value."""
     term, log_weight = F.col("_term"), F.col("_log")
     return terms.withColumn("_log", F.log(F.col("_n").cast("double"))).groupBy(*keys).agg(
-        *[F.min(_sample(term, log_weight, k)).alias(f"_s{k}") for k in range(samples)])
+        *[F.min(_sample(term, log_weight, k)).alias(f"_s{k}") for k in range(samples)],
+        F.max("_value").alias("_value"))
 
 
-def signatures(counts: DataFrame, keys: list[str], carried: list[str],
+def signatures(counts: DataFrame, keys: list[str], told: list[str],
                samples: int = SAMPLES) -> DataFrame:
-    """(keys, carried, _own, _other): arrays of ``samples`` 32-bit identities, null without terms.
+    """(keys, told, _own, _other): arrays of ``samples`` 32-bit identities, null without terms.
 
-    ``counts`` has (keys, _term, _n0, _n1), a term's weight in either text, and a row without
-    term with the columns that are carried along. A term that weighs the same in both
-    offers the same to both and is drawn once.
+    ``counts`` has (keys, _term, _kind, _n0, _n1), a term's weight in either text, where _kind is 0.
+    A row of kind k holds the k-th of the ``told`` longs as its term. A term that weighs the
+    same in both texts offers the same to both and is drawn once.
     """
     def offer(weight, texts):
-        return F.struct(weight.alias("_n"), F.lit(texts).alias("_in"))
-    n0, n1 = F.col("_n0"), F.col("_n1")
-    offers = F.when(F.col("_term").isNull(), F.array(offer(F.lit(1).cast("bigint"), 0))).when(
-        n0 == n1, F.array(offer(n0, 3))).otherwise(F.array(offer(n0, 1), offer(n1, 2)))
-    terms = counts.select(*keys, *carried, "_term", F.inline(offers)).where("_n > 0")
-    best = drawn(terms, [*keys, "_in", *carried], samples).groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in carried], *[
-            F.min(F.when(F.col("_in").bitwiseAND(F.lit(text)) > 0, F.col(f"_s{k}"))).alias(f"{n}{k}")
+        return F.struct(weight.alias("_n"), texts.cast("int").alias("_in"))
+    n0, n1, kind = F.col("_n0"), F.col("_n1"), F.col("_kind")
+    offers = F.when(kind > 0, F.array(offer(F.lit(1).cast("bigint"), kind + 3))).when(
+        n0 == n1, F.array(offer(n0, F.lit(3)))).otherwise(
+        F.array(offer(n0, F.lit(1)), offer(n1, F.lit(2))))
+    terms = counts.select(*keys, "_term", F.when(kind > 0, F.col("_term")).alias("_value"),
+                          F.inline(offers)).where("_n > 0")
+    of = F.col("_in")
+    best = drawn(terms, [*keys, "_in"], samples).groupBy(*keys).agg(
+        *[F.max(F.when(of == 4 + i, F.col("_value"))).alias(name) for i, name in enumerate(told)], *[
+            F.min(F.when((of == 3) | (of == text), F.col(f"_s{k}"))).alias(f"{n}{k}")
             for text, n in ((1, "_own"), (2, "_other")) for k in range(samples)])
-    return best.select(*keys, *carried, *[F.when(F.col(f"{n}0").isNotNull(), F.array(*[
+    return best.select(*keys, *told, *[F.when(F.col(f"{n}0").isNotNull(), F.array(*[
         F.col(f"{n}{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(samples)])).alias(n)
         for n in ("_own", "_other")])
 
@@ -153,28 +158,28 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       F.substring("_next", F.lit(1), third))
     placed = placed.withColumn("_edited", F.when(~F.col("_behind"), edited)).drop("_next")
 
-    # what is said of a document travels with one row without word, so that the texts are dealt
-    # out once and nothing is joined
-    shas = [f"_sha{i}" for i in range(4)]
-    keys, carried = ["_range", "_row"], ["_behind", "_id", "_n_chars", *shas]
-    told = placed.select(*keys, F.when(F.col("_behind"), F.array("_text")).otherwise(
-        F.array("_text", "_edited")).alias("_sides"), F.col("_behind"), F.col("_d").alias("_id"),
-        F.length("_text").cast("bigint").alias("_n_chars"),
-        *[part.alias(name) for part, name in zip(as_longs(hex_sha256(F.col("_edited"))), shas)])
-    words = told.select(*keys, *carried, F.posexplode("_sides").alias("_side", "_of")).select(
-        *keys, *carried, "_side", F.explode(F.array_append(
-            F.split("_of", SPLIT), F.lit(None).cast("string"))).alias("_word")).where(
-        "_word <> '' OR _word IS NULL AND _side = 0")
-    first = F.col("_word").isNull()
+    # what is told of a document travels as a third text of seven longs, so that the texts are
+    # dealt out once and nothing is joined
+    keys, told = ["_range", "_row"], ["_behind", "_id", "_n_chars", *[f"_sha{i}" for i in range(4)]]
+    facts = F.concat_ws(" ", *[c.cast("string") for c in (
+        F.col("_behind").cast("int"), F.col("_d"), F.length("_text"),
+        *as_longs(hex_sha256(F.col("_edited"))))])
+    sides = placed.select(*keys, F.posexplode(F.when(F.col("_behind"), F.array("_text", F.lit(""), facts))
+                                              .otherwise(F.array("_text", "_edited", facts)))
+                          .alias("_side", "_of"))
+    words = sides.select(*keys, "_side", F.posexplode(F.split("_of", SPLIT)).alias("_place", "_word")
+                         ).where("_word <> ''")
+    fact = F.col("_side") == 2
     counts = words.select(
-        *keys, "_side", F.when(~first, F.xxhash64("_word")).alias("_term"),
-        *[F.when(first, F.col(c)).alias(c) for c in carried]).groupBy(
-        *keys, "_term", *carried).agg(*[F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in (0, 1)])
-    signed = signatures(counts, keys, carried, samples)
+        *keys, "_side", F.when(fact, F.expr("try_cast(_word AS bigint)")).otherwise(
+            F.xxhash64("_word")).alias("_term"),
+        F.when(fact, F.col("_place") + 1).otherwise(0).alias("_kind")).groupBy(
+        *keys, "_term", "_kind").agg(*[F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in (0, 1)])
+    signed = signatures(counts, keys, told, samples)
     after = Window.partitionBy("_range").orderBy("_row")
-    joined = signed.withColumn("_following", F.lead("_own").over(after)).where("NOT _behind").select(
+    joined = signed.withColumn("_following", F.lead("_own").over(after)).where("_behind = 0").select(
         F.nullif("_id", F.lit(NO_ID)).alias("doc_id"), F.col("_n_chars").alias("n_chars"),
-        from_longs([F.col(c) for c in shas]).alias("edited_sha256"), "_own", "_other", "_following")
+        from_longs([F.col(c) for c in told[3:]]).alias("edited_sha256"), "_own", "_other", "_following")
     return joined.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("_own")).alias("fingerprint"),
         as_text(F.col("_other")).alias("edited_fingerprint"),
