@@ -170,10 +170,11 @@ def _signed(join: PartEnum, level: int):
                 silent = np.concatenate([np.zeros(len(begins), dtype=bool),
                                          np.ones(len(first), dtype=bool)])
                 keys = np.concatenate([sig[begins], nodes[first].view(np.uint64) | TOP])
+                # rows of a node follow each other, which shuffle blocks compress to half
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.view(np.int64)), pa.array(own, mask=silent),
                      pa.ListArray.from_arrays(pa.array(edges), pa.array(flat), mask=pa.array(alone))],
-                    names=["_sig", "_node", "_more"])
+                    names=["_sig", "_node", "_more"]).take(pa.array(np.argsort(own, kind="stable")))
     return run
 
 
@@ -308,7 +309,8 @@ def _level(docs: DataFrame, links: list[DataFrame], join: PartEnum, level: int):
     more = F.coalesce("_more", F.array().cast("array<bigint>"))
     members = groups.where("_node IS NOT NULL").select(
         "_sig", "_lead", "_n", F.explode(F.array_append(more, F.col("_node"))).alias("_node_of"))
-    shared = members.select(F.col("_node_of").alias("_node")).distinct()
+    # written, so that its size decides how the texts meet it
+    shared = materialize(members.select(F.col("_node_of").alias("_node")).distinct(), "shared")
     texts = materialize(docs.join(shared, "_node", "left_semi").dropDuplicates(["_node"]), "texts")
     small = members.where(F.col("_n") <= join.block).select(
         F.col("_lead").alias("_of"), "_sig", F.col("_node_of").alias("_node"),
