@@ -5,9 +5,13 @@ set, the rest are regular expressions that touch every character a bounded
 number of times (a look-behind stops them from re-scanning long blank runs).
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siftloom.functions.rows import bind
+
 # fixed values: the characters Python treats as whitespace, and as line ends
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
@@ -33,7 +37,7 @@ def is_blank(c: Column) -> Column:
 
 
 def normalize_newlines(c: Column) -> Column:
-    return F.regexp_replace(c, r"\r\n?", "\n")
+    return F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def remove_trailing_spaces(c: Column) -> Column:
@@ -42,7 +46,10 @@ def remove_trailing_spaces(c: Column) -> Column:
 
 
 def collapse_blank_lines(c: Column, maximum: int = 2) -> Column:
-    return F.regexp_replace(c, rf"\n{{{maximum + 1},}}", "\n" * maximum)
+    """At most so many line feeds in a row; most texts have no more and pass as they are."""
+    return bind(c, lambda text: F.when(
+        F.contains(text, F.lit("\n" * (maximum + 1))),
+        F.regexp_replace(text, rf"\n{{{maximum + 1},}}", "\n" * maximum)).otherwise(text))
 
 
 def remove_invalid_utf(c: Column) -> Column:
@@ -78,6 +85,16 @@ def split_lines(c: Column) -> Column:
     return F.when(c == "", _no_parts()).otherwise(F.split(body, _LINE_END, -1))
 
 
+def with_line_counts(c: Column, use: Callable[[Column, Column], Column]) -> Column:
+    """``use(lines, chars)`` with the number of ``split_lines`` and of their characters, which are
+    counted without making the lines."""
+    def counted(text):
+        ended = F.substring(text, -1, 1).isin(*LINE_ENDS)
+        return bind(F.length(F.translate(text, LINE_ENDS, "")), lambda chars: use(
+            F.when(text == "", 0).otherwise(F.length(text) - chars + F.when(ended, 0).otherwise(1)), chars))
+    return bind(F.replace(c, F.lit("\r\n"), F.lit("\n")), counted)
+
+
 def stripped_lines(c: Column) -> Column:
     """Non-blank lines without surrounding whitespace.
 

@@ -9,7 +9,7 @@ from siftloom import constants as C
 from siftloom.functions.language import filter_language_name
 from siftloom.functions.licenses import normalize_license
 from siftloom.functions.rows import bind
-from siftloom.functions.text import split_lines, stripped_lines
+from siftloom.functions.text import stripped_lines, with_line_counts
 
 
 def is_empty(output: Column) -> Column:
@@ -39,10 +39,16 @@ def has_autogenerated_notice(code: Column) -> Column:
 
 
 def looks_minified(code: Column) -> Column:
-    """Few but long lines, or a mean line length above the limit."""
-    return bind(split_lines(code), lambda lines: (
-        ((F.size(lines) <= C.MINIFIED_MAX_LINES) & (F.length(code) > C.MINIFIED_MIN_CHARS))
-        | (F.length(F.array_join(lines, "")) > F.size(lines) * C.MINIFIED_MEAN_LINE)))
+    """Few but long lines, or a mean line length above the limit.
+
+    There are at least as many lines as line feeds; most texts pass by these alone.
+    """
+    size = F.length(code)
+    feeds = size - F.length(F.replace(code, F.lit("\n"), F.lit("")))
+    suspect = (feeds <= C.MINIFIED_MAX_LINES) | (size - feeds > feeds * C.MINIFIED_MEAN_LINE)
+    return suspect & with_line_counts(code, lambda lines, chars: (
+        ((lines <= C.MINIFIED_MAX_LINES) & (size > C.MINIFIED_MIN_CHARS))
+        | (chars > lines * C.MINIFIED_MEAN_LINE)))
 
 
 def has_excessive_repetition(code: Column) -> Column:

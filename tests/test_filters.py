@@ -73,3 +73,17 @@ def test_text_is_cleaned_once_per_row(spark):
 def test_allowlists_are_parameters(spark):
     df = samples(spark, {"license": "gpl-3.0"})
     assert df.where(filters.license_allowed(F.col("license"), ["gpl-3.0"])).count() == 1
+
+
+def test_minified_needs_no_lines(spark, column, capsys):
+    texts = ["", "\n", "x", "x" * 2001, "x" * 2001 + "\r\n", "\r\n".join(["x" * 401] * 5), "\n".join(["x" * 401] * 5),
+             "\n".join(["x" * 400] * 5) + "\n", "\r".join(["x" * 500] * 4), "a\r\r\nb" + "x" * 2000,
+             " ".join(["x" * 390] * 6), "\n" * 9 + "x" * 4001, "\n" * 9 + "x" * 3600, None]
+
+    def by_lines(text):
+        lines = text.splitlines()
+        return len(lines) <= 2 and len(text) > 2000 or len("".join(lines)) > 400 * len(lines)
+    assert column(filters.looks_minified, texts) == [None if t is None else by_lines(t) for t in texts]
+    # the lines are counted, not made
+    spark.createDataFrame([("a",)], "v string").select(filters.looks_minified(F.col("v"))).explain()
+    assert "split(" not in capsys.readouterr().out
