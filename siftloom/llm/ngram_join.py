@@ -18,7 +18,8 @@ Groups of up to ``block`` sets with a common signature are compared exactly in f
 shards by their smallest member, where a set is made once and a pair compared once, however
 many groups hold it. Larger groups are compared with a leader, on the first level also with a
 second one; those that are one component by then need no more, whatever their size, the
-others are the hot ones above. On the last level these are compared in blocks.
+others are the hot ones above. On the last level their sets are compared with those that have a
+rare shingle in common (prefix filtering), which finds every similar one.
 """
 
 from collections.abc import Iterator
@@ -43,8 +44,8 @@ SALT, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
 @dataclass(frozen=True)
 class PartEnum:
-    """Sets link at ``percent`` Jaccard; groups above ``block`` members are not compared in full
-    before the last of ``levels``. ``leaders`` is the number of leaders on the first level,
+    """Sets link at ``percent`` Jaccard; groups above ``block`` members are not compared in full,
+    but on the last of ``levels`` by rare shingles. ``leaders`` is the number of leaders on the first level,
     ``shard`` about the number of sets in a shard."""
 
     percent: int = 80
@@ -205,9 +206,10 @@ def _compared(join: PartEnum):
 
 
 def _group_links(join: PartEnum):
-    """Links within the groups (_sig, _node, _root) of a shard, given the texts of its nodes.
+    """Links within the groups (_sig, _node, _root, _asks) of a shard, given the texts of its nodes.
 
-    Nodes with one root are linked already; a link that joins nothing is left out.
+    Nodes with one root are linked already; a link that joins nothing is left out. Two sets are
+    compared if the smaller one asks, of equal ones either.
     """
     def run(rows: pa.Table, texts: pa.Table) -> pa.Table:
         known = texts.column("_known").to_numpy()
@@ -225,17 +227,34 @@ def _group_links(join: PartEnum):
         first_of: dict = {}
         for i, root in zip(at.tolist(), rows.column("_root").to_pylist()):
             parent[top(i)] = top(first_of.setdefault(root, i))
+        asks = rows.column("_asks").to_numpy()
         order = np.lexsort((at, sig))
-        sig, at = sig[order], at[order]
+        sig, at, asks = sig[order], at[order], asks[order]
         new = np.ones(len(sig), dtype=bool)
         new[1:] = (sig[1:] != sig[:-1]) | (at[1:] != at[:-1])
-        sig, at = sig[new], at[new]
+        sig, at, asks = sig[new], at[new], asks[new]
         begins = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else sig
         ends = np.append(begins[1:], len(sig))
-        groups = {tuple(at[a:b].tolist()) for a, b in zip(begins, ends) if b - a > 1}
+        groups = {(tuple(at[a:b].tolist()), tuple(asks[a:b].tolist())) for a, b in zip(begins, ends) if b - a > 1}
+        sizes = np.array([len(x) for x in sets], dtype=np.int64)
+
+        def candidates(group, asked):
+            """Pairs of different components whose sizes allow a link and of which the smaller asks."""
+            if len(group) <= 32 and all(asked):
+                yield from combinations(group, 2)
+                return
+            members, asked = np.array(group), np.array(asked)
+            size, root = sizes[members], np.array([top(i) for i in group])
+            for k in range(len(group) - 1):
+                others = size[k + 1:]
+                asking = np.where(others < size[k], asked[k + 1:], asked[k]) | (
+                    (others == size[k]) & asked[k + 1:])
+                close = 100 * np.minimum(others, size[k]) >= join.percent * np.maximum(others, size[k])
+                for j in np.flatnonzero(asking & close & (root[k + 1:] != root[k])):
+                    yield group[k], group[k + 1 + j]
         compared, out = set(), []
-        for group in sorted(groups, key=lambda g: (-len(g), g)):
-            for i, j in combinations(group, 2):
+        for group, asked in sorted(groups, key=lambda g: (-len(g[0]), g)):
+            for i, j in candidates(group, asked):
                 if (i, j) in compared or top(i) == top(j):
                     continue
                 compared.add((i, j))
@@ -264,9 +283,9 @@ def _groups(docs: DataFrame, join: PartEnum, level: int) -> DataFrame:
 
 
 def _linked(rows: DataFrame, texts: DataFrame, join: PartEnum) -> DataFrame:
-    """Links within the groups of (_of, _sig, _node, _root), where ``_of`` decides on the shard."""
+    """Links within the groups of (_of, _sig, _node, _root, _asks), where ``_of`` decides on the shard."""
     shards = texts.count() // join.shard + 1
-    dealt = rows.select(F.pmod(F.xxhash64("_of"), F.lit(shards)).alias("_shard"), "_sig", "_node", "_root")
+    dealt = rows.select(F.pmod(F.xxhash64("_of"), F.lit(shards)).alias("_shard"), "_sig", "_node", "_root", "_asks")
     held = dealt.select(F.col("_shard").alias("_at"), F.col("_node").alias("_known")).distinct().join(
         texts.select(F.col("_node").alias("_known"), "_text"), "_known")
     return dealt.groupBy("_shard").cogroup(held.groupBy("_at")).applyInArrow(
@@ -291,16 +310,42 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(open_groups.select("_sig", "_high", "_next", "_n"), "_sig")
 
 
-def _blocks(waiting: DataFrame, join: PartEnum) -> DataFrame:
-    """The large groups (_sig, _node, _root, _n) as groups of two blocks each; equal groups once."""
-    groups = waiting.groupBy("_sig").agg(F.first("_n").alias("_n"),
-                                         F.bit_xor(F.xxhash64("_node")).alias("_all"))
-    once = groups.groupBy("_n", "_all").agg(F.min("_sig").alias("_sig")).select("_sig")
-    blocks = F.floor(F.col("_n") / join.block).cast("bigint") + 1
-    dealt = (waiting.join(once, "_sig").withColumn("_own", F.pmod(F.xxhash64("_node"), blocks))
-             .withColumn("_with", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))))
-    name = F.xxhash64("_sig", F.least("_own", "_with"), F.greatest("_own", "_with"))
-    return dealt.select(name.alias("_of"), name.alias("_sig"), "_node", "_root")
+def _elements(join: PartEnum):
+    """(node, element, size of the set) of every shingle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, data, offsets in slices(batch, "_text"):
+                document, element = shingles(lowered(data), offsets, join.width)
+                sizes = np.bincount(document, minlength=piece.num_rows)
+                nodes = piece.column("_node").to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes[document]), pa.array(element.view(np.int64)),
+                     pa.array(sizes[document].astype(np.int64))], names=["_node", "_sig", "_size"])
+    return run
+
+
+def _rare(waiting: DataFrame, texts: DataFrame, join: PartEnum) -> DataFrame:
+    """The nodes of the large groups as groups with a rare shingle in common; shards of them.
+
+    In one order of all shingles, rarest first, similar sets have one in common among the
+    first of either, so many as the larger can have without the smaller and one more. Of the smaller
+    set still fewer count, as the larger has to hold most of it: what a family of texts shares
+    comes last and groups only those that hold hardly anything else, which are one component.
+    """
+    roots = waiting.select("_node", "_root").distinct()
+    held = materialize(texts.mapInArrow(_elements(join), "_node bigint, _sig bigint, _size bigint"), "elements")
+    often = held.groupBy("_sig").agg(F.count("*").alias("_n"))
+    place = F.row_number().over(Window.partitionBy("_node").orderBy("_n", "_sig"))
+    percent = join.percent
+    first = held.join(often, "_sig").withColumn("_place", place).where("_n > 1").where(
+        F.col("_place") <= F.expr(f"_size - (_size * {percent} + 99) div 100 + 1")).select(
+        "_sig", "_node", (F.col("_place") <= F.expr(
+            f"_size - (2 * {percent} * _size + {99 + percent}) div {100 + percent} + 1")).alias("_asks"))
+    rows = materialize(first.join(roots, "_node"), "rare")
+    worth = rows.groupBy("_sig").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"),
+                                     F.bool_or("_asks").alias("_asked")).where("_asked AND _low < _high")
+    return rows.join(worth.select("_sig"), "_sig").select(
+        F.col("_sig").alias("_of"), "_sig", "_node", "_root", "_asks")
 
 
 def _level(docs: DataFrame, links: list[DataFrame], join: PartEnum, level: int):
@@ -314,7 +359,7 @@ def _level(docs: DataFrame, links: list[DataFrame], join: PartEnum, level: int):
     texts = materialize(docs.join(shared, "_node", "left_semi").dropDuplicates(["_node"]), "texts")
     small = members.where(F.col("_n") <= join.block).select(
         F.col("_lead").alias("_of"), "_sig", F.col("_node_of").alias("_node"),
-        F.col("_node_of").alias("_root"))
+        F.col("_node_of").alias("_root"), F.lit(True).alias("_asks"))
     links.append(materialize(_linked(small, texts, join), "links"))
     left = known_nodes(groups).select("_node", "_shingles", "_free_even", "_free_odd")
     large = members.where(F.col("_n") > join.block).select("_sig", "_lead", "_node_of")
@@ -328,7 +373,8 @@ def _level(docs: DataFrame, links: list[DataFrame], join: PartEnum, level: int):
             pairs = waiting.where("_root <> _high").select(
                 F.col("_node").alias("_a"), F.col("_next").alias("_b")).distinct()
         if level + 1 == join.levels:
-            links.append(materialize(_linked(_blocks(waiting, join), texts, join), "links"))
+            nodes = materialize(texts.join(waiting.select("_node").distinct(), "_node", "left_semi"), "nodes")
+            links.append(materialize(_linked(_rare(waiting, nodes, join), nodes, join), "links"))
         hot = waiting.groupBy(F.col("_node").alias("_of")).agg(
             F.count_if(F.expr("_sig & 1 = 0")).alias("_even"),
             F.count_if(F.expr("_sig & 1 = 1")).alias("_odd"))

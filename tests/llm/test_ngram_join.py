@@ -120,3 +120,31 @@ def test_schemes_leave_the_slack_they_state():
 
 def test_empty_table(spark):
     assert J.ngram_join(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_large_groups_meet_by_rare_shingles_only(spark):
+    """A family with one passage takes rows in proportion to its texts, not to their pairs."""
+    rnd, join = random.Random(3), J.PartEnum()
+    passage = [f"p{i}" for i in range(90)]
+    texts = [" ".join(passage + [f"w{rnd.randint(0, 10 ** 6)}" for _ in range(rnd.randint(6, 30))])
+             for _ in range(150)]
+    texts += [t + f" end{i}" for i, t in enumerate(texts[:40])]
+    sets = [shingles(t) for t in texts]
+    nodes = spark.createDataFrame(list(enumerate(texts)), "_node bigint, _text string")
+    waiting = nodes.selectExpr("1L AS _sig", "_node", "_node AS _root").unionByName(
+        nodes.selectExpr("2L AS _sig", "_node", "_node AS _root"))
+    rows = J._rare(waiting, nodes, join).collect()
+    held = {}
+    for r in rows:
+        held.setdefault(r["_node"], {})[r["_sig"]] = r["_asks"]
+    for node, sigs in held.items():
+        size = len(sets[node])
+        assert len(sigs) <= size - -(-80 * size // 100) + 1
+    links = {(i, j) for i in range(len(sets)) for j in range(i)
+             if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert len(links) > 40
+    for i, j in links:
+        small, large = sorted((i, j), key=lambda k: len(sets[k]))
+        common = held[small].keys() & held[large].keys()
+        asked = [small] if len(sets[small]) < len(sets[large]) else [small, large]
+        assert any(held[k][s] for s in common for k in asked)
