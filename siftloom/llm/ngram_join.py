@@ -1,8 +1,8 @@
 """Operator 11: the Jaccard join of word shingles by PartEnum signatures.
 
 Sets are dealt to bands of sizes so that a set's partners lie in its own band and those next to it;
-every set takes part in the instance of its own band and in that of the band above. Within
-an instance similar sets differ in at most ``k`` features. The feature domain is dealt to n1 parts,
+every set takes part in the instance of its own band and in that of the band above, where sets of one
+band and of two neighbours meet. Within an instance such similar sets differ in at most ``k`` features. The feature domain is dealt to n1 parts,
 each again to n2; of n1 parts some differ in at most k2 features, and there some n2 - k2 of the
 smaller parts agree in full. So a signature is the set's content in n2 - k2 small parts of
 one part, and similar sets share one.
@@ -14,21 +14,27 @@ two has at most ``slack`` parts with such signatures, they meet in another. Bein
 or hot is a matter of the signature, hence the same for both. Sets with more such parts
 go on to a next level with larger parts, the last of which leaves nothing out.
 
+Signatures meet in buckets, to which a slice of documents sends them packed: six bytes each and a
+node for all that a document has in the bucket. As similar sets agree in slack + 1 parts, a set
+that shares fewer signatures in an instance, less its empty ones, has no partner there and is left
+out before a text is moved.
+
 Groups of up to ``block`` sets with a common signature are compared exactly in full. They meet in
 shards by their smallest member, where a set is made once and a pair compared once, however
-many groups hold it. Larger groups are compared with a leader, on the first level also with a
-second one; those that are one component by then need no more, whatever their size, the
-others are the hot ones above. On the last level their sets are compared with those that have a
-rare shingle in common (prefix filtering), which finds every similar one.
+many groups hold it. Larger groups are compared with a leader, dealt to as many shards as they need, on
+the first level also with a second one; those that are one component by then need no more, whatever
+their size, the others are the hot ones above. On the last level their sets are compared with those
+that have a rare shingle in common (prefix filtering), which finds every similar one.
 """
 
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +43,12 @@ from siftloom.llm.rows import id_key, lowered, mixed, slices, whole
 from siftloom.operators.dedup import components
 from siftloom.session import materialize
 
-ROWS = "_sig bigint, _node bigint, _more array<bigint>"
+PACKED = "_bucket bigint, _sigs binary, _nodes binary, _counts binary, _known binary"
+GROUPS = ("_sig bigint, _lead bigint, _n bigint, _node bigint, _shingles bigint, _free_even bigint, "
+          "_free_odd bigint")
+# bits of a signature that travel; those above them name the bucket
+LOW = 48
+BITMAP = 32768
 TOP = np.uint64(1 << 63)
 SALT, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
@@ -62,9 +73,9 @@ class PartEnum:
             out.append(out[-1] * 100 // self.percent + 1)
         return out
 
-    def distance(self, largest: int) -> int:
-        """Features in which two similar sets of at most this size can differ."""
-        return 2 * largest * (100 - self.percent) // (100 + self.percent)
+    def distance(self, one: int, other: int) -> int:
+        """Features in which two similar sets of at most these sizes can differ."""
+        return (one + other) * (100 - self.percent) // (100 + self.percent)
 
     def scheme(self, k: int, level: int) -> tuple[int, int, int, int]:
         """(n1, n2, k2, slack) for sets that differ in at most ``k`` features."""
@@ -90,7 +101,8 @@ def signatures(document: np.ndarray, element: np.ndarray, n: int, join: PartEnum
     sizes = np.bincount(document, minlength=n)
     edges = join.edges(int(sizes.max(initial=1)))
     band = np.searchsorted(edges, sizes, side="right") - 1
-    plans = np.array([join.scheme(join.distance(edges[i + 1] - 1), level)
+    # sets of one band meet in the instance of the band above, too
+    plans = np.array([join.scheme(join.distance(edges[i] - 1, edges[i + 1] - 1), level)
                       for i in range(len(edges) - 1)] + [(0, 0, 0, 0)])
     free = np.zeros((n, 2), dtype=np.int64)
     last = level + 1 == join.levels
@@ -132,16 +144,28 @@ def signatures(document: np.ndarray, element: np.ndarray, n: int, join: PartEnum
             free[docs, instance[docs] & 1] = slack - np.bincount(
                 whose, weights=spoiled, minlength=len(docs)).astype(np.int64)
     if last:
-        free[:] = np.iinfo(np.int64).max
+        free[:] = 0
     if not owners:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), free
     return np.concatenate(owners), np.concatenate(found), free
 
 
-def _signed(join: PartEnum, level: int):
-    """(signature, node that has it, further nodes of the slice or null), and for each node a row
-    without node whose list is the node, its set's size, and what it can bear."""
+def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The rows of ``data`` between each two bounds, as bytes."""
+    data = np.ascontiguousarray(data)
+    width = data.nbytes // max(1, len(data))
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
+        None, pa.py_buffer((bounds * width).astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def _signed(join: PartEnum, level: int, buckets: int):
+    """For each bucket the signatures of a slice, node by node, and of the nodes dealt to it the node,
+    its set's size, and what it can bear."""
+    def dealt(names: np.ndarray) -> np.ndarray:
+        return ((names >> np.uint64(LOW)) * np.uint64(buckets) >> np.uint64(63 - LOW)).astype(np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = np.arange(buckets + 1)
         for batch in batches:
             for piece, data, offsets in slices(batch, "_text"):
                 document, element = shingles(lowered(data), offsets, join.width)
@@ -151,34 +175,60 @@ def _signed(join: PartEnum, level: int):
                 once[first] = True
                 kept = once[document]
                 document, element = document[kept], element[kept]
-                nodes = piece.column("_node").to_numpy()
                 owner, sig, free = signatures(document, element, piece.num_rows, join, level)
-                order = np.lexsort((owner, sig))
-                sig, rows = sig[order], nodes[owner[order]]
-                new = np.ones(len(sig), dtype=bool)
-                new[1:] = sig[1:] != sig[:-1]
-                begins = np.flatnonzero(new)
-                counts = np.diff(np.append(begins, len(sig)))
+                key = dealt(sig) * piece.num_rows + owner
+                order = np.argsort(key)
+                key, sig = key[order], sig[order]
+                begins = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
+                counts = np.diff(np.append(begins, len(key))).astype(np.uint32)
+                rows = piece.column("_node").to_numpy()[key[begins] % piece.num_rows]
                 sizes = np.bincount(document, minlength=piece.num_rows)
-                first = np.sort(first)
-                known = np.column_stack([nodes[first], sizes[first], free[first]])
-                edges = np.concatenate([np.cumsum(counts - 1), (counts - 1).sum()
-                                        + 4 * np.arange(1, len(first) + 1)])
-                edges = np.concatenate([[0], edges]).astype(np.int32)
-                flat = np.concatenate([rows[~new], known.reshape(-1)])
-                alone = np.concatenate([counts == 1, np.zeros(len(first), dtype=bool)])
-                own = np.concatenate([rows[begins], np.zeros(len(first), dtype=np.int64)])
-                silent = np.concatenate([np.zeros(len(begins), dtype=bool),
-                                         np.ones(len(first), dtype=bool)])
-                keys = np.concatenate([sig[begins], nodes[first].view(np.uint64) | TOP])
-                # rows of a node follow each other, which shuffle blocks compress to half
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(own, mask=silent),
-                     pa.ListArray.from_arrays(pa.array(edges), pa.array(flat), mask=pa.array(alone))],
-                    names=["_sig", "_node", "_more"]).take(pa.array(np.argsort(own, kind="stable")))
+                known = np.column_stack([nodes, sizes[first], free[first]])
+                home = dealt(nodes.view(np.uint64) & ~TOP)
+                place = np.argsort(home, kind="stable")
+                own = np.searchsorted(key[begins], every * piece.num_rows)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(every[:-1]),
+                    _binary(sig.view(np.uint8).reshape(-1, 8)[:, :LOW // 8],
+                            np.searchsorted(key, every * piece.num_rows)),
+                    _binary(rows, own), _binary(counts, own),
+                    _binary(known[place], np.searchsorted(home[place], every)),
+                ], names=["_bucket", "_sigs", "_nodes", "_counts", "_known"])
     return run
 
 
+def _met(key: tuple, rows: pa.Table) -> pa.Table:
+    """The signatures of a bucket that two nodes have, for each of these a row with the smallest of them and
+    their number; and a row without signature for each node dealt to the bucket."""
+    def joined(name, kind):
+        return np.frombuffer(b"".join(rows.column(name).to_pylist()), dtype=kind)
+    sig = np.pad(joined("_sigs", np.uint8).reshape(-1, LOW // 8), ((0, 0), (0, 8 - LOW // 8))).reshape(-1).view(np.int64)
+    node = np.repeat(joined("_nodes", np.int64), joined("_counts", np.uint32))
+    order = np.argsort(sig)
+    sig = sig[order]
+    same = sig[1:] == sig[:-1]
+    common = np.append(same, False) | np.append(False, same) if len(sig) else same
+    sig, node = sig[common], node[order[common]]
+    order = np.lexsort((node, sig))
+    sig, node = sig[order], node[order]
+    new = np.ones(len(sig), dtype=bool)
+    new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
+    sig, node = sig[new], node[new]
+    begins = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else sig
+    counts = np.diff(np.append(begins, len(sig)))
+    held = np.repeat(counts, counts)
+    lead = np.repeat(node[begins], counts)
+    shared = held > 1
+    known = joined("_known", np.int64).reshape(-1, 4)
+    known = known[np.unique(known[:, 0], return_index=True)[1]]
+    sig = sig[shared] | np.int64(key[0].as_py() << LOW)
+    names = ["_sig", "_lead", "_n", "_node", "_shingles", "_free_even", "_free_odd"]
+    members = pa.table([pa.array(x) for x in (sig, lead[shared], held[shared], node[shared])]
+                       + [pa.nulls(len(sig), pa.int64())] * 3, names=names)
+    alone = pa.table([pa.nulls(len(known), pa.int64())] * 3 + [pa.array(x) for x in known.T.copy()], names=names)
+    return pa.concat_tables([members, alone])
+
+
 def _sets(texts: pa.Array, join: PartEnum) -> list[np.ndarray]:
     out = []
     batch = pa.RecordBatch.from_arrays([texts], names=["_text"])
@@ -189,27 +239,11 @@ def _sets(texts: pa.Array, join: PartEnum) -> list[np.ndarray]:
     return out
 
 
-def _compared(join: PartEnum):
-    """The pairs whose texts' sets are similar, in whole numbers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
-                found = []
-                for a, b in zip(_sets(part.column("_text"), join), _sets(part.column("_other"), join)):
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    found.append(100 * both >= join.percent * (len(a) + len(b) - both) > 0)
-                keep = pa.array(found, pa.bool_())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("_a").filter(keep), part.column("_b").filter(keep)], names=["_a", "_b"])
-    return run
-
-
 def _group_links(join: PartEnum):
-    """Links within the groups (_sig, _node, _root, _asks) of a shard, given the texts of its nodes.
+    """Links within the groups (_sig, _node, _root, _asks, _lead) of a shard, given the texts of its nodes.
 
     Nodes with one root are linked already; a link that joins nothing is left out. Two sets are
-    compared if the smaller one asks, of equal ones either.
+    compared if the smaller one asks, of equal ones either. A node with a leader meets only that.
     """
     def run(rows: pa.Table, texts: pa.Table) -> pa.Table:
         known = texts.column("_known").to_numpy()
@@ -217,7 +251,7 @@ def _group_links(join: PartEnum):
         known = known[place]
         sets = _sets(texts.column("_text").combine_chunks(), join)
         sets = [sets[i] for i in place]
-        sig, at = rows.column("_sig").to_numpy(), np.searchsorted(known, rows.column("_node").to_numpy())
+        at = np.searchsorted(known, rows.column("_node").to_numpy())
         parent = list(range(len(known)))
 
         def top(x):
@@ -227,7 +261,11 @@ def _group_links(join: PartEnum):
         first_of: dict = {}
         for i, root in zip(at.tolist(), rows.column("_root").to_pylist()):
             parent[top(i)] = top(first_of.setdefault(root, i))
-        asks = rows.column("_asks").to_numpy()
+        whole = pc.is_null(rows.column("_lead")).to_numpy()
+        led, leaders = at[~whole], rows.column("_lead").drop_null().to_numpy()
+        leaders = np.searchsorted(known, leaders)
+        rows, at = rows.filter(pa.array(whole)), at[whole]
+        sig, asks = rows.column("_sig").to_numpy(), rows.column("_asks").to_numpy()
         order = np.lexsort((at, sig))
         sig, at, asks = sig[order], at[order], asks[order]
         new = np.ones(len(sig), dtype=bool)
@@ -253,8 +291,10 @@ def _group_links(join: PartEnum):
                 for j in np.flatnonzero(asking & close & (root[k + 1:] != root[k])):
                     yield group[k], group[k + 1 + j]
         compared, out = set(), []
-        for group, asked in sorted(groups, key=lambda g: (-len(g[0]), g)):
-            for i, j in candidates(group, asked):
+        stars = ([pair] for pair in zip(led.tolist(), leaders.tolist()))
+        full = (candidates(*g) for g in sorted(groups, key=lambda g: (-len(g[0]), g)))
+        for pairs in chain(stars, full):
+            for i, j in pairs:
                 if (i, j) in compared or top(i) == top(j):
                     continue
                 compared.add((i, j))
@@ -270,44 +310,88 @@ def _group_links(join: PartEnum):
 
 
 def _groups(docs: DataFrame, join: PartEnum, level: int) -> DataFrame:
-    """Signatures that two texts have, with ``_lead``, the smallest of them, and ``_n``, at least
-    the number of texts; and the rows of nodes."""
-    rows = docs.mapInArrow(_signed(join, level), ROWS)
-    # one row per slice of documents and signature; the window spills
+    """Signatures that two texts have, with their nodes, the smallest and the number of these; and a row
+    without signature for each node."""
+    # a bucket holds the signatures of some 64 MB of texts, above the first level ten times as many are made
+    size = docs.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    buckets = min(max(48, size >> (23 if level else 26)), 1 << 13)
+    return docs.mapInArrow(_signed(join, level, buckets), PACKED).groupBy("_bucket").applyInArrow(_met, GROUPS)
+
+
+def _members(groups: DataFrame, join: PartEnum) -> DataFrame:
+    """(_sig, _of, _node, _lead) of nodes with as many common signatures in the instance as a partner there
+    demands; ``_lead`` for groups above ``block`` of these only, ``_of`` is the smallest node of all."""
+    own = Window.partitionBy("_node")
+    counted = groups
+    for name, parity in (("even", 0), ("odd", 1)):
+        # similar sets agree in slack + 1 parts, of which a set may have empty ones
+        counted = counted.withColumn(f"_{name}", F.count_if(F.expr(f"_sig & 1 = {parity}")).over(own)
+                                     > F.max(f"_free_{name}").over(own))
+    kept = materialize(counted.where("_sig IS NOT NULL AND CASE WHEN _sig & 1 = 0 THEN _even ELSE _odd END")
+                       .select("_sig", F.col("_lead").alias("_of"), "_n", "_node"), "members")
+    # a large group is counted anew, without the nodes left out
     same = Window.partitionBy("_sig")
-    more = F.coalesce("_more", F.array().cast("array<bigint>"))
-    low = F.min(F.least("_node", F.array_min(more))).over(same)
-    high = F.max(F.greatest("_node", F.array_max(more))).over(same)
-    return (rows.withColumns({"_lead": low, "_high": high, "_n": F.sum(F.size(more) + 1).over(same)})
-            .where("_node IS NULL OR _lead < _high").drop("_high"))
-
-
-def _linked(rows: DataFrame, texts: DataFrame, join: PartEnum) -> DataFrame:
-    """Links within the groups of (_of, _sig, _node, _root, _asks), where ``_of`` decides on the shard."""
-    shards = texts.count() // join.shard + 1
-    dealt = rows.select(F.pmod(F.xxhash64("_of"), F.lit(shards)).alias("_shard"), "_sig", "_node", "_root", "_asks")
-    held = dealt.select(F.col("_shard").alias("_at"), F.col("_node").alias("_known")).distinct().join(
-        texts.select(F.col("_node").alias("_known"), "_text"), "_known")
+    large = kept.where(F.col("_n") > join.block).withColumn("_lead", F.when(
+        F.count("*").over(same) > join.block, F.min("_node").over(same)))
+    small = kept.where(F.col("_n") <= join.block).withColumn("_lead", F.lit(None).cast("bigint"))
+    return materialize(small.unionByName(large).drop("_n"), "groups")
+
+
+def _perhaps(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of the distinct ``nodes`` and few others, by a bitmap of sixteen bits a node that goes to the rows."""
+    bits = max(BITMAP, nodes.count() * 16)
+    if bits > 1 << 29:  # 64 MB
+        return docs
+    place = F.pmod("_node", F.lit(bits))
+    maps = nodes.select(place.alias("_p")).groupBy(F.expr(f"_p div {BITMAP}").alias("_map")).agg(
+        F.bitmap_construct_agg(F.col("_p") % BITMAP).alias("_bits"))
+    byte = F.expr(f"conv(hex(substring(_bits, cast(_p % {BITMAP} div 8 as int) + 1, 1)), 16, 10)").cast("int")
+    return (docs.withColumn("_p", place).withColumn("_map", F.expr(f"_p div {BITMAP}"))
+            .join(F.broadcast(maps), "_map").where(F.getbit(byte, F.expr("cast(_p % 8 as int)")) == 1)
+            .select(*docs.columns))
+
+
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """A row of each of the distinct ``nodes``."""
+    # a semi-join would be pushed below the bitmaps
+    return _perhaps(docs, nodes).join(nodes, "_node").select(*docs.columns).dropDuplicates(["_node"])
+
+
+def _linked(rows: DataFrame, docs: DataFrame, join: PartEnum) -> DataFrame:
+    """Links within the groups of (_of, _sig, _node, _root, _asks, _lead), where ``_of`` decides on the shard;
+    nodes with a leader meet only that."""
+    nodes = materialize(rows.select("_node").union(
+        rows.where("_lead IS NOT NULL").select("_lead")).distinct(), "nodes")
+    shards = nodes.count() // join.shard + 1
+    dealt = rows.select(F.pmod(F.xxhash64("_of"), F.lit(shards)).alias("_shard"),
+                        "_sig", "_node", "_root", "_asks", "_lead")
+    held = dealt.select(F.col("_shard").alias("_at"), F.col("_node").alias("_known")).unionByName(
+        dealt.where("_lead IS NOT NULL").select(F.col("_shard").alias("_at"), F.col("_lead").alias("_known")))
+    # copies go and texts meet their shards after one exchange
+    texts = _perhaps(docs, nodes).dropDuplicates(["_node"])
+    held = held.distinct().join(texts.select(F.col("_node").alias("_known"), "_text"), "_known")
     return dealt.groupBy("_shard").cogroup(held.groupBy("_at")).applyInArrow(
         _group_links(join), "_a bigint, _b bigint")
 
 
-def _judged(pairs: DataFrame, texts: DataFrame, join: PartEnum) -> DataFrame:
-    left = texts.select(F.col("_node").alias("_a"), "_text")
-    right = texts.select(F.col("_node").alias("_b"), F.col("_text").alias("_other"))
-    both = pairs.join(left, "_a").join(right, "_b").select("_a", "_b", "_text", "_other")
-    return both.mapInArrow(_compared(join), "_a bigint, _b bigint")
+def _led(pairs: DataFrame, join: PartEnum) -> DataFrame:
+    """The distinct (_node, _root, _lead) as rows for ``_linked``, a leader in as many shards as it needs."""
+    pairs = pairs.where("_node <> _lead").distinct()
+    many = pairs.groupBy("_lead").agg((F.expr(f"count(*) div {join.shard}") + 1).alias("_pieces"))
+    return pairs.join(many, "_lead").select(
+        F.xxhash64("_lead", F.pmod(F.xxhash64("_node"), F.col("_pieces"))).alias("_of"),
+        F.col("_lead").alias("_sig"), "_node", "_root", F.lit(True).alias("_asks"), "_lead")
 
 
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the groups that are not one component yet, with their components, the group's
-    size, its highest component and a member of that."""
-    rows = members.join(roots, F.col("_node_of") == F.col("_node"), "left").select(
-        "_sig", F.col("_node_of").alias("_node"), F.coalesce("_root", "_node_of").alias("_root")).distinct()
-    open_groups = rows.groupBy("_sig").agg(
-        F.min("_root").alias("_low"), F.max("_root").alias("_high"),
-        F.max_by("_node", "_root").alias("_next"), F.count("*").alias("_n")).where("_low < _high")
-    return rows.join(open_groups.select("_sig", "_high", "_next", "_n"), "_sig")
+    highest component and a member of that."""
+    rows = members.join(roots.withColumnRenamed("_node", "_of"), F.col("_node") == F.col("_of"), "left").select(
+        "_sig", "_node", F.coalesce("_root", "_node").alias("_root"))
+    same = Window.partitionBy("_sig")
+    return rows.withColumns({
+        "_low": F.min("_root").over(same), "_high": F.max("_root").over(same),
+        "_next": F.max_by("_node", "_root").over(same)}).where("_low < _high").drop("_low")
 
 
 def _elements(join: PartEnum):
@@ -334,10 +418,10 @@ def _rare(waiting: DataFrame, texts: DataFrame, join: PartEnum) -> DataFrame:
     """
     roots = waiting.select("_node", "_root").distinct()
     held = materialize(texts.mapInArrow(_elements(join), "_node bigint, _sig bigint, _size bigint"), "elements")
-    often = held.groupBy("_sig").agg(F.count("*").alias("_n"))
+    held = held.withColumn("_n", F.count("*").over(Window.partitionBy("_sig")))
     place = F.row_number().over(Window.partitionBy("_node").orderBy("_n", "_sig"))
     percent = join.percent
-    first = held.join(often, "_sig").withColumn("_place", place).where("_n > 1").where(
+    first = held.withColumn("_place", place).where("_n > 1").where(
         F.col("_place") <= F.expr(f"_size - (_size * {percent} + 99) div 100 + 1")).select(
         "_sig", "_node", (F.col("_place") <= F.expr(
             f"_size - (2 * {percent} * _size + {99 + percent}) div {100 + percent} + 1")).alias("_asks"))
@@ -345,36 +429,29 @@ def _rare(waiting: DataFrame, texts: DataFrame, join: PartEnum) -> DataFrame:
     worth = rows.groupBy("_sig").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"),
                                      F.bool_or("_asks").alias("_asked")).where("_asked AND _low < _high")
     return rows.join(worth.select("_sig"), "_sig").select(
-        F.col("_sig").alias("_of"), "_sig", "_node", "_root", "_asks")
+        F.col("_sig").alias("_of"), "_sig", "_node", "_root", "_asks", F.lit(None).cast("bigint").alias("_lead"))
 
 
 def _level(docs: DataFrame, links: list[DataFrame], join: PartEnum, level: int):
     """Adds the links found on one level; returns its groups and the nodes left for the next."""
     groups = materialize(_groups(docs, join, level), "groups")
-    more = F.coalesce("_more", F.array().cast("array<bigint>"))
-    members = groups.where("_node IS NOT NULL").select(
-        "_sig", "_lead", "_n", F.explode(F.array_append(more, F.col("_node"))).alias("_node_of"))
-    # written, so that its size decides how the texts meet it
-    shared = materialize(members.select(F.col("_node_of").alias("_node")).distinct(), "shared")
-    texts = materialize(docs.join(shared, "_node", "left_semi").dropDuplicates(["_node"]), "texts")
-    small = members.where(F.col("_n") <= join.block).select(
-        F.col("_lead").alias("_of"), "_sig", F.col("_node_of").alias("_node"),
-        F.col("_node_of").alias("_root"), F.lit(True).alias("_asks"))
-    links.append(materialize(_linked(small, texts, join), "links"))
-    left = known_nodes(groups).select("_node", "_shingles", "_free_even", "_free_odd")
-    large = members.where(F.col("_n") > join.block).select("_sig", "_lead", "_node_of")
+    members = _members(groups, join)
+    members = members.withColumn("_root", F.col("_node"))
+    small = members.where("_lead IS NULL").select("_of", "_sig", "_node", "_root", F.lit(True).alias("_asks"), "_lead")
+    large = members.where("_lead IS NOT NULL")
+    led = materialize(_led(large.select("_node", "_root", "_lead"), join), "led")
+    links.append(materialize(_linked(small.unionByName(led), docs, join), "links"))
+    left = groups.where("_sig IS NULL").select("_node", "_shingles", "_free_even", "_free_odd")
     if not large.isEmpty():
-        pairs = large.where("_node_of <> _lead").select(
-            F.col("_node_of").alias("_a"), F.col("_lead").alias("_b")).distinct()
-        for _ in range(join.leaders if level == 0 else 1):
-            links.append(materialize(_judged(pairs, texts, join), "links"))
+        for again in range(join.leaders if level == 0 else 1):
+            if again:
+                pairs = waiting.where("_root <> _high").select("_node", "_root", F.col("_next").alias("_lead"))
+                links.append(materialize(_linked(materialize(_led(pairs, join), "led"), docs, join), "links"))
             roots = components(reduce(DataFrame.unionByName, links))
-            waiting = materialize(_labelled(large.select("_sig", "_node_of"), roots), "waiting")
-            pairs = waiting.where("_root <> _high").select(
-                F.col("_node").alias("_a"), F.col("_next").alias("_b")).distinct()
+            waiting = materialize(_labelled(large.select("_sig", "_node"), roots), "waiting")
         if level + 1 == join.levels:
-            nodes = materialize(texts.join(waiting.select("_node").distinct(), "_node", "left_semi"), "nodes")
-            links.append(materialize(_linked(_rare(waiting, nodes, join), nodes, join), "links"))
+            rare = _rare(waiting, _texts(docs, waiting.select("_node").distinct()), join)
+            links.append(materialize(_linked(materialize(rare, "shared"), docs, join), "links"))
         hot = waiting.groupBy(F.col("_node").alias("_of")).agg(
             F.count_if(F.expr("_sig & 1 = 0")).alias("_even"),
             F.count_if(F.expr("_sig & 1 = 1")).alias("_odd"))
@@ -384,17 +461,10 @@ def _level(docs: DataFrame, links: list[DataFrame], join: PartEnum, level: int):
     if level + 1 == join.levels:
         return groups, None
     left = materialize(left.where("_shingles > 0 AND (_free_even < 0 OR _free_odd < 0)")
-                       .select("_node").distinct(), "left")
+                       .select("_node"), "left")
     return groups, None if left.isEmpty() else left
 
 
-def known_nodes(groups: DataFrame) -> DataFrame:
-    """(_node, _shingles, _free_even, _free_odd) of every node, once for each slice."""
-    names = ("_node", "_shingles", "_free_even", "_free_odd")
-    return groups.where("_node IS NULL").select(
-        *[F.col("_more")[i].alias(name) for i, name in enumerate(names)])
-
-
 def ngram_join(docs: DataFrame, join: PartEnum = PartEnum(), doc_id: str = "doc_id",
                text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
@@ -413,10 +483,10 @@ def ngram_join(docs: DataFrame, join: PartEnum = PartEnum(), doc_id: str = "doc_
     for level in range(join.levels):
         own = given.select("_node", "_text")
         if left is not None:
-            own = own.join(left, "_node", "left_semi")
+            own = materialize(_texts(own, left), "own")
         groups, left = _level(own, links, join, level)
         if level == 0:
-            known = known_nodes(groups).groupBy("_node").agg(F.max("_shingles").alias("n_shingles"))
+            known = groups.where("_sig IS NULL").select("_node", F.col("_shingles").alias("n_shingles"))
         if left is None:
             break
     roots = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("_node", "_of")

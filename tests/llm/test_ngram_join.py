@@ -4,6 +4,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from siftloom.llm import ngram_join as J
@@ -148,3 +150,62 @@ def test_large_groups_meet_by_rare_shingles_only(spark):
         common = held[small].keys() & held[large].keys()
         asked = [small] if len(sets[small]) < len(sets[large]) else [small, large]
         assert any(held[k][s] for s in common for k in asked)
+
+
+def packed(texts, join, buckets):
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["_node", "_text"])
+    return pa.Table.from_batches(J._signed(join, 0, buckets)([batch]))
+
+
+def test_signatures_travel_in_few_bytes_and_meet():
+    """Seven to nine bytes a signature; what two texts have meets in one bucket, once for copies of a slice."""
+    rnd, join = random.Random(5), J.PartEnum()
+    texts = [" ".join(f"w{rnd.randint(0, 10 ** 6)}" for _ in range(400)) for _ in range(50)]
+    texts += [t + " end" for t in texts[:20]]
+    sets = [J._sets(pa.array([t]), join)[0] for t in texts]
+    document = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    owner, found, _ = J.signatures(document, np.concatenate(sets), len(sets), join, 0)
+    table = packed(texts, join, 16)
+    assert sum(table.column(n).nbytes for n in ("_sigs", "_nodes", "_counts")) < 9 * len(found)
+    met = []
+    twice = pa.concat_tables([table, table])
+    for bucket in range(16):
+        rows = twice.filter(pc.equal(twice.column("_bucket"), bucket))
+        met += J._met((pa.scalar(bucket),), rows).to_pylist()
+    assert sorted(r["_node"] for r in met if r["_sig"] is None) == list(range(len(texts)))
+    held = {}
+    for o, f in zip(owner.tolist(), found.tolist()):
+        held.setdefault(f, set()).add(o)
+    expected = sorted((min(h), len(h), o, f & 1) for f, h in held.items() if len(h) > 1 for o in h)
+    assert sorted((r["_lead"], r["_n"], r["_node"], r["_sig"] & 1) for r in met if r["_sig"] is not None) == expected
+
+
+def test_texts_with_too_few_common_signatures_are_left_out(spark):
+    """A common passage gives signatures but no partner: such texts are not moved."""
+    rnd, join = random.Random(6), J.PartEnum()
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join(passage + [f"w{rnd.randint(0, 10 ** 6)}" for _ in range(220)]) for _ in range(90)]
+    texts += [t + f" end{i}" for i, t in enumerate(texts[:10])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "_node bigint, _text string")
+    groups = J.materialize(J._groups(docs, join, 0), "groups")
+    nodes = {r[0] for r in groups.where("_sig IS NOT NULL").select("_node").distinct().collect()}
+    kept = {r[0] for r in J._members(groups, join).select("_node").distinct().collect()}
+    assert len(nodes) > 60
+    assert {*range(10), *range(90, 100)} <= kept and len(kept) < 30
+
+
+def test_large_groups_are_dealt_to_several_shards(spark):
+    """A leader meets many members in as many shards as these need."""
+    pairs = spark.range(1, 1001).selectExpr("id AS _node", "id AS _root", "0L AS _lead")
+    rows = J._led(pairs.union(pairs), J.PartEnum(shard=100)).collect()
+    assert len(rows) == 1000 and len({r["_of"] for r in rows}) > 8
+
+
+def test_bitmaps_keep_all_rows_of_the_nodes(spark):
+    docs = spark.range(20_000).selectExpr("xxhash64(id) AS _node", "cast(id AS string) AS _text", "id")
+    nodes = docs.where("id % 10 = 3").select("_node")
+    found = {r["id"] for r in J._perhaps(docs, nodes).collect()}
+    assert found >= set(range(3, 20_000, 10)) and len(found) < 4000
+    assert {r["id"] for r in J._texts(docs, nodes).collect()} == set(range(3, 20_000, 10))
+    assert J._texts(docs, nodes.limit(0)).count() == 0
