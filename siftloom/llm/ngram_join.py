@@ -2,10 +2,10 @@
 
 Sets are dealt to bands of sizes so that a set's partners lie in its own band and those next to it;
 every set takes part in the instance of its own band and in that of the band above, where sets of one
-band and of two neighbours meet. Within an instance such similar sets differ in at most ``k`` features. The feature domain is dealt to n1 parts,
-each again to n2; of n1 parts some differ in at most k2 features, and there some n2 - k2 of the
-smaller parts agree in full. So a signature is the set's content in n2 - k2 small parts of
-one part, and similar sets share one.
+band and of two neighbours meet. Within an instance such similar sets differ in at most ``k``
+features. The feature domain is dealt to n1 parts, each again to n2; of n1 parts some differ in at
+most k2 features, and there some n2 - k2 of the smaller parts agree in full. So a signature is the
+set's content in n2 - k2 small parts of one part, and similar sets share one.
 
 Two kinds of signatures say nothing: empty ones, and hot ones, which so many sets of
 different components have that comparing all would be quadratic. ``slack`` more parts than
@@ -202,7 +202,8 @@ def _met(key: tuple, rows: pa.Table) -> pa.Table:
     their number; and a row without signature for each node dealt to the bucket."""
     def joined(name, kind):
         return np.frombuffer(b"".join(rows.column(name).to_pylist()), dtype=kind)
-    sig = np.pad(joined("_sigs", np.uint8).reshape(-1, LOW // 8), ((0, 0), (0, 8 - LOW // 8))).reshape(-1).view(np.int64)
+    low = joined("_sigs", np.uint8).reshape(-1, LOW // 8)
+    sig = np.pad(low, ((0, 0), (0, 8 - LOW // 8))).reshape(-1).view(np.int64)
     node = np.repeat(joined("_nodes", np.int64), joined("_counts", np.uint32))
     order = np.argsort(sig)
     sig = sig[order]

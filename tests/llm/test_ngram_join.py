@@ -159,7 +159,7 @@ def packed(texts, join, buckets):
 
 
 def test_signatures_travel_in_few_bytes_and_meet():
-    """Seven to nine bytes a signature; what two texts have meets in one bucket, once for copies of a slice."""
+    """Less than nine bytes a signature here; what two texts have meets in one bucket, once for copies of a slice."""
     rnd, join = random.Random(5), J.PartEnum()
     texts = [" ".join(f"w{rnd.randint(0, 10 ** 6)}" for _ in range(400)) for _ in range(50)]
     texts += [t + " end" for t in texts[:20]]
