@@ -23,7 +23,8 @@ Groups of up to ``block`` sets with a common signature are compared exactly in f
 shards by their smallest member, where a set is made once and a pair compared once, however
 many groups hold it. Larger groups are compared with a leader, dealt to as many shards as they need, on
 the first level also with a second one; those that are one component by then need no more, whatever
-their size, the others are the hot ones above. On the last level their sets are compared with those
+their size, the others are the hot ones above. For this a node's component meets the node once,
+and its signatures go on packed. On the last level their sets are compared with those
 that have a rare shingle in common (prefix filtering), which finds every similar one.
 """
 
@@ -46,6 +47,9 @@ from siftloom.session import materialize
 PACKED = "_bucket bigint, _sigs binary, _nodes binary, _counts binary, _known binary"
 GROUPS = ("_sig bigint, _lead bigint, _n bigint, _node bigint, _shingles bigint, _free_even bigint, "
           "_free_odd bigint")
+WAITING = "_node bigint, _root bigint, _next bigint, _even bigint, _odd bigint"
+# signatures of a bucket in which large groups are judged, and about as many of the rows dealt at once
+ENTRIES = 1 << 18
 # bits of a signature that travel; those above them name the bucket
 LOW = 48
 BITMAP = 32768
@@ -384,15 +388,59 @@ def _led(pairs: DataFrame, join: PartEnum) -> DataFrame:
         F.col("_lead").alias("_sig"), "_node", "_root", F.lit(True).alias("_asks"), "_lead")
 
 
-def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the groups that are not one component yet, with their components, the group's
-    highest component and a member of that."""
-    rows = members.join(roots.withColumnRenamed("_node", "_of"), F.col("_node") == F.col("_of"), "left").select(
-        "_sig", "_node", F.coalesce("_root", "_node").alias("_root"))
-    same = Window.partitionBy("_sig")
-    return rows.withColumns({
-        "_low": F.min("_root").over(same), "_high": F.max("_root").over(same),
-        "_next": F.max_by("_node", "_root").over(same)}).where("_low < _high").drop("_low")
+def _packed(buckets: int):
+    """For each bucket the (signature, node, root) of some of the rows (_node, _root, _sigs)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = np.arange(buckets + 1)
+        for batch in batches:
+            held = pc.sum(pc.list_value_length(batch.column("_sigs"))).as_py() or 1
+            step = batch.num_rows * ENTRIES // held + 1
+            for at in range(0, batch.num_rows, step):
+                piece = batch.slice(at, step)
+                counts = pc.list_value_length(piece.column("_sigs")).to_numpy()
+                sig = piece.column("_sigs").flatten().to_numpy()
+                home = (mixed(sig.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(home, kind="stable")
+                entries = np.column_stack([sig] + [
+                    np.repeat(piece.column(name).to_numpy(), counts) for name in ("_node", "_root")])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(every[:-1]), _binary(entries[order], np.searchsorted(home[order], every))],
+                    names=["_bucket", "_entries"])
+    return run
+
+
+def _judged(leaders: bool):
+    """Members of a bucket's groups that are not one component yet, with their components, and how many such
+    signatures of either parity they have, one row for each. With ``leaders`` the groups whose highest
+    component is another are told apart by ``_next``, the highest member of that, else it is the node."""
+    def run(rows: pa.Table) -> pa.Table:
+        entries = np.frombuffer(b"".join(rows.column("_entries").to_pylist()), dtype=np.int64).reshape(-1, 3)
+        sig, node, root = entries[np.lexsort((entries[:, 1], entries[:, 2], entries[:, 0]))].T
+        begins = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else sig
+        counts = np.diff(np.append(begins, len(sig)))
+        last = np.repeat(begins + counts - 1, counts)
+        waits = np.repeat(root[begins], counts) < root[last]
+        after = np.where(leaders & (root < root[last]), node[last], node)
+        found = np.column_stack([node, root, after, sig & 1])[waits]
+        found = found[np.lexsort((found[:, 2], found[:, 0]))]
+        new = np.ones(len(found), dtype=bool)
+        new[1:] = (found[1:, [0, 2]] != found[:-1, [0, 2]]).any(axis=1)
+        begins = np.flatnonzero(new)
+        held = np.diff(np.append(begins, len(found)))
+        odd = np.add.reduceat(found[:, 3], begins) if len(begins) else held
+        columns = [*found[begins, :3].T, held - odd, odd]
+        return pa.table([pa.array(np.ascontiguousarray(x)) for x in columns],
+                        names=["_node", "_root", "_next", "_even", "_odd"])
+    return run
+
+
+def _waiting(held: DataFrame, roots: DataFrame, buckets: int, leaders: bool) -> DataFrame:
+    """Members of the large groups that are not one component yet, given the nodes with their signatures in
+    large groups (_node, _sigs); a node's component is looked up once."""
+    rows = held.join(roots.withColumnRenamed("_node", "_of"), F.col("_node") == F.col("_of"), "left").select(
+        "_node", F.coalesce("_root", "_node").alias("_root"), "_sigs")
+    return rows.mapInArrow(_packed(buckets), "_bucket bigint, _entries binary").groupBy("_bucket").applyInArrow(
+        _judged(leaders), WAITING)
 
 
 def _elements(join: PartEnum):
@@ -444,18 +492,20 @@ def _level(docs: DataFrame, links: list[DataFrame], join: PartEnum, level: int):
     links.append(materialize(_linked(small.unionByName(led), docs, join), "links"))
     left = groups.where("_sig IS NULL").select("_node", "_shingles", "_free_even", "_free_odd")
     if not large.isEmpty():
-        for again in range(join.leaders if level == 0 else 1):
+        held = materialize(large.groupBy("_node").agg(F.collect_list("_sig").alias("_sigs")), "held")
+        buckets = held.agg(F.sum(F.size("_sigs"))).first()[0] // ENTRIES + 1
+        rounds = join.leaders if level == 0 else 1
+        for again in range(rounds):
             if again:
-                pairs = waiting.where("_root <> _high").select("_node", "_root", F.col("_next").alias("_lead"))
+                pairs = waiting.select("_node", "_root", F.col("_next").alias("_lead"))
                 links.append(materialize(_linked(materialize(_led(pairs, join), "led"), docs, join), "links"))
             roots = components(reduce(DataFrame.unionByName, links))
-            waiting = materialize(_labelled(large.select("_sig", "_node"), roots), "waiting")
+            waiting = materialize(_waiting(held, roots, buckets, again + 1 < rounds), "waiting")
         if level + 1 == join.levels:
             rare = _rare(waiting, _texts(docs, waiting.select("_node").distinct()), join)
             links.append(materialize(_linked(materialize(rare, "shared"), docs, join), "links"))
         hot = waiting.groupBy(F.col("_node").alias("_of")).agg(
-            F.count_if(F.expr("_sig & 1 = 0")).alias("_even"),
-            F.count_if(F.expr("_sig & 1 = 1")).alias("_odd"))
+            F.sum("_even").alias("_even"), F.sum("_odd").alias("_odd"))
         left = left.join(hot, F.col("_node") == F.col("_of"), "left").withColumns({
             "_free_even": F.col("_free_even") - F.coalesce("_even", F.lit(0)),
             "_free_odd": F.col("_free_odd") - F.coalesce("_odd", F.lit(0))})
@@ -492,9 +542,11 @@ def ngram_join(docs: DataFrame, join: PartEnum = PartEnum(), doc_id: str = "doc_
             break
     roots = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("_node", "_of")
     ids = given.select("_node", "doc_id")
-    nodes = (ids.groupBy("_node").agg(F.min("doc_id").alias("_least")).join(known, "_node")
-             .join(roots, F.col("_node") == F.col("_of"), "left")
-             .withColumn("_class", F.coalesce("_root", "_node")))
+    # read twice
+    nodes = materialize(
+        ids.groupBy("_node").agg(F.min("doc_id").alias("_least")).join(known, "_node")
+        .join(roots, F.col("_node") == F.col("_of"), "left")
+        .select("_node", "n_shingles", "_least", F.coalesce("_root", "_node").alias("_class")), "classes")
     classes = nodes.groupBy("_class").agg(F.min("_least").alias("_first"))
     nodes = nodes.join(classes, "_class").select("_node", "n_shingles", "_first")
     return ids.join(nodes, "_node").select(

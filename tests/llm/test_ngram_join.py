@@ -209,3 +209,57 @@ def test_bitmaps_keep_all_rows_of_the_nodes(spark):
     assert found >= set(range(3, 20_000, 10)) and len(found) < 4000
     assert {r["id"] for r in J._texts(docs, nodes).collect()} == set(range(3, 20_000, 10))
     assert J._texts(docs, nodes.limit(0)).count() == 0
+
+
+def test_large_groups_are_judged_without_a_row_for_each_signature(spark, monkeypatch):
+    """A component meets a node once, however many signatures the node has in large groups."""
+    rnd, join = random.Random(9), J.PartEnum(block=8)
+    passage = [f"p{i}" for i in range(90)]
+    texts = [" ".join(passage + [f"w{rnd.randint(0, 10 ** 6)}" for _ in range(rnd.randint(6, 30))])
+             for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts + [t + f" end{i}" for i, t in enumerate(texts[:20])] + texts[:5])]
+    written, kept = {}, J.materialize
+
+    def materialize(df, label):
+        written.setdefault(label, []).append(kept(df, label))
+        return written[label][-1]
+    monkeypatch.setattr(J, "materialize", materialize)
+    docs = spark.createDataFrame([(*r, "n", "c", "s") for r in rows], SCHEMA)
+    got = J.ngram_join(docs, join)
+    large = [g.where("_lead IS NOT NULL").count() for g in written["groups"][1::2]]
+    assert len(large) == join.levels and min(large) > 10 * len(rows)
+    # only the first round tells groups apart, by their second leaders
+    assert all(w.count() <= len(rows) for w in written["waiting"][1:])
+    # the components of all nodes are looked up once, too
+    assert "LeftOuter" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, got.collect()), key=str) == by_brute_force(rows)
+
+
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_only_groups_of_several_components_wait(spark, buckets):
+    """The nodes of such groups, with their numbers of such signatures and the second leaders."""
+    rnd = random.Random(buckets)
+    sigs = [rnd.getrandbits(62) for _ in range(40)]
+    held = [(n, [s for i, s in enumerate(sigs) if rnd.random() < (.5 if i < 20 else .05)]) for n in range(-20, 40)]
+    root = {n: -20 if n < 20 else n // 10 * 10 for n, _ in held}
+    groups = {s: [n for n, own in held if s in own] for s in sigs}
+    nodes = spark.createDataFrame(held, "_node bigint, _sigs array<bigint>")
+    roots = spark.createDataFrame([x for x in root.items() if x[0] != x[1]], "_node bigint, _root bigint")
+    for leaders in (True, False):
+        expected = {}
+        for s, members in groups.items():
+            if len({root[n] for n in members}) > 1:
+                high = max(root[n] for n in members)
+                second = max(n for n in members if root[n] == high)
+                for n in members:
+                    key = n, root[n], second if leaders and root[n] != high else n
+                    expected.setdefault(key, [0, 0])[s & 1] += 1
+        assert 0 < len({s for s, m in groups.items() if len({root[n] for n in m}) == 1})
+        got = J._waiting(nodes, roots, buckets, leaders).collect()
+        found = {}
+        for r in got:
+            counts = found.setdefault((r["_node"], r["_root"], r["_next"]), [0, 0])
+            counts[0] += r["_even"]
+            counts[1] += r["_odd"]
+        assert found == expected
+        assert len(got) == len(expected) or buckets > 1
